@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +21,20 @@ def exact_quantile(
     quantile sketch brackets the wanted rank and two counts make the bracket
     exact, which shrinks it about two-thousandfold per step. Only when at most
     ``direct_rows`` values are left do they, with their counts, reach the driver.
+    The one column is kept, in memory or on disk, for the few passes over it.
     """
-    values = frame.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
+    values = (
+        frame.select(F.col(column).cast("double").alias("v"))
+        .where(F.col("v").isNotNull())
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    try:
+        return _interpolated(values, share, direct_rows)
+    finally:
+        values.unpersist()
+
+
+def _interpolated(values: DataFrame, share: float, direct_rows: int) -> float | None:
     total = values.count()
     if total == 0:
         return None
@@ -70,4 +83,4 @@ def _value_at(values: DataFrame, rank: int, total: int, direct_rows: int) -> flo
         if rank < row["n"]:
             return row["v"]
         rank -= row["n"]
-    raise RuntimeError("the values changed between two passes; write the frame to a table first")
+    raise RuntimeError("the values changed between two passes")

@@ -19,13 +19,17 @@ def with_delays(policies: DataFrame, law: Reserving = Reserving()) -> DataFrame:
     """Whole-day reporting, payment and total delay.
 
     Supplied ``ReportingDelay`` and ``PaymentDelay`` columns are used where the
-    frame has them. Otherwise both are lognormal draws keyed by the policy.
+    frame has them. Otherwise both are lognormal draws keyed by the policy, made
+    for positive amounts only; other policies have no claim to delay.
     """
     if {"ReportingDelay", "PaymentDelay"} <= set(policies.columns):
         reporting, payment = F.col("ReportingDelay"), F.col("PaymentDelay")
         drawn = policies
     else:
-        drawn = policies.withColumn("_digest", keyed.digest(F.col("IDpol"), "delay"))
+        claimed = F.col("TotalClaimAmount") > 0
+        drawn = policies.withColumn(
+            "_digest", F.when(claimed, keyed.digest(F.col("IDpol"), "delay"))
+        )
         first, second = keyed.normal_pair(
             keyed.uniform(F.col("_digest"), 0), keyed.uniform(F.col("_digest"), 1)
         )

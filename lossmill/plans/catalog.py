@@ -17,10 +17,11 @@ from ..functions.losses import average_severity
 from ..functions.rounding import ratio, settle
 from ..operators import audit, glm, insights, mart, modeling, portfolio, reserving, star
 from ..operators import boosting as bt
-from ..params import Leakage
+from ..params import NUMERIC_FACTORS, Leakage
 from ..session import scratch_path
 from ..sources import orderbook, tables
 from ..sources.csv import read_csv_tolerant
+from .warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +39,7 @@ CSV_SCHEMA = T.StructType(
     ]
 )
 
+_stored: dict[tuple[str, str], Warehouse] = {}
 _trained: dict[tuple[str, str], tuple[insights.RatingCells, DataFrame]] = {}
 
 
@@ -61,11 +63,20 @@ def _modeling(spark: SparkSession, folder: str) -> DataFrame:
     return modeling.modeling_columns(_ledger(spark, folder))
 
 
+def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
+    """The stored tables, built once per session and folder; the joins read these."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _stored:
+        store = Warehouse(spark, scratch_path(spark, "warehouse"), prefix=f"w{len(_stored)}_")
+        _stored[key] = store.build(_portfolio(spark, folder))
+    return _stored[key]
+
+
 def _models(spark: SparkSession, folder: str) -> tuple[insights.RatingCells, DataFrame]:
     """The three boosted models, trained once per session and folder."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _trained:
-        prepared = insights.rating_cells(_modeling(spark, folder))
+        prepared = insights.rating_cells(_warehouse(spark, folder).modeling())
         cells, _ = insights.fit_frequency(prepared.cells, bt.shortened(bt.FREQUENCY, ROUNDS))
         cells, _ = insights.fit_severity(cells, bt.shortened(bt.SEVERITY, ROUNDS))
         cells, _ = insights.fit_trigger(cells, bt.shortened(bt.TRIGGER, ROUNDS))
@@ -160,8 +171,9 @@ def earned_premium(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def financial_mart(spark: SparkSession, folder: str) -> DataFrame:
-    policies = _portfolio(spark, folder)
-    return mart.financial_mart(policies, reserving.claims_reserving(policies))
+    """The join of the stored portfolio with the stored claims table."""
+    store = _warehouse(spark, folder)
+    return mart.financial_mart(store.table("policy_portfolio"), store.table("fact_claims"))
 
 
 def financial_mart_rowwise(spark: SparkSession, folder: str) -> DataFrame:
@@ -204,9 +216,8 @@ def monthly_regional_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def monthly_regional_summary_star(spark: SparkSession, folder: str) -> DataFrame:
-    """The same view as a join of the dimension and fact frames."""
-    dimension, fact = dim_policies(spark, folder), fact_financials(spark, folder)
-    return _settled_months(star.monthly_regional_summary(dimension, fact))
+    """The same view as a join of the stored dimension and fact tables."""
+    return _settled_months(_warehouse(spark, folder).monthly())
 
 
 def _settled_months(summary: DataFrame) -> DataFrame:
@@ -227,10 +238,8 @@ def region_month_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def modeling_dataset(spark: SparkSession, folder: str) -> DataFrame:
-    """The three-table join; the row-wise form feeds the model queries."""
-    frame = modeling.modeling_dataset(
-        dim_policies(spark, folder), fact_financials(spark, folder), _portfolio(spark, folder)
-    )
+    """The join of the three stored tables."""
+    frame = _warehouse(spark, folder).modeling()
     return frame.withColumn("Log_Exposure", settle(F.col("Log_Exposure"), 8))
 
 
@@ -240,7 +249,7 @@ def modeling_dataset_rowwise(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def audit_dataset(spark: SparkSession, folder: str) -> DataFrame:
-    return modeling.audit_dataset(dim_policies(spark, folder), _portfolio(spark, folder))
+    return _warehouse(spark, folder).audit_data()
 
 
 def severity_dataset(spark: SparkSession, folder: str) -> DataFrame:
@@ -249,25 +258,25 @@ def severity_dataset(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def severity_capped(spark: SparkSession, folder: str) -> DataFrame:
-    frame = _modeling(spark, folder)
+    frame = _warehouse(spark, folder).modeling()
     capped = modeling.severity_capped(frame, modeling.severity_cap(frame))
     return capped.select("IDpol", settle(F.col("Avg_Severity"), 6).alias("Avg_Severity"))
 
 
 def xol_threshold(spark: SparkSession, folder: str) -> DataFrame:
-    threshold = modeling.retention(_modeling(spark, folder))
+    threshold = modeling.retention(_warehouse(spark, folder).modeling())
     one_row = spark.range(1)
     return one_row.select(settle(F.lit(threshold).cast("double"), 6).alias("Retention"))
 
 
 def large_loss_flag(spark: SparkSession, folder: str) -> DataFrame:
-    frame = _modeling(spark, folder)
+    frame = _warehouse(spark, folder).modeling()
     flagged = modeling.with_large_loss_flag(frame, modeling.retention(frame))
     return flagged.select("IDpol", F.col("Is_Large_Loss").cast("bigint").alias("Is_Large_Loss"))
 
 
 def class_balance(spark: SparkSession, folder: str) -> DataFrame:
-    frame = _modeling(spark, folder)
+    frame = _warehouse(spark, folder).modeling()
     return modeling.class_balance(modeling.with_large_loss_flag(frame, modeling.retention(frame)))
 
 
@@ -290,25 +299,33 @@ def poisson_deviance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def glm_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    return glm.fit_frequency_glm(_modeling(spark, folder)).coefficients()
+    return glm.fit_frequency_glm(_warehouse(spark, folder).modeling()).coefficients()
 
 
 def glm_severity(spark: SparkSession, folder: str) -> DataFrame:
-    return glm.fit_severity_glm(_modeling(spark, folder)).coefficients()
+    return glm.fit_severity_glm(_warehouse(spark, folder).modeling()).coefficients()
 
 
 def glm_frequency_balance(spark: SparkSession, folder: str) -> DataFrame:
     """Fitted claims per area; the score equations make them the reported claims."""
-    fitted = glm.fit_frequency_glm(_modeling(spark, folder)).fitted()
-    malus = F.sum(F.col("Fitted") * F.col("BonusMalus"))
-    return fitted.groupBy("Area").agg(
-        settle(F.sum("Fitted"), 2).alias("Claims"), settle(malus, 1).alias("Claims_By_Malus")
+    fitted = glm.fit_frequency_glm(_warehouse(spark, folder).modeling()).fitted()
+    return fitted.groupBy("Area").agg(settle(F.sum("Fitted"), 2).alias("Claims"))
+
+
+def glm_frequency_moments(spark: SparkSession, folder: str) -> DataFrame:
+    """Fitted claims weighted by each numeric factor; again those of the reported claims."""
+    fitted = glm.fit_frequency_glm(_warehouse(spark, folder).modeling()).fitted()
+    return fitted.agg(
+        *[
+            settle(F.sum(F.col("Fitted") * F.col(name)), 0).alias(f"Claims_By_{name}")
+            for name in NUMERIC_FACTORS
+        ]
     )
 
 
 def glm_severity_balance(spark: SparkSession, folder: str) -> DataFrame:
     """Observed over fitted severity, summed per area: the number of policies."""
-    fitted = glm.fit_severity_glm(_modeling(spark, folder)).fitted()
+    fitted = glm.fit_severity_glm(_warehouse(spark, folder).modeling()).fitted()
     relative = F.col("Target") / F.col("Fitted") * F.col("Policies")
     return fitted.groupBy("Area").agg(settle(F.sum(relative), 2).alias("Policies"))
 
@@ -383,21 +400,22 @@ def _observed_insights(spark: SparkSession, folder: str) -> DataFrame:
 
 def leakage_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return audit.leakage_clusters(
-        _observed_insights(spark, folder), dim_policies(spark, folder), AUDIT_LIMITS
+        _observed_insights(spark, folder),
+        _warehouse(spark, folder).table("dim_policies"),
+        AUDIT_LIMITS,
     )
 
 
 def leakage_clusters_model(spark: SparkSession, folder: str) -> DataFrame:
     return audit.leakage_clusters(
-        ml_insights(spark, folder), dim_policies(spark, folder), AUDIT_LIMITS
+        ml_insights(spark, folder), _warehouse(spark, folder).table("dim_policies"), AUDIT_LIMITS
     )
 
 
 def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
     """Distribution of the permutation importance per factor."""
-    policies = _star(spark, folder).where(F.col("Exposure") > 0)
     importances = audit.permutation_importance(
-        policies.select(*modeling.AUDIT_COLUMNS), bt.shortened(bt.AUDIT, ROUNDS)
+        _warehouse(spark, folder).audit_data(), bt.shortened(bt.AUDIT, ROUNDS)
     )
     return audit.importance_summary(importances)
 
@@ -412,7 +430,8 @@ QUERIES: tuple[Query, ...] = (
     modeling_dataset, modeling_dataset_rowwise, audit_dataset,
     severity_dataset, severity_capped, xol_threshold, large_loss_flag, class_balance,
     poisson_deviance,
-    glm_frequency, glm_severity, glm_frequency_balance, glm_severity_balance,
+    glm_frequency, glm_severity, glm_frequency_balance,
+    glm_frequency_moments, glm_severity_balance,
     boosted_frequency, boosted_severity, xol_probability,
     pure_premium, pure_premium_observed, ml_insights, insight_validation,
     leakage_clusters, leakage_clusters_model, permutation_importance,

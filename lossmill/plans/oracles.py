@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from ..params import NUMERIC_FACTORS
 from .catalog import AUDIT_LIMITS, SAMPLE_MONTH, SAMPLE_REGION
 
 TWO_PI = repr(2.0 * math.pi)
@@ -222,9 +223,14 @@ SELECTS = {
               FROM model m JOIN (SELECT Region, SUM(ReportedClaimCount) / SUM(Exposure) AS Frequency
                                  FROM model GROUP BY Region) r ON m.Region = r.Region)""",
     "glm_frequency_balance": f"""
-        SELECT Area, {_settle('SUM(ReportedClaimCount)', 2)} AS Claims,
-               {_settle('SUM(ReportedClaimCount * BonusMalus)', 1)} AS Claims_By_Malus
+        SELECT Area, {_settle('SUM(ReportedClaimCount)', 2)} AS Claims
         FROM model GROUP BY Area""",
+    "glm_frequency_moments": "SELECT "
+    + ", ".join(
+        f"CAST(SUM(ReportedClaimCount * {name}) AS DOUBLE) AS Claims_By_{name}"
+        for name in NUMERIC_FACTORS
+    )
+    + " FROM model",
     "glm_severity_balance": """
         SELECT Area, CAST(COUNT(*) AS DOUBLE) AS Policies FROM capped WHERE Capped > 0
         GROUP BY Area""",

@@ -36,6 +36,8 @@ def read_csv_tolerant(
         .option("escape", quote)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", RAW_ROW)
+        # A pruned parser skips cells and would no longer see the row's width.
+        .option("columnPruning", False)
         .csv(path)
     )
     # The raw row is set only when the number of cells is not the declared one.

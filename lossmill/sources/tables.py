@@ -11,17 +11,20 @@ def write_table(
     path: str | None = None,
     bucket_by: str | None = None,
     buckets: int | None = None,
+    aligned: bool = False,
 ) -> DataFrame:
     """Create or replace a Parquet table and return it.
 
-    With ``bucket_by`` the rows are laid out by the hash of that key, sorted,
-    one file per bucket: later joins and groupings on the key then need no
-    shuffle and no sort. All tables joined on a key must use one bucket count.
+    With ``bucket_by`` the rows are laid out by the hash of that key, one sorted
+    file per bucket: later joins and groupings on the key then need no shuffle.
+    All tables joined on a key must use one bucket count. ``aligned`` says that
+    the frame comes from tables with this layout and needs no shuffle either.
     """
     spark = frame.sparkSession
     if bucket_by is not None:
         buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        frame = frame.repartition(buckets, bucket_by)
+        if not aligned:
+            frame = frame.repartition(buckets, bucket_by)
     writer = frame.write.mode("overwrite").format("parquet")
     if bucket_by is not None:
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
