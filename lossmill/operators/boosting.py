@@ -43,6 +43,7 @@ class Boosting:
     rate: float = 0.3
     penalty: float = 1.0  # added to the curvature of a leaf
     leaf_curvature: float = 1.0  # smallest curvature a leaf may hold
+    gain: float = 1e-9  # smallest gain of a split; less is rounding noise
     bins: int = 256
     seed: int = 42
     table_every: int = 10  # rounds between two written states
@@ -177,7 +178,7 @@ def boost(
     learner = DecisionTreeRegressor(
         featuresCol="features", labelCol="_slope", weightCol="_curvature",
         predictionCol="_fitted", leafCol="leaf",
-        maxDepth=params.depth, maxBins=params.bins, seed=params.seed,
+        maxDepth=params.depth, maxBins=params.bins, minInfoGain=params.gain, seed=params.seed,
         cacheNodeIds=False, maxMemoryInMB=512,
     )
     for done in range(1, params.rounds + 1):
