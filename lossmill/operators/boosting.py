@@ -174,7 +174,8 @@ def boost(
     state = _graded(
         cells.withColumn(margin, F.lit(objective.base)), objective, target, volume, margin
     ).persist(StorageLevel.MEMORY_AND_DISK)
-    curvature = _total_curvature(state)
+    curvature, rows = _volume(state)
+    copies = math.ceil(_most_categories(cells) / max(rows, 1))
     learner = DecisionTreeRegressor(
         featuresCol="features", labelCol="_slope", weightCol="_curvature",
         predictionCol="_fitted", leafCol="leaf",
@@ -186,8 +187,7 @@ def boost(
             break  # no cell to learn from
         share = min(0.49, params.leaf_curvature / curvature)
         tree = learner.copy({learner.minWeightFractionPerNode: share}).fit(
-            _assembled(state.where(F.col("_curvature") > 0))
-            .select("features", "_slope", "_curvature")
+            _sample(state, copies)
         )
         tree = tree.setPredictionCol("")
         leaves = tree.transform(_assembled(state))
@@ -206,7 +206,7 @@ def boost(
         if done % params.table_every == 0 and done < params.rounds:
             moved = cut_lineage(moved)
         moved = moved.persist(StorageLevel.MEMORY_AND_DISK)
-        curvature = _total_curvature(moved)
+        curvature, _ = _volume(moved)
         state.unpersist()
         state = moved
     scored = cut_lineage(state.select(*kept))
@@ -236,8 +236,32 @@ def _graded(
     )
 
 
-def _total_curvature(state: DataFrame) -> float:
-    return state.agg(F.sum("_curvature")).first()[0] or 0.0
+def _volume(state: DataFrame) -> tuple[float, int]:
+    """Total curvature, and the number of cells that take part in the fit."""
+    curvature = F.col("_curvature")
+    found = state.agg(F.sum(curvature), F.count_if(curvature > 0)).first()
+    return found[0] or 0.0, found[1]
+
+
+def _sample(state: DataFrame, copies: int) -> DataFrame:
+    """The cells to fit on.
+
+    The learner wants at least as many rows as a factor has categories. A tiny
+    portfolio gets there with copies that share the weight, which changes no sum.
+    """
+    fitted = state.where(F.col("_curvature") > 0)
+    if copies > 1:
+        fitted = fitted.withColumn(
+            "_curvature",
+            F.explode(F.array_repeat(F.col("_curvature") / F.lit(float(copies)), copies)),
+        )
+    return _assembled(fitted).select("features", "_slope", "_curvature")
+
+
+def _most_categories(cells: DataFrame) -> int:
+    return max(
+        len(cells.schema[f"{name}_code"].metadata["ml_attr"]["vals"]) for name in CATEGORY_FACTORS
+    )
 
 
 def _leaf_steps(sums: list, objective: Objective, params: Boosting) -> list[float]:
