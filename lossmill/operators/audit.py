@@ -48,7 +48,8 @@ def fit_audit_model(coded: DataFrame, params: bt.Boosting) -> tuple[DataFrame, b
         coded.groupBy(*bt.CODES).agg(
             F.sum("ReportedClaimCount").cast("double").alias("claims"),
             F.count("*").cast("double").alias("policies"),
-        )
+        ),
+        spread=True,
     )
     totals = cells.agg(F.sum("claims").alias("y"), F.sum("policies").alias("n")).first()
     mean = totals["y"] / totals["n"] if totals["n"] else 0.0

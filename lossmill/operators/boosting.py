@@ -277,7 +277,8 @@ def _leaf_steps(sums: list, objective: Objective, params: Boosting) -> list[floa
 
 def _step(steps: list[float]) -> Column:
     """Look up the step of the row's leaf; a tree has at most 2**depth leaves."""
-    return F.get(F.array(*[F.lit(value) for value in steps]), F.col("leaf").cast("int"))
+    table = F.expr("array(" + ", ".join(f"{value!r}D" for value in steps) + ")")
+    return F.get(table, F.col("leaf").cast("int"))
 
 
 def shortened(params: Boosting, rounds: int | None) -> Boosting:

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +53,7 @@ def rating_cells(modeling: DataFrame) -> RatingCells:
         F.count("*").cast("double").alias("policies"),
         F.sum("Is_Large_Loss").cast("double").alias("large"),
     )
-    return RatingCells(coded, cut_lineage(cells), threshold)
+    return RatingCells(coded, cut_lineage(cells, spread=True), threshold)
 
 
 def fit_frequency(
@@ -90,6 +93,33 @@ def fit_trigger(
     )
 
 
+def train_models(
+    cells: DataFrame,
+    frequency: bt.Boosting = bt.FREQUENCY,
+    severity: bt.Boosting = bt.SEVERITY,
+    trigger: bt.Boosting = bt.TRIGGER,
+) -> DataFrame:
+    """Fit the three models side by side; returns the cells with all three margins.
+
+    The models do not depend on each other, so the jobs of one fill the cluster
+    while another one waits for its last tasks.
+    """
+    fits = [
+        partial(fit_frequency, cells, frequency),
+        partial(fit_severity, cells, severity),
+        partial(fit_trigger, cells, trigger),
+    ]
+    bound = map(inheritable_thread_target(cells.sparkSession), fits)
+    with ThreadPoolExecutor(len(fits)) as pool:
+        scored = [frame for frame, _ in pool.map(lambda fit: fit(), bound)]
+    margins = [
+        frame.select(*bt.CODES, *[c for c in frame.columns if c.endswith("_margin")])
+        for frame in scored
+    ]
+    joined = reduce(lambda left, right: left.join(right, list(bt.CODES)), margins)
+    return cut_lineage(joined)
+
+
 def frequency_count() -> Column:
     """Expected claims over the policy's own exposure, not per year."""
     return F.col("Exposure") * F.exp("frequency_margin")
@@ -149,9 +179,7 @@ def underwriting_insights(
     Training and scoring use the same policies; there is no holdout.
     """
     prepared = rating_cells(modeling)
-    cells, _ = fit_frequency(prepared.cells, frequency)
-    cells, _ = fit_severity(cells, severity)
-    cells, _ = fit_trigger(cells, trigger)
+    cells = train_models(prepared.cells, frequency, severity, trigger)
     scored = with_predictions(score_policies(prepared.policies, cells))
     return pure_premium(scored).select(*INSIGHT_COLUMNS)
 

@@ -77,9 +77,8 @@ def _models(spark: SparkSession, folder: str) -> tuple[insights.RatingCells, Dat
     key = (spark.sparkContext.applicationId, folder)
     if key not in _trained:
         prepared = insights.rating_cells(_warehouse(spark, folder).modeling())
-        cells, _ = insights.fit_frequency(prepared.cells, bt.shortened(bt.FREQUENCY, ROUNDS))
-        cells, _ = insights.fit_severity(cells, bt.shortened(bt.SEVERITY, ROUNDS))
-        cells, _ = insights.fit_trigger(cells, bt.shortened(bt.TRIGGER, ROUNDS))
+        lengths = [bt.shortened(p, ROUNDS) for p in (bt.FREQUENCY, bt.SEVERITY, bt.TRIGGER)]
+        cells = insights.train_models(prepared.cells, *lengths)
         _trained[key] = (prepared, cells)
     return _trained[key]
 

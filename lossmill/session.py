@@ -50,12 +50,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(frame: DataFrame) -> DataFrame:
+def cut_lineage(frame: DataFrame, spread: bool = False) -> DataFrame:
     """Write the frame to the shared folder and read it back.
 
     Later stages depend on the written files only, so a lost executor costs a
-    re-read and not a recomputation of everything upstream.
+    re-read and not a recomputation of everything upstream. ``spread`` deals the
+    rows out to all shuffle partitions, for small frames that take many passes.
     """
     path = scratch_path(frame.sparkSession, "stage")
+    if spread:
+        partitions = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        frame = frame.repartition(partitions)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
