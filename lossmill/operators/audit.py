@@ -107,10 +107,16 @@ def permutation_importance(
         for factor in RATING_FACTORS
         for repeat in range(1, repeats + 1)
     ]
-    variants = shuffled.select("claims", F.explode(F.array(*swapped)).alias("variant")).select(
-        "claims", "variant.*"
-    )
-    scored = model.margin(variants)
+    # Scored inside the array: one pass per policy over its variants.
+    scored = shuffled.select("claims", F.array(*swapped).alias("variants")).select(
+        "claims",
+        F.explode(
+            F.expr(
+                "transform(variants, v -> named_struct('Feature', v.Feature, "
+                f"'Repeat', v.Repeat, 'margin', {model.margin_sql('v')}))"
+            )
+        ).alias("variant"),
+    ).select("claims", "variant.*")
     fit = F.sum(F.exp("margin") - F.col("claims") * F.col("margin"))
     return (
         scored.groupBy("Feature", "Repeat")

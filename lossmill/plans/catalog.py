@@ -6,6 +6,7 @@ sum of doubles depend on the row order. The operators themselves return raw sums
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,7 @@ CSV_SCHEMA = T.StructType(
     ]
 )
 
+_building = threading.RLock()
 _stored: dict[tuple[str, str], Warehouse] = {}
 _trained: dict[tuple[str, str], tuple[insights.RatingCells, DataFrame]] = {}
 
@@ -66,21 +68,22 @@ def _modeling(spark: SparkSession, folder: str) -> DataFrame:
 def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """The stored tables, built once per session and folder; the joins read these."""
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _stored:
-        store = Warehouse(spark, scratch_path(spark, "warehouse"), prefix=f"w{len(_stored)}_")
-        _stored[key] = store.build(_portfolio(spark, folder))
-    return _stored[key]
+    with _building:
+        if key not in _stored:
+            store = Warehouse(spark, scratch_path(spark, "warehouse"), prefix=f"w{len(_stored)}_")
+            _stored[key] = store.build(_portfolio(spark, folder))
+        return _stored[key]
 
 
 def _models(spark: SparkSession, folder: str) -> tuple[insights.RatingCells, DataFrame]:
     """The three boosted models, trained once per session and folder."""
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _trained:
-        prepared = insights.rating_cells(_warehouse(spark, folder).modeling())
-        lengths = [bt.shortened(p, ROUNDS) for p in (bt.FREQUENCY, bt.SEVERITY, bt.TRIGGER)]
-        cells = insights.train_models(prepared.cells, *lengths)
-        _trained[key] = (prepared, cells)
-    return _trained[key]
+    with _building:
+        if key not in _trained:
+            prepared = insights.rating_cells(_warehouse(spark, folder).modeling())
+            lengths = [bt.shortened(p, ROUNDS) for p in (bt.FREQUENCY, bt.SEVERITY, bt.TRIGGER)]
+            _trained[key] = (prepared, insights.train_models(prepared.cells, *lengths))
+        return _trained[key]
 
 
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
