@@ -93,40 +93,37 @@ def permutation_importance(
     shuffled = _with_donors(
         coded, blocks, repeats, seed, int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
-    swapped = [
+    labels = [(name, repeat) for name in RATING_FACTORS for repeat in range(1, repeats + 1)]
+    variants = [
         F.struct(
-            F.lit(factor).alias("Feature"),
-            F.lit(repeat).cast("bigint").alias("Repeat"),
             *[
-                F.col(f"donor{repeat}" if name == factor else "own")[f"{name}_code"].alias(
-                    f"{name}_code"
+                F.col(f"donor{repeat}" if other == name else "own")[f"{other}_code"].alias(
+                    f"{other}_code"
                 )
-                for name in RATING_FACTORS
-            ],
+                for other in RATING_FACTORS
+            ]
         )
-        for factor in RATING_FACTORS
-        for repeat in range(1, repeats + 1)
+        for name, repeat in labels
     ]
-    # Scored inside the array: one pass per policy over its variants.
-    scored = shuffled.select("claims", F.array(*swapped).alias("variants")).select(
-        "claims",
-        F.explode(
-            F.expr(
-                "transform(variants, v -> named_struct('Feature', v.Feature, "
-                f"'Repeat', v.Repeat, 'margin', {model.margin_sql('v')}))"
-            )
-        ).alias("variant"),
-    ).select("claims", "variant.*")
-    fit = F.sum(F.exp("margin") - F.col("claims") * F.col("margin"))
-    return (
-        scored.groupBy("Feature", "Repeat")
-        .agg(fit.alias("fit"))
-        .select(
-            "Feature",
-            "Repeat",
-            ((F.col("fit") - F.lit(intact["fit"])) * 2.0 / F.lit(intact["n"])).alias("Importance"),
-        )
+    # All variants of a policy are scored inside one array and summed by position,
+    # so a policy stays one row.
+    fits = f"transform(transform(variants, v -> {model.margin_sql('v')}), m -> exp(m) - claims * m)"
+    totals = (
+        shuffled.select("claims", F.array(*variants).alias("variants"))
+        .select(F.expr(fits).alias("fits"))
+        .agg(*[F.sum(F.col("fits")[i]).alias(f"fit{i}") for i in range(len(labels))])
     )
+    rows = [
+        F.struct(
+            F.lit(name).alias("Feature"),
+            F.lit(repeat).cast("bigint").alias("Repeat"),
+            ((F.col(f"fit{i}") - F.lit(intact["fit"])) * 2.0 / F.lit(intact["n"])).alias(
+                "Importance"
+            ),
+        )
+        for i, (name, repeat) in enumerate(labels)
+    ]
+    return totals.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
 
 
 def _with_donors(
