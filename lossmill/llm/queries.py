@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .documents import read_documents
+from .packing import pack_documents
 from .shipping import ship
 from .substring_dedup import remove_repeated_words
 from .suffix_dedup import remove_repeated_bytes
+from .token_files import read_token_files, write_token_files
+
+#: Vocabulary file of the token queries.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
 
 
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,5 +45,17 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    return pack_documents(read_documents(spark, folder), tokenizer_path(), end_id=2, with_ids=False).drop("ids")
+
+
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    path = scratch_path(spark, "tokens")
+    write_token_files(read_documents(spark, folder), path, tokenizer_path(), end_id=1)
+    return read_token_files(spark, path, with_ids=False)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_substring_dedup, op4_suffix_dedup)}
+    return {f.__name__: f for f in (op2_substring_dedup, op4_suffix_dedup, op6_packing, op9_token_files)}
