@@ -28,3 +28,8 @@ def keyed(docs: DataFrame) -> DataFrame:
         return columns.select(F.col("doc_id").alias("key"), "doc_id", "text")
     ordered = columns.distinct().orderBy(F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first())
     return cut_lineage(ordered.select(F.monotonically_increasing_id().alias("key"), "doc_id", "text"))
+
+
+def plain_ids(docs: DataFrame) -> bool:
+    """Whether keys made by `keyed` are the ids themselves."""
+    return not docs.where(~F.col("key").eqNullSafe(F.col("doc_id"))).limit(1).count()

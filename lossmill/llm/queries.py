@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .documents import read_documents
+from .minhash_dedup import near_duplicates
 from .packing import pack_documents
 from .shipping import ship
 from .substring_dedup import remove_repeated_words
@@ -25,6 +26,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    return near_duplicates(read_documents(spark, folder), length=3, percent=85).drop("key")
+
+
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     ship(spark)
     found = remove_repeated_words(read_documents(spark, folder))
@@ -58,4 +64,4 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_substring_dedup, op4_suffix_dedup, op6_packing, op9_token_files)}
+    return {f.__name__: f for f in (op1_minhash_dedup, op2_substring_dedup, op4_suffix_dedup, op6_packing, op9_token_files)}

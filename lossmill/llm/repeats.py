@@ -167,8 +167,8 @@ def interval_windows(
     that have such a window, a number for equal ones, and the interval of each.
     """
     hashes = np.zeros(len(common), dtype=np.uint64)
-    powers = np.uint64(1)
-    step = np.uint64(0x9E3779B97F4A7C15)
+    powers = np.ones(1, dtype=np.uint64)
+    step = np.full(1, 0x9E3779B97F4A7C15, dtype=np.uint64)
     for a in range(int(before.max(initial=-1)) + 1):
         if a:
             hashes = hashes + (left[:, a - 1].astype(np.uint64) + np.uint64(1)) * powers
