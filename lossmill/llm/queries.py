@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .decontaminate import contaminated
 from .documents import read_documents
 from .minhash_dedup import near_duplicates
 from .packing import pack_documents
+from .quality import THRESHOLD, scored, train
 from .shipping import ship
 from .substring_dedup import remove_repeated_words
 from .suffix_dedup import remove_repeated_bytes
 from .token_files import read_token_files, write_token_files
+from .vector_search import nearest_neighbours
 
 #: Vocabulary file of the token queries.
 TOKENIZER = "word_bpe_49k.json"
@@ -51,11 +54,33 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return contaminated(read_documents(spark, folder), benchmark).drop("key")
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     ship(spark)
     return pack_documents(read_documents(spark, folder), tokenizer_path(), end_id=2, with_ids=False).drop("ids")
 
 
+def op7_vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return nearest_neighbours(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    docs, labels = read_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    found = scored(docs, train(docs, labels))
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     ship(spark)
     path = scratch_path(spark, "tokens")
@@ -64,4 +89,14 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash_dedup, op2_substring_dedup, op4_suffix_dedup, op6_packing, op9_token_files)}
+    found = (
+        op1_minhash_dedup,
+        op2_substring_dedup,
+        op4_suffix_dedup,
+        op5_decontamination,
+        op6_packing,
+        op7_vector_search,
+        op8_quality,
+        op9_token_files,
+    )
+    return {f.__name__: f for f in found}
