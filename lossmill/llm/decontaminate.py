@@ -177,7 +177,9 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int64()))], ["shingles"])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, pass_bytes: int = PASS_BYTES) -> DataFrame:
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, pass_bytes: int = PASS_BYTES, has_keys: bool = False
+) -> DataFrame:
     """Rows key, doc_id, item_id, start_word, n_words, similarity, distance.
 
     One row for each document and item with a window of the document that is
@@ -187,7 +189,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, pass_bytes: int = PASS_B
     shingle. Rows that repeat an id: see `documents.keyed`, for both tables. The
     benchmark is searched for in passes of bounded size, each over all documents.
     """
-    docs = keyed(docs)
+    docs = docs if has_keys else keyed(docs)
     items = benchmark.select(F.col("item_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = keyed(items).where("text IS NOT NULL").select(F.col("doc_id").alias("item_id"), "text")
     # An item cannot span passes, so a pass is as large as its share, or its one largest item.

@@ -30,6 +30,16 @@ def keyed(docs: DataFrame) -> DataFrame:
     return cut_lineage(ordered.select(F.monotonically_increasing_id().alias("key"), "doc_id", "text"))
 
 
+def rows_of(docs: DataFrame, keyed_docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of a document table, all columns, whose key is among `keys` (column key)."""
+    if plain_ids(keyed_docs):
+        return docs.join(keys.select(F.col("key").alias("doc_id")), "doc_id", "left_semi")
+    chosen = keyed_docs.join(keys.select("key"), "key", "left_semi").select("doc_id", "text")
+    once = docs.dropDuplicates(["doc_id", "text"])
+    same = once["doc_id"].eqNullSafe(chosen["doc_id"]) & once["text"].eqNullSafe(chosen["text"])
+    return once.join(chosen, same, "left_semi")
+
+
 def plain_ids(docs: DataFrame) -> bool:
     """Whether keys made by `keyed` are the ids themselves."""
     return not docs.where(~F.col("key").eqNullSafe(F.col("doc_id"))).limit(1).count()

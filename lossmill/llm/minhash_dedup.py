@@ -223,7 +223,7 @@ def _open_pairs(docs: DataFrame, open_rows: DataFrame, length: int, fold_case: b
 
 
 def near_duplicates(
-    docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT, fold_case: bool = True
+    docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT, fold_case: bool = True, has_keys: bool = False
 ) -> DataFrame:
     """Rows key, doc_id, n_shingles, component_id, kept: one for each document.
 
@@ -232,7 +232,7 @@ def near_duplicates(
     that repeat an id: see `documents.keyed`; without an id component_id may be
     NULL. An empty table gives no rows.
     """
-    docs = keyed(docs)
+    docs = docs if has_keys else keyed(docs)
     rows = rows_per_band(percent)
     signed_docs = cut_lineage(
         docs.mapInArrow(partial(_signed_documents, length=length, fold_case=fold_case, rows=rows), SIGNED)

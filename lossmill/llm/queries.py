@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .decontaminate import contaminated
 from .documents import read_documents
+from .licenses import license_matches
 from .minhash_dedup import near_duplicates
 from .packing import pack_documents
+from .ppm import language_scores
 from .quality import THRESHOLD, scored, train
 from .shipping import ship
 from .substring_dedup import remove_repeated_words
@@ -42,6 +44,11 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_language_scores(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    return language_scores(read_documents(spark, folder))
+
+
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     ship(spark)
     found = remove_repeated_bytes(read_documents(spark, folder))
@@ -88,15 +95,21 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_token_files(spark, path, with_ids=False)
 
 
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return license_matches(read_documents(spark, folder))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_minhash_dedup,
         op2_substring_dedup,
+        op3_language_scores,
         op4_suffix_dedup,
         op5_decontamination,
         op6_packing,
         op7_vector_search,
         op8_quality,
         op9_token_files,
+        op10_licenses,
     )
     return {f.__name__: f for f in found}

@@ -126,7 +126,7 @@ def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
 
 
 def remove_repeated_words(
-    docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, crowd: int = CROWD
+    docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, crowd: int = CROWD, has_keys: bool = False
 ) -> DataFrame:
     """Columns key, doc_id, size, removed, spans, kept: see `kept.without`.
 
@@ -134,7 +134,7 @@ def remove_repeated_words(
     passage are kept whole. Rows that repeat an id: see `documents.keyed`. Repeats
     inside one text and overlapping ones count. An empty table gives no rows.
     """
-    docs = keyed(docs)
+    docs = docs if has_keys else keyed(docs)
     settled = cut_lineage(settle(docs, "words", length, anchor, keep_first=True))
     prefix = F.xxhash64(F.substring("suffix", 1, 8 * anchor))
     parts = cut_lineage(contents(docs, settled, "words", length, anchor).withColumn("prefix", prefix))
