@@ -16,14 +16,11 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from lossmill.operators import audit, glm, insights, mart  # noqa: E402
-from lossmill.operators import boosting as bt  # noqa: E402
 from lossmill.plans import catalog  # noqa: E402
 from lossmill.plans.warehouse import Warehouse  # noqa: E402
 from lossmill.session import local_session, scratch_path  # noqa: E402
 from lossmill.sources import orderbook  # noqa: E402
 
-ROUNDS = catalog.ROUNDS
-
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -35,7 +32,6 @@ def main() -> None:
         frame.write.format("noop").mode("overwrite").save()
 
     store = Warehouse(spark, scratch_path(spark, "bench"), prefix="bench_")
-    boosted = [bt.shortened(p, ROUNDS) for p in (bt.FREQUENCY, bt.SEVERITY, bt.TRIGGER)]
     steps = {
         "policy_portfolio": lambda: sink(orderbook.policy_portfolio(spark, folder)),
         "financial_mart_rowwise": lambda: sink(catalog.financial_mart_rowwise(spark, folder)),
@@ -50,15 +46,9 @@ def main() -> None:
         "modeling_dataset_stored": lambda: sink(store.modeling()),
         "glm_frequency": lambda: glm.fit_frequency_glm(store.modeling()).coefficients().collect(),
         "glm_severity": lambda: glm.fit_severity_glm(store.modeling()).coefficients().collect(),
-        f"ml_insights_{ROUNDS}_rounds": lambda: sink(
-            insights.underwriting_insights(store.modeling(), *boosted)
-        ),
-        f"permutation_importance_{ROUNDS}_rounds": lambda: sink(
-            audit.importance_summary(
-                audit.permutation_importance(
-                    store.audit_data(), bt.shortened(bt.AUDIT, ROUNDS)
-                )
-            )
+        "ml_insights": lambda: sink(insights.underwriting_insights(store.modeling())),
+        "permutation_importance": lambda: sink(
+            audit.importance_summary(audit.permutation_importance(store.audit_data()))
         ),
     }
     seconds = {}

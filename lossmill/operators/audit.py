@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from functools import partial
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rounding import round_away
 from ..params import RATING_FACTORS, Leakage
-from ..session import cut_lineage
+from ..session import cut_lineage, ship
 from . import boosting as bt
 
 REPEATS = 5
 SEED = 42
-BLOCK_ROWS = 1024
 
 
 def leakage_clusters(
@@ -58,28 +61,18 @@ def fit_audit_model(coded: DataFrame, params: bt.Boosting) -> tuple[DataFrame, b
 
 
 def permutation_importance(
-    audit: DataFrame,
-    params: bt.Boosting = bt.AUDIT,
-    repeats: int = REPEATS,
-    seed: int = SEED,
-    block_rows: int = BLOCK_ROWS,
+    audit: DataFrame, params: bt.Boosting = bt.AUDIT, repeats: int = REPEATS, seed: int = SEED
 ) -> DataFrame:
     """Loss of fit when one factor is shuffled over the policies, per repeat.
 
-    The importance is the rise of the mean Poisson deviance. The repeats use
-    one shuffle each for all factors. Columns are permuted inside blocks of
-    about ``block_rows`` policies picked at random: every value is used exactly
-    once, and since a block is a random sample, a policy's donor may be any
-    policy. That takes a single exchange and no global sort.
+    The importance is the rise of the mean Poisson deviance. The policies are put in
+    an order by the hash of their key and values; a repeat gives each policy the
+    factor of the one that stands a random distance behind it, the last followed by
+    the first. Every value is used exactly once, and neither the order nor the
+    distances depend on how the rows are stored. A repeat serves all factors.
     """
     audit = cut_lineage(audit)
-    coded = bt.FactorCoder.fit(audit).transform(audit).select(
-        # Position in the written frame: unique even where a policy key is not.
-        F.monotonically_increasing_id().alias("row"),
-        F.struct(*bt.CODES).alias("factors"),
-        *bt.CODES,
-        "ReportedClaimCount",
-    )
+    coded = bt.FactorCoder.fit(audit).transform(audit).select("IDpol", *bt.CODES, "ReportedClaimCount")
     cells, model = fit_audit_model(coded, params)
     # Terms of the deviance without model output cancel in the difference.
     intact = cells.agg(
@@ -88,31 +81,12 @@ def permutation_importance(
             F.col("policies") * F.exp("audit_margin") - F.col("claims") * F.col("audit_margin")
         ).alias("fit"),
     ).first()
-    spark = audit.sparkSession
-    blocks = max(1, math.ceil((intact["n"] or 0) / block_rows))
-    shuffled = _with_donors(
-        coded, blocks, repeats, seed, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
+    ship(audit.sparkSession)
+    schema = ", ".join(f"fit{i} double" for i in range(len(RATING_FACTORS) * repeats))
+    shuffled = _with_donors(coded, repeats, seed)
+    totals = shuffled.mapInArrow(partial(_fits, model=model, repeats=repeats), schema)
+    totals = totals.agg(*[F.sum(c).alias(c) for c in totals.columns])
     labels = [(name, repeat) for name in RATING_FACTORS for repeat in range(1, repeats + 1)]
-    variants = [
-        F.struct(
-            *[
-                F.col(f"donor{repeat}" if other == name else "own")[f"{other}_code"].alias(
-                    f"{other}_code"
-                )
-                for other in RATING_FACTORS
-            ]
-        )
-        for name, repeat in labels
-    ]
-    # All variants of a policy are scored inside one array and summed by position,
-    # so a policy stays one row.
-    fits = f"transform(transform(variants, v -> {model.margin_sql('v')}), m -> exp(m) - claims * m)"
-    totals = (
-        shuffled.select("claims", F.array(*variants).alias("variants"))
-        .select(F.expr(fits).alias("fits"))
-        .agg(*[F.sum(F.col("fits")[i]).alias(f"fit{i}") for i in range(len(labels))])
-    )
     rows = [
         F.struct(
             F.lit(name).alias("Feature"),
@@ -126,40 +100,55 @@ def permutation_importance(
     return totals.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
 
 
-def _with_donors(
-    coded: DataFrame, blocks: int, repeats: int, seed: int, partitions: int
-) -> DataFrame:
-    """One row per policy with its own factors and those of a donor per repeat.
-
-    Blocks are of bounded size: the row number is unique and its hash uniform.
-    """
-    block = F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(blocks))
-    grouped = (
-        coded.select(block.alias("block"), "row", "factors", "ReportedClaimCount")
-        # An explicit number keeps the costly scoring below spread over all cores.
-        .repartition(partitions, "block")
-        .groupBy("block")
-        .agg(F.sort_array(F.collect_list(F.struct("row", "factors", "ReportedClaimCount"))).alias("own"))
-    )
-
-    def permuted(repeat: int):
-        keyed = F.transform(
-            "own",
-            lambda e: F.struct(
-                F.xxhash64(e["row"], F.lit(seed + repeat)).alias("order"), e["factors"].alias("factors")
-            ),
+def _fits(batches: Iterator[pa.RecordBatch], model: bt.BoostedTrees, repeats: int) -> Iterator[pa.RecordBatch]:
+    """Per batch the fit of each factor and repeat, the factor's codes taken from the donor."""
+    for batch in batches:
+        claims = batch["claims"].to_numpy(zero_copy_only=False).astype(np.float64)
+        frames = [[batch[f"c{r}"].field(c).to_numpy(zero_copy_only=False) for c in bt.CODES] for r in range(repeats + 1)]
+        sums = []
+        for factor in range(len(bt.CODES)):
+            for repeat in range(1, repeats + 1):
+                codes = list(frames[0])
+                codes[factor] = frames[repeat][factor]
+                margin = model.margins(codes)
+                sums.append(float((np.exp(margin) - claims * margin).sum()))
+        yield pa.RecordBatch.from_pydict({f"fit{i}": [x] for i, x in enumerate(sums)})
+
+
+def _numbered(coded: DataFrame, seed: int) -> DataFrame:
+    """Rows with their position in the order of a hash of key and values; equal rows are interchangeable."""
+    columns = ["IDpol", *bt.CODES, "ReportedClaimCount"]
+    ordered = coded.orderBy(F.xxhash64(F.lit(seed), *columns), *columns)
+    placed = cut_lineage(
+        ordered.select(
+            F.spark_partition_id().alias("part"),
+            F.monotonically_increasing_id().alias("id"),
+            F.struct(*bt.CODES).alias("codes"),
+            F.col("ReportedClaimCount").alias("claims"),
         )
-        return F.transform(F.sort_array(keyed), lambda e: e["factors"]).alias(f"donor{repeat}")
-
-    columns = ["own", *[f"donor{r}" for r in range(1, repeats + 1)]]
-    zipped = grouped.select("own", *[permuted(r) for r in range(1, repeats + 1)]).select(
-        F.explode(F.arrays_zip(*columns)).alias("e")
-    )
-    return zipped.select(
-        F.col("e.own.factors").alias("own"),
-        F.col("e.own.ReportedClaimCount").alias("claims"),
-        *[F.col(f"e.donor{r}").alias(f"donor{r}") for r in range(1, repeats + 1)],
     )
+    # One number per partition of the sort.
+    counts = sorted(placed.groupBy("part").agg(F.count("*").alias("n"), F.min("id").alias("first")).collect())
+    before, offsets = 0, []
+    for part, n, first in counts:
+        offsets.append((part, before - first))
+        before += n
+    shifts = placed.sparkSession.createDataFrame(offsets, "part int, shift long")
+    return placed.join(F.broadcast(shifts), "part").select((F.col("id") + F.col("shift")).alias("place"), "codes", "claims")
+
+
+def _with_donors(coded: DataFrame, repeats: int, seed: int) -> DataFrame:
+    """One row per policy: claims, its own codes c0 and those of a donor per repeat, c1 and on. One exchange."""
+    placed = _numbered(coded, seed)
+    rows = placed.count()
+    draws = np.random.default_rng(seed).random(repeats)
+    shifts = [0, *(1 + int(x * (rows - 1)) if rows > 1 else 0 for x in draws)]
+    turns = F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.lit(s).cast("long").alias("s")) for r, s in enumerate(shifts)]))
+    dealt = placed.select("place", "codes", "claims", turns.alias("turn"))
+    dealt = dealt.withColumn("place", F.pmod(F.col("place") + F.col("turn.s"), F.lit(max(rows, 1))))
+    of_turn = [F.max(F.when(F.col("turn.r") == r, F.col("codes"))).alias(f"c{r}") for r in range(repeats + 1)]
+    own = F.max(F.when(F.col("turn.r") == 0, F.col("claims"))).alias("claims")
+    return dealt.groupBy("place").agg(own, *of_turn).drop("place")
 
 
 def importance_summary(importances: DataFrame) -> DataFrame:

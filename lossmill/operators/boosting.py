@@ -1,28 +1,29 @@
 """Boosted trees for counts, severities and trigger probabilities.
 
-Each round is a Newton step: an MLlib regression tree is fitted to the ratio of
-gradient to curvature, weighted by the curvature, and its leaves are then set
-to the regularized step. Training runs on rating cells, one row per combination
-of rating factors, holding sums over the policies of the cell. Gradients depend
-on a policy only through those sums, so this gives the trees of the policy rows
-at the size of the tariff instead of the size of the portfolio.
+Each round is a Newton step: a tree is grown on sums of gradient and curvature, and
+its leaves are the regularized step. Training runs on rating cells, one row per
+combination of rating factors, holding sums over the policies of the cell. Gradients
+depend on a policy only through those sums, so this gives the trees of the policy
+rows; the cells are as many as combinations occur, which for a portfolio much larger
+than its tariff is the size of the tariff.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Callable
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
+from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..params import CATEGORY_FACTORS, RATING_FACTORS
-from ..session import cut_lineage
+from ..session import cut_lineage, ship
+from .trees import Grid, Tree, descend, grow, table
 
 CODES = tuple(f"{name}_code" for name in RATING_FACTORS)
 MISSING_NUMBER = -1.0  # below every rating factor; lets a split single out unknown values
@@ -30,8 +31,6 @@ MISSING_CATEGORY = ""
 TINY = 1e-16
 MARGIN_LIMIT = 60.0  # keeps exp() finite
 
-SPLIT = re.compile(r"If \(feature (\d+) (<=|in) (.+)\)")
-
 # Fixed values of the Poisson objective: the largest step of a leaf, which also
 # enters the curvature as exp(margin + limit).
 POISSON_STEP_LIMIT = 0.7
@@ -47,8 +46,7 @@ class Boosting:
     penalty: float = 1.0  # added to the curvature of a leaf
     leaf_curvature: float = 1.0  # smallest curvature a leaf may hold
     gain: float = 1e-9  # smallest gain of a split; less is rounding noise
-    bins: int = 256
-    seed: int = 42
+    bins: int = 256  # values of a number between which all splits are tried
     table_every: int = 10  # rounds between two written states
 
 
@@ -144,52 +142,27 @@ class BoostedTrees:
     """Fitted trees with the margin step of each leaf."""
 
     base: float
-    trees: list[DecisionTreeRegressionModel] = field(default_factory=list)
-    steps: list[list[float]] = field(default_factory=list)
-
-    def margin_sql(self, variable: str) -> str:
-        """Margin of a struct of factor codes, as the sum of one expression per tree."""
-        steps = [
-            _tree_sql(tree, leaves, variable) for tree, leaves in zip(self.trees, self.steps)
-        ]
-        return " + ".join([f"{self.base!r}D", *steps])
+    grid: Grid | None = None
+    trees: list[Tree] = field(default_factory=list)
+
+    def margins(self, codes: list[np.ndarray]) -> np.ndarray:
+        """Margins of rows given as one array of codes per factor."""
+        total = np.full(len(codes[0]), self.base)
+        if self.trees:
+            numbers = self.grid.numbers(codes)
+            for tree in self.trees:
+                total += tree.steps[tree.leaves(numbers)]
+        return total
 
     def margin(self, coded: DataFrame, name: str = "margin") -> DataFrame:
         """Score any frame of coded factors; a map over its rows, without a shuffle."""
-        codes = ", ".join(CODES)
-        scored = f"transform(array(struct({codes})), v -> {self.margin_sql('v')})[0]"
-        return coded.withColumn(name, F.expr(scored))
-
+        ship(coded.sparkSession)
 
-def _tree_sql(tree: DecisionTreeRegressionModel, steps: list[float], variable: str) -> str:
-    """A tree as nested conditions, read from the model's own description.
+        @F.pandas_udf("double")
+        def scored(*codes: pd.Series) -> pd.Series:
+            return pd.Series(self.margins([c.to_numpy() for c in codes]))
 
-    Leaves are numbered from left to right there and in the model. Scoring by
-    expression costs a fraction of a call into the model per row and tree.
-    """
-    lines = iter(line.strip() for line in tree.toDebugString.splitlines()[1:] if line.strip())
-    leaves = iter(steps)
-
-    def node() -> str:
-        line = next(lines)
-        if line.startswith("Predict"):
-            return f"{next(leaves)!r}D"
-        factor, test, value = SPLIT.fullmatch(line).groups()
-        column = f"{variable}.{CODES[int(factor)]}"
-        if test == "in":
-            categories = ", ".join(f"{float(v)!r}D" for v in value.strip("{}").split(","))
-            condition = f"{column} IN ({categories})"
-        else:
-            condition = f"{column} <= {float(value)!r}D"
-        below = node()
-        if not next(lines).startswith("Else"):
-            raise ValueError("unknown tree description")
-        return f"IF({condition}, {below}, {node()})"
-
-    text = node()
-    if next(lines, None) is not None or next(leaves, None) is not None:
-        raise ValueError("unknown tree description")
-    return text
+        return coded.withColumn(name, scored(*CODES))
 
 
 def boost(
@@ -202,123 +175,64 @@ def boost(
 ) -> tuple[DataFrame, BoostedTrees]:
     """Fit on the cells with a volume and score all cells.
 
-    Returns the cells with their final margin, and the model. Every round is a
-    few distributed aggregations; the driver receives the tree and one sum per
-    leaf. States stay cached for one round and every ``table_every`` rounds
-    they are written to the shared folder, so a lost executor costs at most
+    Returns the cells with their final margin, and the model. A round is one
+    aggregation per level of its tree; the driver receives the sums per node and
+    value of a factor. States stay cached for one round and every ``table_every``
+    rounds they are written to the shared folder, so a lost executor costs at most
     that many rounds of scoring.
     """
-    model = BoostedTrees(objective.base)
-    kept = [*cells.columns, margin]
-    state = _graded(
-        cells.withColumn(margin, F.lit(objective.base)), objective, target, volume, margin
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    curvature, rows = _volume(state)
-    copies = math.ceil(_most_categories(cells) / max(rows, 1))
-    learner = DecisionTreeRegressor(
-        featuresCol="features", labelCol="_slope", weightCol="_curvature",
-        predictionCol="_fitted", leafCol="leaf",
-        maxDepth=params.depth, maxBins=params.bins, minInfoGain=params.gain, seed=params.seed,
-        cacheNodeIds=False, maxMemoryInMB=512,
-    )
+    grid = Grid.fit(cells, CODES, _categories(cells), params.bins)
+    model = BoostedTrees(objective.base, grid)
+    kept = [*cells.columns, margin, "_bins"]
+    start = cells.withColumn("_bins", grid.column(CODES)).withColumn(margin, F.lit(objective.base))
+    state = _graded(start, objective, target, volume, margin).persist(StorageLevel.MEMORY_AND_DISK)
+    before = None
     for done in range(1, params.rounds + 1):
-        if curvature <= 0:
+        taking_part = state.where(F.col("_curvature") > 0)
+        levels, leaves = grow(taking_part, grid, params.depth, params.penalty, params.leaf_curvature, params.gain)
+        if before is not None:
+            before.unpersist()
+        if leaves[1].sum() <= 0:
             break  # no cell to learn from
-        share = min(0.49, params.leaf_curvature / curvature)
-        tree = learner.copy({learner.minWeightFractionPerNode: share}).fit(
-            _sample(state, copies)
-        )
-        tree = tree.setPredictionCol("")
-        leaves = tree.transform(_assembled(state))
-        sums = (
-            leaves.groupBy("leaf")
-            .agg(F.sum("_gradient").alias("g"), F.sum("_curvature").alias("h"))
-            .collect()
-        )
-        steps = _leaf_steps(sums, objective, params)
-        model.trees.append(tree)
-        model.steps.append(steps)
-        moved = _graded(
-            leaves.withColumn(margin, F.col(margin) + _step(steps)).select(*kept),
-            objective, target, volume, margin,
-        )
+        model.trees.append(Tree(tuple(levels), _steps(leaves, objective, params)))
+        step = F.get(table(model.trees[-1].steps), F.col("_node"))
+        moved = descend(state, levels).withColumn(margin, F.col(margin) + step).select(*kept)
+        moved = _graded(moved, objective, target, volume, margin)
         if done % params.table_every == 0 and done < params.rounds:
             moved = cut_lineage(moved)
-        moved = moved.persist(StorageLevel.MEMORY_AND_DISK)
-        curvature, _ = _volume(moved)
-        state.unpersist()
-        state = moved
-    scored = cut_lineage(state.select(*kept))
-    state.unpersist()
+        before, state = state, moved.persist(StorageLevel.MEMORY_AND_DISK)
+    scored = cut_lineage(state.select(*cells.columns, margin))
+    for frame in (before, state):
+        if frame is not None:
+            frame.unpersist()
     return scored, model
 
 
-def _assembled(coded: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=list(CODES), outputCol="features").transform(coded)
-
-
 def _graded(
     cells: DataFrame, objective: Objective, target: str, volume: str, margin: str
 ) -> DataFrame:
-    """Add gradient, curvature and their negative ratio at the current margin."""
+    """Add gradient and curvature at the current margin."""
     bounded = F.greatest(F.least(F.col(margin), F.lit(MARGIN_LIMIT)), F.lit(-MARGIN_LIMIT))
     gradient, curvature = objective.gradients(F.col(target), F.col(volume), bounded)
     floor = F.greatest(curvature, F.lit(TINY))
     # A cell without volume takes no part in the fit but is scored all the same.
     present = F.col(volume) > 0
-    return (
-        cells.withColumn("_gradient", F.when(present, gradient).otherwise(0.0))
-        .withColumn("_curvature", F.when(present, floor).otherwise(0.0))
-        .withColumn(
-            "_slope", -F.col("_gradient") / F.nullif(F.col("_curvature"), F.lit(0.0))
-        )
+    return cells.withColumn("_gradient", F.when(present, gradient).otherwise(0.0)).withColumn(
+        "_curvature", F.when(present, floor).otherwise(0.0)
     )
 
 
-def _volume(state: DataFrame) -> tuple[float, int]:
-    """Total curvature, and the number of cells that take part in the fit."""
-    curvature = F.col("_curvature")
-    found = state.agg(F.sum(curvature), F.count_if(curvature > 0)).first()
-    return found[0] or 0.0, found[1]
-
-
-def _sample(state: DataFrame, copies: int) -> DataFrame:
-    """The cells to fit on.
-
-    The learner wants at least as many rows as a factor has categories. A tiny
-    portfolio gets there with copies that share the weight, which changes no sum.
-    """
-    fitted = state.where(F.col("_curvature") > 0)
-    if copies > 1:
-        fitted = fitted.withColumn(
-            "_curvature",
-            F.explode(F.array_repeat(F.col("_curvature") / F.lit(float(copies)), copies)),
-        )
-    return _assembled(fitted).select("features", "_slope", "_curvature")
-
-
-def _most_categories(cells: DataFrame) -> int:
-    return max(
-        len(cells.schema[f"{name}_code"].metadata["ml_attr"]["vals"]) for name in CATEGORY_FACTORS
-    )
-
-
-def _leaf_steps(sums: list, objective: Objective, params: Boosting) -> list[float]:
-    """Step per leaf index: regularized Newton step, limited, times the rate."""
-    steps = [0.0] * (1 + max(int(row["leaf"]) for row in sums))
-    for row in sums:
-        step = -row["g"] / (row["h"] + params.penalty)
-        if objective.step_limit is not None:
-            step = max(-objective.step_limit, min(objective.step_limit, step))
-        steps[int(row["leaf"])] = params.rate * step
-    return steps
-
-
-def _step(steps: list[float]) -> Column:
-    """Look up the step of the row's leaf; a tree has at most 2**depth leaves."""
-    table = F.expr("array(" + ", ".join(f"{value!r}D" for value in steps) + ")")
-    return F.get(table, F.col("leaf").cast("int"))
+def _categories(cells: DataFrame) -> dict[str, int]:
+    """Number of codes of each category factor, with the one for unknown values."""
+    return {
+        f"{name}_code": len(cells.schema[f"{name}_code"].metadata["ml_attr"]["vals"]) + 1
+        for name in CATEGORY_FACTORS
+    }
 
 
-def shortened(params: Boosting, rounds: int | None) -> Boosting:
-    return params if rounds is None else replace(params, rounds=rounds)
+def _steps(leaves: np.ndarray, objective: Objective, params: Boosting) -> np.ndarray:
+    """Step per leaf: regularized Newton step, limited, times the rate."""
+    step = -leaves[0] / (leaves[1] + params.penalty)
+    if objective.step_limit is not None:
+        step = np.clip(step, -objective.step_limit, objective.step_limit)
+    return params.rate * step

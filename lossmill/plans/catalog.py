@@ -17,7 +17,6 @@ from ..functions.keyed import keyed_date
 from ..functions.losses import average_severity
 from ..functions.rounding import ratio, settle
 from ..operators import audit, glm, insights, mart, modeling, portfolio, reserving, star
-from ..operators import boosting as bt
 from ..params import NUMERIC_FACTORS, Leakage
 from ..session import scratch_path
 from ..sources import orderbook, tables
@@ -26,9 +25,6 @@ from .warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Training length of the registered model queries; the operators default to the
-# full length, which is a matter of minutes even on small tables.
-ROUNDS = 10
 SAMPLE_REGION, SAMPLE_MONTH = "NATION_7", "1996-01"
 AUDIT_LIMITS = Leakage(policies_above=20)
 
@@ -81,8 +77,7 @@ def _models(spark: SparkSession, folder: str) -> tuple[insights.RatingCells, Dat
     with _building:
         if key not in _trained:
             prepared = insights.rating_cells(_warehouse(spark, folder).modeling())
-            lengths = [bt.shortened(p, ROUNDS) for p in (bt.FREQUENCY, bt.SEVERITY, bt.TRIGGER)]
-            _trained[key] = (prepared, insights.train_models(prepared.cells, *lengths))
+            _trained[key] = (prepared, insights.train_models(prepared.cells))
         return _trained[key]
 
 
@@ -416,9 +411,7 @@ def leakage_clusters_model(spark: SparkSession, folder: str) -> DataFrame:
 
 def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
     """Distribution of the permutation importance per factor."""
-    importances = audit.permutation_importance(
-        _warehouse(spark, folder).audit_data(), bt.shortened(bt.AUDIT, ROUNDS)
-    )
+    importances = audit.permutation_importance(_warehouse(spark, folder).audit_data())
     return audit.importance_summary(importances)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,3 +65,20 @@ def cut_lineage(frame: DataFrame, spread: bool = False) -> DataFrame:
         frame = frame.repartition(partitions)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+_sent: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package's sources to the executors once per application, like --py-files."""
+    context = spark.sparkContext
+    if context.applicationId in _sent:
+        return
+    package = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="lossmill-py-")) / "lossmill.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(path))
+    _sent.add(context.applicationId)

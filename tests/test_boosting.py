@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lossmill.operators import boosting as bt
-from lossmill.operators import insights
+from lossmill.operators import insights, trees
 
 N = 600
 
@@ -85,9 +85,9 @@ def test_first_step_is_the_regularized_newton_step(prepared):
     params = short(bt.FREQUENCY, 1, depth=2, rate=1.0)
     scored, model = insights.fit_frequency(prepared.cells, params)
     cells = scored.toPandas()
-    leaves = model.trees[0].transform(bt._assembled(scored)).select("leaf").toPandas().leaf
-    assert leaves.nunique() > 1
-    for _, leaf in cells.groupby(leaves.to_numpy()):
+    leaves = model.trees[0].leaves(model.grid.numbers([cells[c].to_numpy() for c in bt.CODES]))
+    assert len(set(leaves)) > 1
+    for _, leaf in cells.groupby(leaves):
         g = (leaf.exposure - leaf.claims).sum()
         h = leaf.exposure.sum() * math.exp(0.7)
         step = max(-0.7, min(0.7, -g / (h + 1.0)))
@@ -173,3 +173,34 @@ def test_a_portfolio_without_claims_keeps_its_starting_margins(policies):
     assert len(result) == N
     assert (result.Is_Large_Loss == 0).all()
     assert (result.Pred_Severity_Cost == 1.0).all()
+
+
+def test_a_tree_finds_the_best_split(spark):
+    """Depth one against all splits tried by hand; 300 categories are no limit."""
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"a": rng.integers(0, 300, 3000).astype(float), "b": rng.integers(0, 9, 3000).astype(float)})
+    pdf["_gradient"], pdf["_curvature"] = rng.normal(size=3000) + (pdf.a % 7 == 3), rng.uniform(0.5, 2, 3000)
+    rows = spark.createDataFrame(pdf)
+    grid = trees.Grid.fit(rows, ("a", "b"), {"a": 301}, 256)
+    levels, leaves = trees.grow(rows.withColumn("_bins", grid.column(("a", "b"))), grid, 1, 1.0, 1.0, 1e-9)
+
+    def gain(left):
+        sums = [(pdf._gradient[m].sum(), pdf._curvature[m].sum()) for m in (left, ~left)]
+        return sum(g * g / (h + 1) for g, h in sums)
+
+    by_a = pdf.groupby("a")[["_gradient", "_curvature"]].sum()
+    ranked = (by_a._gradient / by_a._curvature).sort_values().index
+    best = max([gain(pdf.a.isin(ranked[:i])) for i in range(1, 300)] + [gain(pdf.b <= i) for i in range(8)])
+    node = trees.Tree(tuple(levels), np.zeros(2)).leaves(grid.numbers([pdf.a.to_numpy(), pdf.b.to_numpy()]))
+    assert gain(pd.Series(node == 0)) == pytest.approx(best)
+    assert leaves[0].tolist() == pytest.approx([pdf._gradient[node == i].sum() for i in (0, 1)])
+
+
+def test_many_values_are_cut_at_percentiles(spark):
+    rows = spark.range(5000).select((F.col("id") / 7).alias("x"))
+    grid = trees.Grid.fit(rows, ("x",), {}, 16)
+    assert grid.sizes[0] == 16
+    found = rows.withColumn("bins", grid.column(("x",))).toPandas()
+    numbers = found.bins.map(lambda b: b[0]).to_numpy()
+    assert (grid.numbers([found.x.to_numpy()])[0] == numbers).all()
+    assert np.bincount(numbers).max() < 2 * 5000 / 16
