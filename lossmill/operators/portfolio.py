@@ -15,11 +15,16 @@ def claims_per_policy(claims: DataFrame) -> DataFrame:
     """Claim total and number of known claim amounts per policy.
 
     Partial sums are formed before the shuffle, so a policy holding a large
-    share of all claims sends one row per task and not all of its claims.
+    share of all claims sends one row per task and not all of its claims. Claims
+    with a ``ClaimDate`` also give the first and the last one.
     """
+    dates = []
+    if "ClaimDate" in claims.columns:
+        dates = [F.min("ClaimDate").alias("FirstClaim"), F.max("ClaimDate").alias("LastClaim")]
     return claims.groupBy("IDpol").agg(
         F.sum("ClaimAmount").alias("TotalClaimAmount"),
         F.count("ClaimAmount").alias("ActualClaimCount"),
+        *dates,
     )
 
 
@@ -30,6 +35,7 @@ def attach_claims(register: DataFrame, totals: DataFrame) -> DataFrame:
         *register.columns,
         F.coalesce("TotalClaimAmount", F.lit(0.0)).alias("TotalClaimAmount"),
         F.coalesce("ActualClaimCount", F.lit(0)).cast("bigint").alias("PaidClaimCount"),
+        *[c for c in ("FirstClaim", "LastClaim") if c in totals.columns],
     )
 
 

@@ -13,14 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.keyed import keyed_date
 from ..functions.losses import average_severity
 from ..functions.rounding import ratio, settle
 from ..operators import audit, glm, insights, mart, modeling, portfolio, reserving, star
 from ..params import NUMERIC_FACTORS, Leakage
 from ..session import scratch_path
 from ..sources import orderbook, tables
-from ..sources.csv import read_csv_tolerant
+from ..sources.csv import read_csv_auto, read_csv_tolerant
 from .warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,16 +115,29 @@ def scan_csv_tolerant(spark: SparkSession, folder: str) -> DataFrame:
     number, amount = key.cast("string"), F.col("o_totalprice").cast("string")
     area = F.substring("o_orderpriority", 1, 1)
     line = (
-        F.when(key % 7 == 3, F.concat_ws(",", number, F.lit("abc"), area))
-        .when(key % 11 == 5, F.concat_ws(",", number, amount))
-        .when(key % 13 == 6, F.concat_ws(",", number, amount, area, F.lit("EXTRA")))
-        .when(key % 17 == 8, F.concat_ws(",", number, F.lit(""), area))
-        .when(key % 19 == 9, F.concat_ws(",", number, amount, F.lit(""), F.lit("")))
-        .otherwise(F.concat_ws(",", number, amount, F.concat(F.lit('"'), area, F.lit(',x"'))))
+        F.when(key % 7 == 3, F.concat_ws(",", F.lit("abc"), area, number))
+        .when(key % 11 == 5, F.concat_ws(",", amount, F.lit(""), F.concat(number, F.lit(".0"))))
+        .when(key % 13 == 6, F.concat_ws(",", amount, area, number, F.lit("x"), F.lit("EXTRA")))
+        .when(key % 17 == 8, F.concat_ws(",", F.lit(""), area, number))
+        .when(key % 19 == 9, F.concat_ws(",", amount, F.concat(F.lit('"'), area, F.lit("\n"), area, F.lit('"')), number))
+        .otherwise(F.concat_ws(",", amount, F.concat(F.lit('"'), area, F.lit(',x"')), number, F.lit("more")))
     )
     path = scratch_path(spark, "damaged-csv")
-    spark.read.parquet(f"{folder}/orders.parquet").select(line.alias("value")).write.text(path)
-    return read_csv_tolerant(spark, path, CSV_SCHEMA, header=False)
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select(line.alias("value"))
+    header = spark.createDataFrame([("Amount,Area,IDpol,Other",)], "value string")
+    # The header is the first line of a file of its own; the others begin with data.
+    header.coalesce(1).write.text(f"{path}/a")
+    orders.write.text(f"{path}/b")
+    return read_csv_tolerant(spark, [f"{path}/a", f"{path}/b"], CSV_SCHEMA)
+
+
+def scan_csv_auto(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders as a file whose separator and types have to be found."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    path = scratch_path(spark, "unknown-csv")
+    columns = ("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    orders.select(*columns).write.option("sep", ";").option("header", True).csv(path)
+    return read_csv_auto(spark, path)
 
 
 def mart_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -195,10 +207,10 @@ def dim_policies(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def underwriting_date(spark: SparkSession, folder: str) -> DataFrame:
-    """Keyed dates for the policies of a register that carries none."""
+    """Date and cohort month of every policy."""
     orders = spark.read.parquet(f"{folder}/orders.parquet")
     dated = orders.select(
-        F.col("o_orderkey").alias("IDpol"), keyed_date(F.col("o_orderkey")).alias("Underwriting_Date")
+        F.col("o_orderkey").alias("IDpol"), F.col("o_orderdate").cast("date").alias("Underwriting_Date")
     )
     return dated.withColumn("Underwriting_Month", F.date_format("Underwriting_Date", "yyyy-MM"))
 
@@ -279,17 +291,18 @@ def class_balance(spark: SparkSession, folder: str) -> DataFrame:
 
 def poisson_deviance(spark: SparkSession, folder: str) -> DataFrame:
     """Deviance of the claim counts against the mean frequency of their region."""
-    frame = _modeling(spark, folder).select("Region", "Exposure", "ReportedClaimCount")
-    frequency = frame.groupBy("Region").agg(
-        (F.sum("ReportedClaimCount") / F.sum("Exposure")).alias("Frequency")
-    )
-    scored = frame.join(frequency, "Region").withColumn(
-        "Expected", F.col("Exposure") * F.col("Frequency")
-    )
-    result = modeling.mean_poisson_deviance(scored, "ReportedClaimCount", "Expected")
-    return result.select(
-        settle(F.col("Mean_Poisson_Deviance"), 8).alias("Mean_Poisson_Deviance")
+    frame = _modeling(spark, folder)
+    count, exposure = F.col("ReportedClaimCount"), F.col("Exposure")
+    # With a region's frequency f the deviance is a sum over its policies that needs f only at the end.
+    regions = frame.groupBy("Region").agg(
+        F.sum(F.when(count > 0, count * F.log(count / exposure)).otherwise(0.0)).alias("s"),
+        F.sum(count).alias("y"),
+        F.sum(exposure).alias("e"),
+        F.count("*").alias("n"),
     )
+    of_mean = F.when(F.col("y") > 0, F.col("y") * F.log(F.col("y") / F.col("e"))).otherwise(0.0)
+    result = regions.agg((F.sum(2.0 * (F.col("s") - of_mean)) / F.sum("n")).alias("deviance"))
+    return result.select(settle(F.col("deviance"), 8).alias("Mean_Poisson_Deviance"))
 
 
 # ---- models --------------------------------------------------------------
@@ -417,7 +430,7 @@ def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: tuple[Query, ...] = (
     claims_per_policy, policy_portfolio, portfolio_validation, key_uniqueness,
-    scan_csv_tolerant, mart_roundtrip, export_parquet_zstd,
+    scan_csv_tolerant, scan_csv_auto, mart_roundtrip, export_parquet_zstd,
     claim_delays, claims_reserving, reserve_totals,
     earned_premium, financial_mart, financial_mart_rowwise, quota_share, portfolio_ratios,
     dim_policies, underwriting_date, fact_financials,

@@ -2,29 +2,24 @@
 
 from __future__ import annotations
 
-import math
-
 from ..params import NUMERIC_FACTORS
 from .catalog import AUDIT_LIMITS, SAMPLE_MONTH, SAMPLE_REGION
 
-TWO_PI = repr(2.0 * math.pi)
 
 
 def _settle(value: str, digits: int) -> str:
     return f"CAST(ROUND(CAST({value} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
 
 
-def _uniform(digest: str, word: int = 0) -> str:
-    digits = f"substr({digest}, {1 + 8 * word}, 8)"
-    return f"((CAST(('0x' || {digits}) AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE))"
-
-
 BASE = f"""
 WITH claims AS (
-    SELECT l_orderkey AS IDpol, l_extendedprice * l_discount AS ClaimAmount
+    SELECT l_orderkey AS IDpol, l_extendedprice * l_discount AS ClaimAmount,
+           CAST(l_shipdate AS DATE) AS ClaimDate
     FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F'
 ), totals AS (
-    SELECT IDpol, SUM(ClaimAmount) AS Amount, COUNT(ClaimAmount) AS N FROM claims GROUP BY IDpol
+    SELECT IDpol, SUM(ClaimAmount) AS Amount, COUNT(ClaimAmount) AS N,
+           MIN(ClaimDate) AS FirstClaim, MAX(ClaimDate) AS LastClaim
+    FROM claims GROUP BY IDpol
 ), register AS (
     SELECT o_orderkey AS IDpol,
            CAST(o_orderkey % 13 AS DOUBLE) / CAST(12 AS DOUBLE) AS Exposure,
@@ -41,20 +36,16 @@ WITH claims AS (
     SELECT r.IDpol, Exposure, Area, VehPower, VehAge, DrivAge, BonusMalus, VehBrand, VehGas,
            Density, Region, COALESCE(t.N, 0) AS ReportedClaimCount,
            {_settle('COALESCE(t.Amount, CAST(0 AS DOUBLE))', 2)} AS TotalClaimAmount,
-           COALESCE(t.N, 0) AS PaidClaimCount, Underwriting_Date
+           COALESCE(t.N, 0) AS PaidClaimCount, Underwriting_Date,
+           CAST(CASE WHEN FirstClaim IS NOT NULL
+                THEN GREATEST(date_diff('day', Underwriting_Date, FirstClaim), 0) END AS DOUBLE)
+               AS ReportingDelay,
+           CAST(date_diff('day', FirstClaim, LastClaim) AS DOUBLE) AS PaymentDelay
     FROM register r LEFT JOIN totals t ON r.IDpol = t.IDpol
-), hashed AS (
-    SELECT IDpol, TotalClaimAmount, md5(CAST(IDpol AS VARCHAR) || '-delay') AS h
-    FROM policy WHERE TotalClaimAmount > 0
-), words AS (
-    SELECT IDpol, TotalClaimAmount, {_uniform('h', 0)} AS u1, {_uniform('h', 1)} AS u2 FROM hashed
 ), delays AS (
-    SELECT IDpol, TotalClaimAmount,
-           round_even(exp(sqrt(-2 * ln(u1)) * cos(u2 * {TWO_PI}) * 1.2 + 1.5), 0)
-               AS ReportingDelayDays,
-           round_even(exp(sqrt(-2 * ln(u1)) * sin(u2 * {TWO_PI}) * 1.5 + 3.0), 0)
-               AS PaymentDelayDays
-    FROM words
+    SELECT IDpol, TotalClaimAmount, ReportingDelay AS ReportingDelayDays,
+           PaymentDelay AS PaymentDelayDays
+    FROM policy WHERE TotalClaimAmount > 0
 ), delayed AS (
     SELECT *, ReportingDelayDays + PaymentDelayDays AS TotalDelayDays FROM delays
 ), staged AS (
@@ -133,15 +124,10 @@ FROM summary"""
 
 MODEL = f"SELECT *, {_settle('ln(Exposure)', 8)} AS Log_Exposure FROM model"
 
-_DATE = (
-    "DATE '2024-01-01' + CAST(floor("
-    + _uniform("md5(CAST(o_orderkey AS VARCHAR) || '-date')")
-    + " * 880) AS INTEGER)"
-)
-
 SELECTS = {
     "claims_per_policy": f"""
-        SELECT IDpol, {_settle('Amount', 4)} AS TotalClaimAmount, N AS ActualClaimCount
+        SELECT IDpol, {_settle('Amount', 4)} AS TotalClaimAmount, N AS ActualClaimCount,
+               FirstClaim, LastClaim
         FROM totals""",
     "policy_portfolio": "SELECT * FROM policy",
     "portfolio_validation": """
@@ -163,6 +149,7 @@ SELECTS = {
         WHERE o_orderkey % 7 <> 3
           AND (o_orderkey % 11 = 5
                OR (o_orderkey % 13 <> 6 AND (o_orderkey % 17 = 8 OR o_orderkey % 19 <> 9)))""",
+    "scan_csv_auto": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders",
     "mart_roundtrip": "SELECT * FROM mart",
     "export_parquet_zstd": MONTHS,
     "claim_delays": """
@@ -190,9 +177,9 @@ SELECTS = {
                      / NULLIF(SUM(EarnedPremium), 0) * 100, 2) AS Portfolio_Combined_Ratio
         FROM mart""",
     "dim_policies": "SELECT * FROM dimension",
-    "underwriting_date": f"""
+    "underwriting_date": """
         SELECT IDpol, Underwriting_Date, strftime(Underwriting_Date, '%Y-%m') AS Underwriting_Month
-        FROM (SELECT o_orderkey AS IDpol, {_DATE} AS Underwriting_Date FROM orders)""",
+        FROM (SELECT o_orderkey AS IDpol, CAST(o_orderdate AS DATE) AS Underwriting_Date FROM orders)""",
     "fact_financials": "SELECT * FROM mart",
     "monthly_regional_summary": MONTHS,
     "monthly_regional_summary_star": MONTHS,

@@ -1,8 +1,8 @@
 """Error-tolerant CSV reading.
 
-A short row is kept and padded with NULL; a row with a cell that does not parse
-or with too many cells is dropped. Neither stock reader mode does both, so the
-cells are read as text and cast afterwards.
+A short row is kept and padded with NULL; a row with a cell that does not parse, with
+too many cells or with an open quote is rejected. Neither stock reader mode does all
+of it, so lines are read as text, split into cells of text, and cast afterwards.
 """
 
 from __future__ import annotations
@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RAW_ROW = "_raw_row"
+SEPARATORS = (",", ";", "\t", "|")
+#: Lines that the separator is judged by.
+SAMPLE_LINES = 200
 
 
 def read_csv_tolerant(
@@ -21,44 +24,111 @@ def read_csv_tolerant(
     header: bool = True,
     sep: str = ",",
     quote: str = '"',
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Read CSV files in the declared column order, keeping every usable row."""
-    text = T.StructType(
-        [T.StructField(f.name, T.StringType()) for f in schema.fields]
-        + [T.StructField(RAW_ROW, T.StringType())]
-    )
-    rows = (
-        spark.read.schema(text)
-        .option("header", header)
-        .option("enforceSchema", True)
-        .option("sep", sep)
-        .option("quote", quote)
-        .option("escape", quote)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", RAW_ROW)
-        # A pruned parser skips cells and would no longer see the row's width.
-        .option("columnPruning", False)
-        .csv(path)
-    )
-    # The raw row is set only when the number of cells is not the declared one.
-    too_wide = F.coalesce(_cells(F.col(RAW_ROW), sep, quote) > len(schema.fields), F.lit(False))
-    keep = ~too_wide
+    """Read the declared columns of CSV files, keeping every usable row.
+
+    With a header, columns are found by name in any order and others are ignored; a
+    declared column that is missing is an error. All files have the header of the
+    first. Without one, columns are taken in the declared order. Whole numbers may
+    be written as decimals or with an exponent. A quoted line break makes its lines
+    rejected, unless `multi_line` reads files record by record, which cannot split
+    a file over tasks.
+    """
+    rows = _parsed(spark, path, schema, header, sep, quote, multi_line)
+    return rows.where("_keep").select(*[f.name for f in schema.fields])
+
+
+def rejected_rows(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    header: bool = True,
+    sep: str = ",",
+    quote: str = '"',
+) -> DataFrame:
+    """The lines that `read_csv_tolerant` rejects, to be counted or looked at."""
+    return _parsed(spark, path, schema, header, sep, quote, False).where("NOT _keep").select(RAW_ROW)
+
+
+def _parsed(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, header: bool, sep: str, quote: str, multi_line: bool
+) -> DataFrame:
+    """Declared columns, the raw row, and whether it is kept."""
+    names = _header(spark, path, sep, quote) if header else [f.name for f in schema.fields]
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"columns {missing} are not in the header {names}")
+    cells = ", ".join(f"c{i} string" for i in range(len(names)))
+    options = {"sep": sep, "quote": quote, "escape": quote, "mode": "PERMISSIVE"}
+    if multi_line:
+        reader = spark.read.options(**options, multiLine=True, header=header, enforceSchema=True, columnPruning=False)
+        rows = reader.option("columnNameOfCorruptRecord", RAW_ROW).schema(f"{cells}, {RAW_ROW} string").csv(path)
+        # The raw row is set only when the number of cells is not the declared one.
+        wide = F.coalesce(_cells(F.col(RAW_ROW), sep, quote) > len(names), F.lit(False))
+    else:
+        lines = spark.read.text(path).where(F.length("value") > 0)
+        if header:
+            lines = lines.where(~F.trim("value").eqNullSafe(_first_line(spark, path)))
+        parsed = F.from_csv("value", cells, options)
+        rows = lines.select(F.col("value").alias(RAW_ROW), parsed.alias("cells")).select(RAW_ROW, "cells.*")
+        quotes = F.length(RAW_ROW) - F.length(F.replace(RAW_ROW, F.lit(quote), F.lit("")))
+        wide = (_cells(F.col(RAW_ROW), sep, quote) > len(names)) | (quotes % 2 == 1)
+    keep, columns = ~wide, []
     for f in schema.fields:
-        if not isinstance(f.dataType, T.StringType):
-            keep = keep & (F.col(f.name).isNull() | F.col(f.name).try_cast(f.dataType).isNotNull())
-    return rows.where(keep).select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
+        cell = F.col(f"c{names.index(f.name)}")
+        value = _value(cell, f.dataType)
+        keep = keep & (cell.isNull() | value.isNotNull())
+        columns.append(value.alias(f.name))
+    return rows.select(*columns, RAW_ROW, keep.alias("_keep"))
+
+
+def _value(cell: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return cell
+    if isinstance(kind, T.IntegralType):
+        number = cell.try_cast("decimal(38,10)")
+        return F.coalesce(cell.try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
+    return cell.try_cast(kind)
+
+
+def _first_line(spark: SparkSession, path: str | list[str]) -> str:
+    """The header: the first line of the first file by name, of the first path given."""
+    files = sorted(spark.read.text(path if isinstance(path, str) else path[0]).inputFiles())
+    found = spark.read.text(files[0]).where(F.length("value") > 0).first() if files else None
+    return found[0].strip() if found else ""
+
+
+def _header(spark: SparkSession, path: str | list[str], sep: str, quote: str) -> list[str]:
+    line = spark.createDataFrame([(_first_line(spark, path),)], "value string")
+    width = line.select(_cells(F.col("value"), sep, quote)).first()[0]
+    cells = ", ".join(f"c{i} string" for i in range(width))
+    found = line.select(F.from_csv("value", cells, {"sep": sep, "quote": quote, "escape": quote})).first()[0]
+    return [x or "" for x in found]
+
+
+def detect_separator(spark: SparkSession, path: str | list[str]) -> str:
+    """The separator that splits the first lines into equal and most cells."""
+    lines = [r[0] for r in spark.read.text(path).where(F.length("value") > 0).limit(SAMPLE_LINES).collect()]
+
+    def rank(sep: str) -> tuple[float, int]:
+        counts = [line.count(sep) for line in lines]
+        usual = max(set(counts), key=counts.count) if counts else 0
+        return (counts.count(usual) / len(counts) if usual else 0.0, usual)
+
+    return max(SEPARATORS, key=rank)
 
 
 def infer_csv_schema(
-    spark: SparkSession, path: str | list[str], header: bool = True, sep: str = ","
+    spark: SparkSession, path: str | list[str], header: bool = True, sep: str | None = None
 ) -> T.StructType:
     """Types found by a full pass, for files without a declared schema.
 
-    Integers are widened to bigint. A column with unparsable cells is found as
-    string, so a declared schema is the better choice for damaged files.
+    The separator is detected unless given. Integers are widened to bigint. A
+    column with unparsable cells is found as string, so a declared schema is the
+    better choice for damaged files.
     """
+    sep = sep or detect_separator(spark, path)
     found = (
         spark.read.option("header", header).option("sep", sep).option("inferSchema", True).csv(path)
     ).schema
@@ -72,6 +142,12 @@ def infer_csv_schema(
     )
 
 
+def read_csv_auto(spark: SparkSession, path: str | list[str], header: bool = True) -> DataFrame:
+    """Read files about which nothing is known: separator and types are found first."""
+    sep = detect_separator(spark, path)
+    return read_csv_tolerant(spark, path, infer_csv_schema(spark, path, header, sep), header, sep)
+
+
 def _cells(raw: Column, sep: str, quote: str) -> Column:
     """Number of cells in a raw row; separators inside quotes do not count."""
     mark = "\\" + quote

@@ -1,12 +1,13 @@
 import duckdb
 import pyarrow.parquet as pq
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 
 from lossmill.session import scratch_path
 from lossmill.sources import tables
-from lossmill.sources.csv import infer_csv_schema, read_csv_tolerant
+from lossmill.sources.csv import infer_csv_schema, read_csv_auto, read_csv_tolerant, rejected_rows
 
 SCHEMA = T.StructType(
     [
@@ -91,6 +92,33 @@ def test_inferred_schema_feeds_the_reader(spark, tmp_path):
     assert read_csv_tolerant(spark, path, schema).count() == 2
 
 
+def test_columns_are_bound_by_name(spark, tmp_path):
+    path = write(tmp_path, ["Exposure,Extra,IDpol,Area", "0.5,x,1,A", "0.6,y,2", "0.7,z,3,B,W"])
+    assert read(spark, path) == [(1, 0.5, "A"), (2, 0.6, None)]
+    assert [r[0] for r in rejected_rows(spark, path, SCHEMA).collect()] == ["0.7,z,3,B,W"]
+    with pytest.raises(ValueError, match="Area"):
+        read(spark, write(tmp_path, ["IDpol,Exposure", "1,2"], "short.csv"))
+
+
+def test_whole_numbers_may_be_decimals(spark, tmp_path):
+    path = write(tmp_path, ["1.0,0.5,A", "1e2,0.5,B", "1.5,0.5,C", "7,1,D"])
+    assert read(spark, path, header=False) == [(1, 0.5, "A"), (100, 0.5, "B"), (7, 1.0, "D")]
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    path = write(tmp_path, ["IDpol,Exposure,Area", '1,0.5,"A', 'B"', "2,0.5,C"])
+    assert read(spark, path) == [(2, 0.5, "C")]
+    assert rejected_rows(spark, path, SCHEMA).count() == 2
+    assert read(spark, path, multi_line=True) == [(1, 0.5, "A\nB"), (2, 0.5, "C")]
+
+
+def test_unknown_files(spark, tmp_path):
+    path = write(tmp_path, ["IDpol;Exposure;Area", "1;0.5;a,b", "2;;c"])
+    frame = read_csv_auto(spark, path)
+    assert frame.schema == SCHEMA
+    assert [tuple(r) for r in frame.collect()] == [(1, 0.5, "a,b"), (2, None, "c")]
+
+
 def test_export_is_zstd_and_replaces_an_older_one(spark, tmp_path):
     path = str(tmp_path / "out")
     tables.export_parquet(spark.range(10), path)
