@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rounding import round_away
+from ..functions.rounding import round_away, settle
 from ..params import RATING_FACTORS, Leakage
 from ..session import cut_lineage, ship
 from . import boosting as bt
@@ -35,9 +35,9 @@ def leakage_clusters(
         toxic.join(dimension.select("IDpol", "Region", "VehPower"), "IDpol")
         .groupBy("Region", "VehPower")
         .agg(
-            round_away(F.avg("Technical_Loss_Ratio"), 2).alias("Avg_TLR"),
+            round_away(settle(F.avg("Technical_Loss_Ratio"), 6), 2).alias("Avg_TLR"),
             F.count("*").alias("Toxic_Policy_Count"),
-            round_away(F.sum("Expected_Pure_Premium"), 2).alias("Total_Expected_Losses"),
+            round_away(settle(F.sum("Expected_Pure_Premium"), 4), 2).alias("Total_Expected_Losses"),
         )
         .where(F.col("Toxic_Policy_Count") > limits.policies_above)
         .orderBy(F.desc_nulls_last("Avg_TLR"), "Region", "VehPower")

@@ -61,6 +61,9 @@ class FittedGlm:
             terms, estimates, summary.coefficientStandardErrors, strict=True
         ):
             estimate, error = float(estimate), float(error) * widen
+            if not error > 0:
+                rows.append((term, estimate, None, None, None, None, None))
+                continue
             z = estimate / error
             rows.append(
                 (
@@ -108,7 +111,8 @@ def fit_severity_glm(modeling: DataFrame) -> FittedGlm:
         model.transform(design).agg(F.sum(pearson).alias("chi2"), F.sum(n).alias("n")).first()
     )
     freedom = totals["n"] - (len(model.coefficients) + 1)
-    return FittedGlm(model, design, totals["chi2"] / freedom)
+    # As many terms as policies leave nothing to estimate the spread from.
+    return FittedGlm(model, design, totals["chi2"] / freedom if freedom > 0 else 0.0)
 
 
 def _design(groups: DataFrame) -> DataFrame:

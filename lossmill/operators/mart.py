@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rounding import percent, round_away
+from ..functions.rounding import percent, round_away, settle
 from ..params import Expenses, QuotaShare, Reserving, Tariff
 from .reserving import with_delays, with_reserves
 
@@ -123,9 +123,10 @@ def portfolio_ratios(mart: DataFrame) -> DataFrame:
         F.sum(F.col("UltimateLosses") + F.col("UnderwritingExpenses")).alias("both"),
         F.sum("EarnedPremium").alias("premium"),
     )
-    premium = F.col("premium")
+    # Sums of doubles depend on the order of the rows in their last bits.
+    losses, cost, both, premium = (settle(F.col(c), 4) for c in ("losses", "cost", "both", "premium"))
     return totals.select(
-        percent(F.col("losses"), premium).alias("Portfolio_Loss_Ratio"),
-        percent(F.col("cost"), premium).alias("Portfolio_Expense_Ratio"),
-        percent(F.col("both"), premium).alias("Portfolio_Combined_Ratio"),
+        percent(losses, premium).alias("Portfolio_Loss_Ratio"),
+        percent(cost, premium).alias("Portfolio_Expense_Ratio"),
+        percent(both, premium).alias("Portfolio_Combined_Ratio"),
     )

@@ -4,83 +4,42 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DIRECT_ROWS = 100_000
-SKETCH_ACCURACY = 10_000
+from ..session import cut_lineage
 
 
-def exact_quantile(
-    frame: DataFrame, column: str, share: float, direct_rows: int = DIRECT_ROWS
-) -> float | None:
-    """Linear-interpolated quantile over the non-null values, without a sort.
+def exact_quantile(frame: DataFrame, column: str, share: float) -> float | None:
+    """Linear-interpolated quantile over the non-null values.
 
-    The built-in exact percentile holds all distinct values in one task. Here a
-    quantile sketch brackets the wanted rank and two counts make the bracket
-    exact, which shrinks it about two-thousandfold per step. Only when at most
-    ``direct_rows`` values are left do they, with their counts, reach the driver.
-    The one column is kept, in memory or on disk, for the few passes over it.
+    The built-in exact percentile holds all distinct values in one task. Here the
+    values are counted, so that a crowded one is a single row, and sorted over all
+    partitions once; the sizes of the partitions, one number each, tell in which
+    one a rank lies, and a running sum finds it there. It is one path for every size.
     """
-    values = (
-        frame.select(F.col(column).cast("double").alias("v"))
-        .where(F.col("v").isNotNull())
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    try:
-        return _interpolated(values, share, direct_rows)
-    finally:
-        values.unpersist()
-
-
-def _interpolated(values: DataFrame, share: float, direct_rows: int) -> float | None:
-    total = values.count()
+    values = frame.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
+    counted = values.groupBy("v").agg(F.count("*").alias("n")).orderBy("v")
+    counted = cut_lineage(counted.select(F.spark_partition_id().alias("part"), "v", "n"))
+    sizes = sorted(counted.groupBy("part").agg(F.sum("n")).collect())
+    total = sum(n for _, n in sizes)
     if total == 0:
         return None
     position = share * (total - 1)
     rank = math.floor(position)
-    lower = _value_at(values, rank, total, direct_rows)
+    lower = _value_at(counted, sizes, rank)
     if position == rank:
         return lower
-    after = values.agg(
-        F.count_if(F.col("v") <= lower).alias("upto"),
-        F.min(F.when(F.col("v") > lower, F.col("v"))).alias("following"),
-    ).first()
-    upper = lower if after["upto"] > rank + 1 else after["following"]
+    upper = _value_at(counted, sizes, rank + 1)
     return lower + (upper - lower) * (position - rank)
 
 
-def _value_at(values: DataFrame, rank: int, total: int, direct_rows: int) -> float:
+def _value_at(counted: DataFrame, sizes: list, rank: int) -> float:
     """Value of the given zero-based rank in ascending order."""
-    v = F.col("v")
-    bracket, inside = values, total
-    while inside > direct_rows:
-        margin = 2.0 / SKETCH_ACCURACY
-        shares = [max(0.0, rank / inside - margin), min(1.0, (rank + 1) / inside + margin)]
-        low, high = bracket.agg(F.percentile_approx("v", shares, SKETCH_ACCURACY)).first()[0]
-        seen = bracket.agg(
-            F.count_if(v < low).alias("below_low"),
-            F.count_if(v <= low).alias("upto_low"),
-            F.count_if(v < high).alias("below_high"),
-            F.count_if(v <= high).alias("upto_high"),
-        ).first()
-        # Values equal to an edge are settled by the counts alone, so a value
-        # shared by a large part of the rows ends the search at once.
-        if rank < seen["below_low"]:
-            bracket, inside = bracket.where(v < low), seen["below_low"]
-        elif rank < seen["upto_low"]:
-            return low
-        elif rank < seen["below_high"]:
-            bracket = bracket.where((v > low) & (v < high))
-            rank, inside = rank - seen["upto_low"], seen["below_high"] - seen["upto_low"]
-        elif rank < seen["upto_high"]:
-            return high
-        else:
-            bracket = bracket.where(v > high)
-            rank, inside = rank - seen["upto_high"], inside - seen["upto_high"]
-    for row in sorted(bracket.groupBy("v").agg(F.count("*").alias("n")).collect()):
-        if rank < row["n"]:
-            return row["v"]
-        rank -= row["n"]
-    raise RuntimeError("the values changed between two passes")
+    for part, n in sizes:
+        if rank < n:
+            break
+        rank -= n
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy("v"))
+    within = counted.where(F.col("part") == part).withColumn("upto", upto)
+    return within.where(F.col("upto") > rank).agg(F.min("v")).first()[0]

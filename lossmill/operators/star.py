@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keyed import keyed_date
-from ..functions.rounding import percent, ratio, round_away
+from ..functions.rounding import percent, ratio, round_away, settle
 from ..params import Calendar
 from .mart import MART_COLUMNS
 
@@ -57,7 +57,7 @@ def monthly_loss_ratios(policies: DataFrame) -> DataFrame:
             F.sum("EarnedPremium").alias("Total_EarnedPremium"),
             F.sum("UltimateLosses").alias("Total_UltimateLosses"),
         )
-        .withColumn("Monthly_LR", percent(losses, premium))
+        .withColumn("Monthly_LR", percent(settle(losses, 4), settle(premium, 4)))
     )
     by_region = Window.partitionBy("Region").orderBy("Underwriting_Month")
     return monthly.withColumn("Prev_Month_LR", F.lag("Monthly_LR").over(by_region)).withColumn(

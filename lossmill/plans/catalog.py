@@ -7,6 +7,7 @@ sum of doubles depend on the row order. The operators themselves return raw sums
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,7 +66,7 @@ def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
     key = (spark.sparkContext.applicationId, folder)
     with _building:
         if key not in _stored:
-            store = Warehouse(spark, scratch_path(spark, "warehouse"), prefix=f"w{len(_stored)}_")
+            store = Warehouse(spark, scratch_path(spark, "warehouse"), prefix=f"w{uuid.uuid4().hex}_")
             _stored[key] = store.build(_portfolio(spark, folder))
         return _stored[key]
 
@@ -144,7 +145,7 @@ def mart_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """The mart written twice as a bucketed table, then read back."""
     frame = _ledger(spark, folder).select(*mart.MART_COLUMNS)
     path = scratch_path(spark, "mart")
-    name = "financial_reporting_mart"
+    name = f"mart_{uuid.uuid4().hex}"
     tables.write_table(frame, name, path, bucket_by="IDpol")
     return tables.write_table(frame, name, path, bucket_by="IDpol")
 

@@ -89,7 +89,8 @@ WITH claims AS (
     SELECT d.Underwriting_Month, d.Region,
            SUM(f.EarnedPremium) AS Total_EarnedPremium,
            SUM(f.UltimateLosses) AS Total_UltimateLosses,
-           ROUND(SUM(f.UltimateLosses) / NULLIF(SUM(f.EarnedPremium), 0) * 100, 2) AS Monthly_LR
+           ROUND({_settle('SUM(f.UltimateLosses)', 4)}
+                 / NULLIF({_settle('SUM(f.EarnedPremium)', 4)}, 0) * 100, 2) AS Monthly_LR
     FROM dimension d JOIN mart f ON d.IDpol = f.IDpol GROUP BY d.Underwriting_Month, d.Region
 ), summary AS (
     SELECT Underwriting_Month, Region, Total_EarnedPremium, Total_UltimateLosses, Monthly_LR,
@@ -168,14 +169,14 @@ SELECTS = {
     "quota_share": """
         SELECT IDpol, ReinsurerCededPremium, ReinsurerCededLosses, ReinsuranceCedingCommission
         FROM mart""",
-    "portfolio_ratios": """
-        SELECT ROUND(SUM(UltimateLosses) / NULLIF(SUM(EarnedPremium), 0) * 100, 2)
-                   AS Portfolio_Loss_Ratio,
-               ROUND(SUM(UnderwritingExpenses) / NULLIF(SUM(EarnedPremium), 0) * 100, 2)
-                   AS Portfolio_Expense_Ratio,
-               ROUND(SUM(UltimateLosses + UnderwritingExpenses)
-                     / NULLIF(SUM(EarnedPremium), 0) * 100, 2) AS Portfolio_Combined_Ratio
-        FROM mart""",
+    "portfolio_ratios": f"""
+        SELECT ROUND(losses / NULLIF(premium, 0) * 100, 2) AS Portfolio_Loss_Ratio,
+               ROUND(cost / NULLIF(premium, 0) * 100, 2) AS Portfolio_Expense_Ratio,
+               ROUND(together / NULLIF(premium, 0) * 100, 2) AS Portfolio_Combined_Ratio
+        FROM (SELECT {_settle('SUM(UltimateLosses)', 4)} AS losses,
+                     {_settle('SUM(UnderwritingExpenses)', 4)} AS cost,
+                     {_settle('SUM(UltimateLosses + UnderwritingExpenses)', 4)} AS together,
+                     {_settle('SUM(EarnedPremium)', 4)} AS premium FROM mart)""",
     "dim_policies": "SELECT * FROM dimension",
     "underwriting_date": """
         SELECT IDpol, Underwriting_Date, strftime(Underwriting_Date, '%Y-%m') AS Underwriting_Month
@@ -227,8 +228,8 @@ SELECTS = {
         FROM (SELECT *, COALESCE(UltimateLosses / NULLIF(ReportedClaimCount, 0), 0) AS s
               FROM model)""",
     "leakage_clusters": f"""
-        SELECT d.Region, d.VehPower, ROUND(AVG(m.TLR), 2) AS Avg_TLR,
-               COUNT(*) AS Toxic_Policy_Count, ROUND(SUM(m.EPP), 2) AS Total_Expected_Losses
+        SELECT d.Region, d.VehPower, ROUND({_settle('AVG(m.TLR)', 6)}, 2) AS Avg_TLR,
+               COUNT(*) AS Toxic_Policy_Count, ROUND({_settle('SUM(m.EPP)', 4)}, 2) AS Total_Expected_Losses
         FROM (SELECT p.IDpol, p.TotalClaimAmount AS EPP,
                      p.TotalClaimAmount / NULLIF(f.EarnedPremium, 0) * 100 AS TLR
               FROM policy p JOIN mart f ON p.IDpol = f.IDpol WHERE p.Exposure > 0) m

@@ -2,8 +2,8 @@
 
 Each step writes one table and the next step reads it. All tables are bucketed
 by the policy key with one bucket count, so neither the joins between them nor
-the writes after the first need a shuffle, and a failed step restarts from the
-table before it.
+the writes after the first need a shuffle. A build that failed can be resumed: it
+keeps the tables that are there and goes on with the first that is not.
 """
 
 from __future__ import annotations
@@ -35,41 +35,51 @@ class Settings:
 
 @dataclass
 class Warehouse:
-    """Names and location of the stored tables."""
+    """Names and location of the stored tables, in the current database or the one given."""
 
     spark: SparkSession
     folder: str
     buckets: int | None = None
     prefix: str = ""
+    database: str | None = None
+
+    def name(self, name: str) -> str:
+        return f"{self.database}.{self.prefix}{name}" if self.database else self.prefix + name
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.table(self.prefix + name)
+        return self.spark.table(self.name(name))
 
-    def store(self, frame: DataFrame, name: str, aligned: bool = False) -> DataFrame:
+    def store(self, frame: DataFrame, name: str, aligned: bool = False, resume: bool = False) -> DataFrame:
+        """Write a table; with `resume` only if it is not there."""
+        if resume and self.spark.catalog.tableExists(self.name(name)):
+            return self.table(name)
         return write_table(
             frame,
-            self.prefix + name,
+            self.name(name),
             f"{self.folder}/{name}",
             bucket_by=KEY,
             buckets=self.buckets,
             aligned=aligned,
         )
 
-    def build(self, portfolio: DataFrame, settings: Settings = Settings()) -> Warehouse:
+    def build(
+        self, portfolio: DataFrame, settings: Settings = Settings(), resume: bool = False
+    ) -> Warehouse:
         """Write portfolio, claims, mart and dimension, and name the monthly view.
 
         The financial fact is the mart under another name, so it is not copied.
-        Running it again replaces the tables.
+        Running it again replaces the tables, unless it resumes a failed build.
         """
         s = settings
-        portfolio = self.store(portfolio, "policy_portfolio")
+        portfolio = self.store(portfolio, "policy_portfolio", resume=resume)
         claims = reserving.claims_reserving(portfolio, s.reserving)
-        claims = self.store(claims, "fact_claims", aligned=True)
+        claims = self.store(claims, "fact_claims", aligned=True, resume=resume)
         marts = mart.financial_mart(
             portfolio, claims, s.tariff, s.expenses, s.treaty, s.ibnr_additive
         )
-        self.store(marts, "financial_reporting_mart", aligned=True)
-        self.store(star.dim_policies(portfolio, s.calendar), "dim_policies", aligned=True)
+        self.store(marts, "financial_reporting_mart", aligned=True, resume=resume)
+        dimension = star.dim_policies(portfolio, s.calendar)
+        self.store(dimension, "dim_policies", aligned=True, resume=resume)
         register_view(self.monthly(), self.prefix + MONTHLY_VIEW)
         return self
 

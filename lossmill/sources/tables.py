@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -15,10 +18,11 @@ def write_table(
 ) -> DataFrame:
     """Create or replace a Parquet table and return it.
 
-    With ``bucket_by`` the rows are laid out by the hash of that key, one sorted
-    file per bucket: later joins and groupings on the key then need no shuffle.
-    All tables joined on a key must use one bucket count. ``aligned`` says that
-    the frame comes from tables with this layout and needs no shuffle either.
+    With ``bucket_by`` the rows are laid out by the hash of that key, one file per
+    bucket: later joins and groupings on the key then need no shuffle. All tables
+    joined on a key must use one bucket count. ``aligned`` says that the frame comes
+    from tables with this layout and needs no shuffle either; it is then read
+    bucket by bucket, even where Spark would rather split the files.
     """
     spark = frame.sparkSession
     if bucket_by is not None:
@@ -27,13 +31,27 @@ def write_table(
             frame = frame.repartition(buckets, bucket_by)
     writer = frame.write.mode("overwrite").format("parquet")
     if bucket_by is not None:
-        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+        writer = writer.bucketBy(buckets, bucket_by)
     if path is not None:
         writer = writer.option("path", path)
-    writer.saveAsTable(name)
+    with _whole_buckets(spark, aligned):
+        writer.saveAsTable(name)
     return spark.table(name)
 
 
+@contextmanager
+def _whole_buckets(spark: SparkSession, wanted: bool) -> Iterator[None]:
+    """Read bucketed tables one bucket per task for as long as this lasts."""
+    setting = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    before = spark.conf.get(setting)
+    if wanted:
+        spark.conf.set(setting, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def register_view(frame: DataFrame, name: str) -> DataFrame:
     """Name a lazy view, replacing one of the same name."""
     frame.createOrReplaceTempView(name)

@@ -134,10 +134,15 @@ def test_bucketed_tables_are_replaced_and_join_without_a_shuffle(spark):
     for _ in range(2):
         tables.write_table(left, "t_left", folder + "/l", bucket_by="k", buckets=4)
     tables.write_table(left, "t_right", folder + "/r", bucket_by="k", buckets=4)
-    copy = tables.write_table(
-        spark.table("t_left"), "t_copy", folder + "/c", bucket_by="k", buckets=4, aligned=True
-    )
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")  # several splits per bucket
+    try:
+        copy = tables.write_table(
+            spark.table("t_left"), "t_copy", folder + "/c", bucket_by="k", buckets=4, aligned=True
+        )
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert copy.count() == 100
+    assert len(set(copy.inputFiles())) == 4
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         joined = spark.table("t_left").join(spark.table("t_right"), "k").join(copy, "k")
