@@ -6,11 +6,12 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from lossmill.plans import catalog, oracles
 
 FOLDER = entry.SMOKE_FOLDER
 HAVE_DATA = Path(FOLDER).is_dir()
 needs_data = pytest.mark.skipif(not HAVE_DATA, reason="test tables are not there")
-ORACLE = entry.oracle_sql()
+ORACLE = oracles.oracle_sql()
 MODEL_QUERIES = {
     "glm_frequency", "glm_severity", "boosted_frequency", "boosted_severity", "xol_probability",
     "pure_premium", "ml_insights", "insight_validation", "leakage_clusters_model",
@@ -19,8 +20,9 @@ MODEL_QUERIES = {
 
 
 def test_every_query_but_the_models_has_sql():
-    assert set(entry.queries()) == set(ORACLE) | MODEL_QUERIES
+    assert set(catalog.registered()) == set(ORACLE) | MODEL_QUERIES
     assert not set(ORACLE) & MODEL_QUERIES
+    assert set(catalog.registered()) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")
