@@ -45,6 +45,7 @@ class Items:
     ids: list[int]
     counts: list[dict[int, int]]
     prints: np.ndarray
+    known: np.ndarray
     #: For each block, value and item: whether the item's block is near enough.
     near: np.ndarray
 
@@ -73,8 +74,7 @@ class Index:
         self.groups = [self._group(length, found) for length, found in sorted(by_length.items())]
         self.shingles = {}
         for size in {g.shingle for g in self.groups}:
-            known = {x for g in self.groups if g.shingle == size for c in g.counts for x in c}
-            self.shingles[size] = np.array(sorted(known), dtype=np.uint64)
+            self.shingles[size] = np.unique(np.concatenate([g.known for g in self.groups if g.shingle == size]))
 
     def weight(self, shingles: np.ndarray) -> np.ndarray:
         return np.fromiter((self.weights.get(x, self.rare) for x in shingles.tolist()), dtype=np.int64, count=len(shingles))
@@ -88,7 +88,7 @@ class Index:
         for block in range(BLOCKS):
             own = (prints >> np.uint64(block * _BLOCK_BITS)) & np.uint64((1 << _BLOCK_BITS) - 1)
             near.append(np.bitwise_count(values[:, None] ^ own[None]) <= RADIUS // BLOCKS)
-        return Items(length, size, [i for i, _ in found], [Counter(g.tolist()) for g in grams], prints, np.array(near))
+        return Items(length, size, [i for i, _ in found], [Counter(g.tolist()) for g in grams], prints, np.unique(np.concatenate(grams)), np.array(near))
 
     def similarity(self, one: dict[int, int], two: dict[int, int]) -> float:
         both = all_of = 0
@@ -117,10 +117,15 @@ def _windows_with(hit: np.ndarray, texts: np.ndarray, length: int, size: int) ->
 def _search(hashes: np.ndarray, offsets: np.ndarray, index: Index) -> list[tuple[int, int, int, int, float, int]]:
     """Text, item, first word, words, similarity and distance of the best window of each pair."""
     grams = {size: gram_hashes(hashes, size) for size in index.shingles}
+    hits = {}
+    for size, known in index.shingles.items():
+        at = np.minimum(np.searchsorted(known, grams[size]), len(known) - 1)
+        hits[size] = np.flatnonzero(known[at] == grams[size])
     best: dict[tuple[int, int], tuple[float, int, int, int]] = {}
     for group in index.groups:
         own = grams[group.shingle]
-        hit = np.flatnonzero(np.isin(own, index.shingles[group.shingle]))
+        hit = hits[group.shingle]
+        hit = hit[np.isin(own[hit], group.known)]
         if not len(hit):
             continue
         starts = _windows_with(hit, offsets[1:], group.length, group.shingle)
