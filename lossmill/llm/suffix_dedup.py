@@ -35,6 +35,8 @@ from .textscan import range_hashes, signed
 
 LENGTH = 200
 ANCHOR = 64
+#: Suffixes that make a range of their own worthwhile; there are at most two ranges per shuffle partition.
+RANGE_ROWS = 4000
 
 #: Above every byte of UTF-8: parts the suffix from the bytes that stand before it.
 END = b"\xff"
@@ -54,6 +56,9 @@ BLOCK = (
     "start array<int>, windows array<int>"
 )
 MARKS = "key long, start int, windows int, high long, low long"
+_MARKS = pa.schema(
+    [("key", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("high", pa.int64()), ("low", pa.int64())]
+)
 
 
 def agreement(a: bytes, b: bytes, known: int = 0) -> int:
@@ -152,8 +157,13 @@ def _runs(batches: Iterator[pa.RecordBatch], bounds: list[bytes], length: int) -
         yield pa.RecordBatch.from_pydict(rows, schema=_BLOCK)
 
 
-def _merged(blocks: pa.Table, length: int, last_range: int) -> pa.Table:
-    """Repeated windows of one range; those that may go on beyond it come with hashes."""
+def _merged(blocks: pa.Table, length: int, bounds: list[bytes]) -> pa.Table:
+    """Repeated windows of one range, and hashes of those that may have equals beyond it.
+
+    An interval goes on beyond the range only if it agrees deep enough with the
+    bound there. Of equal windows one stands for all; its key is NULL if the range
+    has shown them to be repeated already.
+    """
     target = blocks["range"][0].as_py()
     columns = {name: blocks[name].to_pylist() for name in _BLOCK.names[1:]}
     runs = [(decode_front(shared, rest), shared) for shared, rest in zip(columns["shared"], columns["rest"])]
@@ -171,41 +181,36 @@ def _merged(blocks: pa.Table, length: int, last_range: int) -> pa.Table:
     left = [x[n + 1 :][::-1] for x, n in zip(texts, size.tolist())]
     before = np.fromiter(map(len, left), dtype=np.int64, count=len(left))
     reverse = reverse_left(left, 1, int(before.max(initial=0)))
+    low_reach = agreement(bounds[target - 1], texts[0]) if target > 0 else 0
+    high_reach = agreement(bounds[target], texts[-1]) if target < len(bounds) else 0
     found = [(keys[:0], starts[:0])]
-    ends: list[tuple[int, np.ndarray]] = []
+    beyond: dict[str, list] = {name: [] for name in ("key", "start", "windows", "high", "low")}
     for a, active, equal, interval in interval_windows(depth, reverse, before, windows, length):
-        _, inverse, count = np.unique(equal, return_inverse=True, return_counts=True)
+        _, first, inverse, count = np.unique(equal, return_index=True, return_inverse=True, return_counts=True)
         again = active[count[inverse] > 1]
         found.append((keys[again], starts[again] + before[again] - a))
-        at_end = (interval[active] == interval[0]) & (target > 0) | (interval[active] == interval[-1]) & (target < last_range)
-        ends.append((a, active[at_end]))
-    key, start, count = run_marks(*(np.concatenate(x) for x in zip(*found)))
-    rows = {"key": [key], "start": [start], "windows": [count], "high": [None] * len(key), "low": [None] * len(key)}
-    for a, active in ends:
-        for i in active.tolist():
-            whole = left[i][len(left[i]) - a :] + texts[i][: length - a]
-            data = np.frombuffer(whole, dtype=np.uint8)
-            high = range_hashes(data, np.array([0]), np.array([length]))
-            low = range_hashes(data[::-1].copy(), np.array([0]), np.array([length]))
-            rows["key"].append(keys[i : i + 1])
-            rows["start"].append(np.array([starts[i] + before[i] - a], dtype=np.int32))
-            rows["windows"].append(np.array([1], dtype=np.int32))
-            rows["high"].append(int(signed(high)[0]))
-            rows["low"].append(int(signed(low)[0]))
-    return pa.table(
-        {
-            "key": np.concatenate(rows["key"]).astype(np.int64),
-            "start": np.concatenate(rows["start"]).astype(np.int32),
-            "windows": np.concatenate(rows["windows"]).astype(np.int32),
-            "high": pa.array(rows["high"], pa.int64()),
-            "low": pa.array(rows["low"], pa.int64()),
-        }
-    )
-
-
-def _bounds(parts: DataFrame, length: int, ranges: int) -> list[bytes]:
+        at = interval[active[first]]
+        open_low = (at == interval[0]) & (low_reach >= length - a)
+        open_high = (at == interval[-1]) & (high_reach >= length - a)
+        for one, times in zip(active[first[open_low | open_high]].tolist(), count[open_low | open_high].tolist()):
+            whole = np.frombuffer(left[one][len(left[one]) - a :] + texts[one][: length - a], dtype=np.uint8)
+            row = (
+                int(keys[one]) if times == 1 else None,
+                int(starts[one] + before[one] - a),
+                1,
+                int(signed(range_hashes(whole, np.array([0]), np.array([length])))[0]),
+                int(signed(range_hashes(whole[::-1], np.array([0]), np.array([length])))[0]),
+            )
+            for name, value in zip(beyond, row):
+                beyond[name].append(value)
+    marks = run_marks(*(np.concatenate(x) for x in zip(*found)))
+    none = [None] * len(marks[0])
+    decided = pa.table(dict(zip(beyond, (*marks, none, none))), schema=_MARKS)
+    return pa.concat_tables([decided, pa.table(beyond, schema=_MARKS)])
+
+
+def _bounds(parts: DataFrame, length: int, rows: int, ranges: int) -> list[bytes]:
     """Bounds of the ranges from a sample of a few dozen suffixes for each."""
-    rows = parts.count()
     if rows <= 1 or ranges <= 1:
         return []
     wanted = 40 * ranges
@@ -219,25 +224,27 @@ def remove_repeated_bytes(
 ) -> DataFrame:
     """Columns key, doc_id, size, removed, spans, kept: see `kept.without`.
 
-    `ranges`: parts of the suffix order, by default twice the shuffle partitions.
+    `ranges`: parts of the suffix order, by default one for RANGE_ROWS suffixes, but
+    at most twice the shuffle partitions.
     A NULL or empty text keeps nothing and loses nothing; texts of fewer bytes
     than a window are kept whole. Rows that repeat an id: see `documents.keyed`.
     An empty table gives no rows.
     """
     docs = keyed(docs)
-    ranges = ranges or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     settled = cut_lineage(settle(docs, "bytes", length, anchor, keep_first=False))
     parts = cut_lineage(contents(docs, settled, "bytes", length, anchor))
-    bounds = _bounds(parts, length, ranges)
+    rows = parts.count()
+    most = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = _bounds(parts, length, rows, ranges or min(most, -(-rows // RANGE_ROWS)))
     pieces = parts.mapInArrow(partial(_runs, bounds=bounds, length=length), BLOCK)
 
     def merge(blocks: pa.Table) -> pa.Table:
-        return _merged(blocks, length, len(bounds))
+        return _merged(blocks, length, bounds)
 
     merged = cut_lineage(pieces.groupBy("range").applyInArrow(merge, MARKS))
     decided = merged.where("high IS NULL").select("key", "start", "windows")
     beyond = merged.where("high IS NOT NULL")
     shared = beyond.groupBy("high", "low").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    across = beyond.join(shared, ["high", "low"], "left_semi").select("key", "start", "windows")
+    across = beyond.where("key IS NOT NULL").join(shared, ["high", "low"], "left_semi").select("key", "start", "windows")
     marks = settled.where("repeated").select("key", "start", "windows").union(decided).union(across)
     return without(docs, marks, "bytes", length)
