@@ -7,11 +7,12 @@ is filled (optimal densification). Bins are joined to bands; documents that agre
 a band share its bucket. Bands are chosen so that a pair at the threshold is missed
 with a probability below one in a million.
 
-A bucket gives a star: edges from its smallest member to all others, never its pairs.
-Each document checks its strongest edge on the full sets. Pairs that the stars leave
-open, in buckets whose members are not all connected by then, are found exactly by
-the rarest words of their sets (a pair above the threshold shares one of them), and
-checked as well. Equal sets are one document from the start.
+A bucket gives a star: edges from one member to all others, never its pairs. Each
+document checks its strongest edge on the full sets, and then those edges whose ends
+are not connected yet. What the stars leave open are buckets whose members are not all
+connected by then: there the members outside the largest component are checked with
+all others of a different one, each pair once. Equal sets are one document from the
+start.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -159,20 +160,13 @@ def _checked_stars(batches: Iterator[pa.RecordBatch], length: int, fold_case: bo
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["a", "b"])
 
 
-def _exploded(batches: Iterator[pa.RecordBatch], length: int, fold_case: bool) -> Iterator[pa.RecordBatch]:
+def _whole_sets(batches: Iterator[pa.RecordBatch], length: int, fold_case: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for chunk in chunks(batch["text"]):
             values, offsets = shingle_sets(chunk.data, chunk.offsets, length, fold_case)
-            keys = batch["key"].to_numpy()[chunk.first : chunk.first + chunk.rows]
             sets = [values[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys),
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(signed(values))),
-                    pa.array(sets, pa.binary()),
-                ],
-                ["key", "shingles", "whole"],
-            )
+            keys = batch["key"].slice(chunk.first, chunk.rows)
+            yield pa.RecordBatch.from_arrays([keys, pa.array(sets, pa.binary())], ["key", "whole"])
 
 
 def _checked_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -188,31 +182,29 @@ def _size_fits(a: str, b: str, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _open_pairs(docs: DataFrame, open_rows: DataFrame, length: int, fold_case: bool, percent: int) -> DataFrame:
-    """Similar pairs among the rows that the stars left open, of different components."""
-    sets = cut_lineage(
-        docs.join(open_rows.select("key"), "key")
-        .select("key", "text")
-        .mapInArrow(partial(_exploded, length=length, fold_case=fold_case), "key long, shingles array<bigint>, whole binary")
-    )
-    single = sets.select("key", F.explode("shingles").alias("shingle"))
-    common = single.groupBy("shingle").count().where("count > 1")
-    shared = single.join(common, "shingle").join(open_rows, "key")
-    # The rarest shingles come first; those of one document only are before all that are left here.
-    by_rarity = Window.partitionBy("key").orderBy("count", "shingle")
-    place = F.row_number().over(by_rarity) + F.col("n_shingles") - F.count(F.lit(1)).over(Window.partitionBy("key"))
-    needed = F.floor((F.col("n_shingles") * percent + 99) / 100)
-    prefix = shared.withColumn("place", place).where(F.col("place") <= F.col("n_shingles") - needed + 1)
-    prefix = cut_lineage(prefix.select("shingle", "key", "component", "n_shingles"))
-    one, two = prefix.alias("x"), prefix.alias("y")
-    pairs = one.join(
-        two,
-        (F.col("x.shingle") == F.col("y.shingle"))
-        & (F.col("x.key") < F.col("y.key"))
+def _open_pairs(texts: DataFrame, rows: DataFrame, length: int, fold_case: bool, percent: int) -> DataFrame:
+    """Similar pairs of different components that share a bucket, each pair looked at once.
+
+    `rows` are those of the buckets with several components: band, place, key,
+    n_shingles, component, bands. Members of a bucket's largest component meet the
+    others only, and never each other.
+    """
+    parts = rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = parts.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
+    few = rows.join(largest, "band").where("component <> largest").alias("x")
+    # An earlier band that both share has brought the pair already.
+    earlier = F.arrays_overlap(F.expr("slice(x.bands, 1, x.place)"), F.expr("slice(y.bands, 1, x.place)"))
+    pairs = few.join(
+        rows.alias("y"),
+        (F.col("x.band") == F.col("y.band"))
         & (F.col("x.component") != F.col("y.component"))
-        & _size_fits("x.n_shingles", "y.n_shingles", percent),
+        & ((F.col("y.component") == F.col("x.largest")) | (F.col("x.key") < F.col("y.key")))
+        & _size_fits("x.n_shingles", "y.n_shingles", percent)
+        & ~earlier,
     ).select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
-    pairs = pairs.distinct()
+    sets = texts.join(rows.select("key").distinct(), "key").select("key", "text")
+    sets = sets.mapInArrow(partial(_whole_sets, length=length, fold_case=fold_case), "key long, whole binary")
+    sets = cut_lineage(sets)
     whole_a = sets.select(F.col("key").alias("a"), F.col("whole").alias("whole_a"))
     whole_b = sets.select(F.col("key").alias("b"), F.col("whole").alias("whole_b"))
     return (
@@ -222,6 +214,36 @@ def _open_pairs(docs: DataFrame, open_rows: DataFrame, length: int, fold_case: b
     )
 
 
+def _checked(edges: DataFrame, texts: DataFrame, length: int, fold_case: bool, percent: int) -> DataFrame:
+    """Edges key, centre whose full sets are similar, as a, b; a large star goes to several tasks, each with its centre."""
+    shares = edges.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / STAR).alias("shares"))
+    own = edges.join(shares, "centre").select("centre", "key", F.pmod(F.xxhash64("key"), F.col("shares")).alias("share"))
+    turns = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))
+    points = own.union(shares.select("centre", F.col("centre").alias("key"), turns.alias("share")))
+    return cut_lineage(
+        points.join(texts, "key")
+        .select("centre", "share", "key", "text")
+        .repartition("centre", "share")
+        .sortWithinPartitions("centre", "share", F.col("key") != F.col("centre"), "key")
+        .select("centre", "key", "text")
+        .mapInArrow(partial(_checked_stars, length=length, fold_case=fold_case, percent=percent), "a long, b long")
+    )
+
+
+def _placed(placing: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows key, component after joining the components that links connect."""
+    one = placing.select(F.col("key").alias("a"), F.col("component").alias("one"))
+    two = placing.select(F.col("key").alias("b"), F.col("component").alias("two"))
+    joined = links.join(one, "a").join(two, "b").where("one <> two")
+    between = cut_lineage(joined.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct())
+    if between.isEmpty():
+        return placing
+    merged = connected(between).select(F.col("node").alias("component"), F.col("component").alias("merged"))
+    return cut_lineage(
+        placing.join(merged, "component", "left").select("key", F.coalesce("merged", "component").alias("component"))
+    )
+
+
 def near_duplicates(
     docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT, fold_case: bool = True, has_keys: bool = False
 ) -> DataFrame:
@@ -241,50 +263,46 @@ def near_duplicates(
     filled = signed_docs.where("n_shingles > 0")
     sets = cut_lineage(filled.groupBy(*same_set).agg(F.min("key").alias("key"), F.min_by("bands", "key").alias("bands")))
 
-    buckets = sets.select("key", "n_shingles", F.explode("bands").alias("band"))
-    centres = buckets.groupBy("band").agg(
-        F.min("key").alias("centre"), F.min_by("n_shingles", "key").alias("centre_size"), F.count(F.lit(1)).alias("members")
+    buckets = sets.select("key", "n_shingles", F.posexplode("bands").alias("place", "band"))
+    crowds = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    member = cut_lineage(buckets.join(crowds, "band").select("band", "place", "key", "n_shingles", "members"))
+    # A star's centre is the member with most company in all its buckets: copies differ less from it than from each other.
+    company = member.groupBy("key").agg(F.sum("members").alias("company"))
+    centres = (
+        member.join(company, "key")
+        .groupBy("band")
+        .agg(F.max(F.struct("company", (-F.col("key")).alias("minus"), F.col("n_shingles").alias("size"))).alias("top"))
+        .select("band", (-F.col("top.minus")).alias("centre"), F.col("top.size").alias("centre_size"), F.col("top.company").alias("weight"))
     )
-    member = cut_lineage(
-        buckets.join(centres.where("members > 1"), "band").select("band", "key", "n_shingles", "centre", "centre_size")
+    edges = (
+        member.join(centres, "band")
+        .where("key <> centre")
+        .where(_size_fits("n_shingles", "centre_size", percent))
+        .groupBy("key", "centre")
+        .agg(F.count(F.lit(1)).alias("bands"), F.max("weight").alias("weight"))
     )
-    strength = (
-        member.where("key <> centre").where(_size_fits("n_shingles", "centre_size", percent)).groupBy("key", "centre").count()
-    )
-    # The strongest edge of each member, the smaller centre where several are.
-    best = strength.groupBy("key").agg(F.min_by("centre", F.struct(-F.col("count"), F.col("centre"))).alias("centre"))
-    best = cut_lineage(best)
+    edges = cut_lineage(edges)
+    first = edges.groupBy("key").agg(F.max(F.struct("bands", "weight", (-F.col("centre")).alias("minus"))).alias("top"))
+    first = cut_lineage(first.select("key", (-F.col("top.minus")).alias("centre")))
     texts = cut_lineage(docs.select("key", "text").join(member.select("key").distinct(), "key"))
-
-    stars = best.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / STAR).alias("shares"))
-    points = (
-        best.join(stars, "centre")
-        .select("centre", "key", F.pmod(F.xxhash64("key"), F.col("shares")).alias("share"))
-        .union(stars.select("centre", F.col("centre").alias("key"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share")))
-    )
-    links = cut_lineage(
-        points.join(texts, "key")
-        .select("centre", "share", "key", "text")
-        .repartition("centre", "share")
-        .sortWithinPartitions("centre", "share", F.col("key") != F.col("centre"), "key")
-        .select("centre", "key", "text")
-        .mapInArrow(partial(_checked_stars, length=length, fold_case=fold_case, percent=percent), "a long, b long")
-    )
-    grouped = connected(links)
-    member = member.join(grouped, member["key"] == grouped["node"], "left").select(
-        "band", "key", "n_shingles", F.coalesce("component", "key").alias("component")
-    )
-    member = cut_lineage(member)
+    check = partial(_checked, texts=texts, length=length, fold_case=fold_case, percent=percent)
+
+    placing = cut_lineage(sets.select("key", F.col("key").alias("component")))
+    placing = _placed(placing, check(first))
+    others = edges.select("key", "centre").join(first, ["key", "centre"], "left_anti")
+    others = others.join(placing, "key").withColumnRenamed("component", "own")
+    others = others.join(placing.select(F.col("key").alias("centre"), "component"), "centre").where("own <> component")
+    others = cut_lineage(others.select("key", "centre"))
+    if not others.isEmpty():
+        placing = _placed(placing, check(others))
+    member = cut_lineage(member.join(placing, "key").select("band", "place", "key", "n_shingles", "component"))
     divided = member.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    open_rows = cut_lineage(member.join(divided, "band", "left_semi").select("key", "n_shingles", "component").distinct())
+    open_rows = member.join(divided.select("band"), "band").join(sets.select("key", "bands"), "key")
+    open_rows = cut_lineage(open_rows)
     if not open_rows.isEmpty():
-        more = cut_lineage(_open_pairs(texts, open_rows, length, fold_case, percent))
-        if not more.isEmpty():
-            grouped = connected(links.union(more))
+        placing = _placed(placing, cut_lineage(_open_pairs(texts, open_rows, length, fold_case, percent)))
 
-    of_set = sets.select(*same_set, F.col("key").alias("first")).join(
-        grouped, F.col("first") == F.col("node"), "left"
-    ).select(*same_set, F.coalesce("component", "first").alias("component"))
+    of_set = sets.join(placing, "key").select(*same_set, "component")
     placed = signed_docs.select("key", "doc_id", *same_set).join(of_set, same_set, "left")
     placed = placed.select("key", "doc_id", "n_shingles", F.coalesce("component", "key").alias("component"))
     if plain_ids(docs):
