@@ -19,6 +19,7 @@ all others by a shuffle on the word. Where a word ends up does not change a coun
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import partial
 
@@ -239,10 +240,10 @@ SUMS = "key long, n_tokens long, known long, logs double, score double"
 
 
 def _sums(
-    batches: Iterator[pa.RecordBatch], frequent: np.ndarray, counts: np.ndarray, trie, part: int, parts: int
+    batches: Iterator[pa.RecordBatch], frequent: np.ndarray, counts: np.ndarray, trie, part: int, parts: int, order: int
 ) -> Iterator[pa.RecordBatch]:
     """Per text what the tables and one part of the trie give."""
-    model: Trie = trie.value
+    model = _trie(trie.value, order)
     logs = np.log10(counts + 1.0)
     for batch in batches:
         for chunk in chunks(batch["text"]):
@@ -273,22 +274,38 @@ def _sums(
             )
 
 
-def _trie_part(statistics: DataFrame, part: int, parts: int, order: int) -> Trie:
-    """One part of the trie and the short contexts of the whole, as arrays."""
+def _arrays(frame: DataFrame) -> list[np.ndarray]:
+    """Columns of whole numbers, by way of Arrow: no object per value."""
+    found = frame.toArrow()
+    return [np.asarray(found[c].to_numpy(), dtype=np.int64) for c in frame.columns]
+
+
+def _trie_part(statistics: DataFrame, part: int, parts: int) -> tuple:
+    """One part of the trie and the short contexts of the whole, as arrays; workers make the trie of them."""
     cells = statistics.where("kind = 0")
     ending = f"shiftright(code, {_BITS}) & {(1 << (2 * _BITS)) - 1}"
     short = {}
     for k in (0, 1):
         own = cells.groupBy((F.col("code").bitwiseAND((1 << (_BITS * (k + 1))) - 1)).alias("code")).agg(F.sum("count").alias("count"))
-        own = own.orderBy("code").toPandas()
-        short[k] = (own["code"].to_numpy(np.int64), own["count"].to_numpy(np.int64))
-    endings = cells.select(F.expr(ending).alias("ending")).distinct().toPandas()["ending"].to_numpy(np.int64)
-    mine = endings[cell_part(endings << _BITS, parts) == part]
+        short[k] = tuple(_arrays(own.orderBy("code")))
     if parts > 1:
+        (endings,) = _arrays(cells.select(F.expr(ending).alias("ending")).distinct())
+        mine = endings[cell_part(endings << _BITS, parts) == part]
         wanted = statistics.sparkSession.createDataFrame([(int(x),) for x in mine], "ending long")
         cells = cells.withColumn("ending", F.expr(ending)).join(wanted, "ending")
-    found = cells.select("code", "count").toPandas()
-    return Trie(found["code"].to_numpy(np.int64), found["count"].to_numpy(np.int64), short, order)
+    return (uuid.uuid4().hex, *_arrays(cells.select("code", "count")), short)
+
+
+_tries: dict[str, Trie] = {}
+
+
+def _trie(parts: tuple, order: int) -> Trie:
+    """The worker's trie; of one part at a time."""
+    name, cells, counts, short = parts
+    if name not in _tries:
+        _tries.clear()
+        _tries[name] = Trie(cells, counts, short, order)
+    return _tries[name]
 
 
 def language_scores(
@@ -316,17 +333,16 @@ def language_scores(
         .orderBy(F.desc("count"), "word")
         .limit(frequent_words)
         .select("word")
-        .toPandas()["word"]
     )
-    frequent = np.sort(top.to_numpy(np.int64).view(np.uint64))
+    frequent = np.sort(_arrays(top)[0].view(np.uint64))
 
     statistics = texts.select("text", "held_out").mapInArrow(
         partial(_statistics, frequent=frequent, order=order), "kind int, code long, count long"
     )
     statistics = cut_lineage(statistics.groupBy("kind", "code").agg(F.sum("count").alias("count")))
     counts = np.zeros(len(frequent), dtype=np.int64)
-    own = statistics.where("kind = 1").toPandas()
-    counts[own["code"].to_numpy(np.int64)] = own["count"].to_numpy(np.int64)
+    places, found = _arrays(statistics.where("kind = 1").select("code", "count"))
+    counts[places] = found
     totals = statistics.where("kind = 2").agg(F.sum("count")).first()
     train_tokens = int(totals[0] or 0)
 
@@ -351,8 +367,8 @@ def language_scores(
     parts = max(1, -(-statistics.where("kind = 0").count() // part_cells))
     sums = None
     for part in range(parts):
-        trie = spark.sparkContext.broadcast(_trie_part(statistics, part, parts, order))
-        work = partial(_sums, frequent=frequent, counts=counts, trie=trie, part=part, parts=parts)
+        trie = spark.sparkContext.broadcast(_trie_part(statistics, part, parts))
+        work = partial(_sums, frequent=frequent, counts=counts, trie=trie, part=part, parts=parts, order=order)
         one = texts.select("key", "text").mapInArrow(work, SUMS)
         sums = one if sums is None else sums.unionAll(one)
     if parts > 1:
