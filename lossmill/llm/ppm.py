@@ -1,7 +1,8 @@
-"""Language-model scores by prediction by partial matching over bytes of words.
+"""Language-model scores by prediction by partial matching over bytes of texts.
 
 A text is coded as its words, each byte by byte and closed by a space, and then an
-end. The context of a symbol are the last `ORDER` symbols, back to the space before
+end. The context of a symbol are the last `ORDER` symbols of the text, over word
+boundaries; before a text stand spaces. `across=False` ends it at the space before
 the word. Counts of all orders form a trie of contexts. A symbol is looked for in
 its longest context; a context without it costs an escape, estimated by the number
 of different symbols seen in it, and symbols seen there are excluded in the shorter
@@ -30,9 +31,10 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .documents import keyed
-from .textscan import chunks, lower_ascii, mix, signed, words
+from .textscan import Words, chunks, lower_ascii, mix, signed, words
 
-ORDER = 5
+#: The longest context whose cells fit into 63 bits.
+ORDER = 6
 #: Cells of the trie that are held at once, and frequent words that are held in a table.
 PART_CELLS = 4_000_000
 FREQUENT = 65_536
@@ -44,26 +46,35 @@ _SPACE, _END = 0x20 + 1, 257
 _ALPHABET = 257
 
 
-def word_cells(raw: bytes, starts: np.ndarray, ends: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cells (context and symbol, packed) of words, and for each cell the number of its word."""
-    sizes = ends - starts + 1
-    word = np.repeat(np.arange(len(sizes)), sizes)
-    place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    data = np.frombuffer(raw, dtype=np.uint8)
-    last = place == np.repeat(sizes, sizes) - 1
-    at = np.repeat(starts, sizes) + place
-    symbol = np.where(last, _SPACE, data[np.minimum(at, len(data) - 1)].astype(np.int64) + 1)
-    cell = symbol.copy()
-    before = np.append([_SPACE], symbol)
+def text_cells(raw: np.ndarray, found: Words, order: int, across: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Cells (context and symbol, packed) of texts in their order, and for each cell the number of its text."""
+    texts = np.arange(len(found.offsets) - 1)
+    # Pieces are the words with their spaces, and after those of each text its end.
+    word_at, end_at = np.arange(len(found.starts)) + found.row_of, found.offsets[1:] + texts
+    sizes = np.ones(len(found.starts) + len(texts), dtype=np.int64)
+    sizes[word_at] += found.ends - found.starts
+    opens = np.full(len(sizes), not across)
+    opens[found.offsets[:-1] + texts] = True
+    # Where contexts begin anew, spaces go before, as a text's beginning; before a single word one space and empty places.
+    firsts = np.cumsum(sizes + order * opens) - sizes
+    symbols = np.zeros(int(sizes.sum()) + order * int(opens.sum()), dtype=np.int64)
+    for j in range(1, (order if across else min(order, 1)) + 1):
+        symbols[firsts[opens] - j] = _SPACE
+    word_sizes = sizes[word_at] - 1
+    place = np.arange(int(word_sizes.sum()))
+    before = np.cumsum(word_sizes) - word_sizes
+    symbols[place + np.repeat(firsts[word_at] - before, word_sizes)] = raw[place + np.repeat(found.starts - before, word_sizes)].astype(np.int64) + 1
+    symbols[firsts[word_at] + word_sizes] = _SPACE
+    symbols[firsts[end_at]] = _END
+    cells = symbols.copy()
     for j in range(1, order + 1):
-        # The symbol j places back; the one before a word's first is a space, nothing counts before that.
-        back = np.where(place >= j - 1, before[np.maximum(np.arange(len(symbol)) - j + 1, 0)], 0)
-        back[place == j - 1] = _SPACE
-        cell |= back << (_BITS * j)
-    return cell, word
-
-
-END_CELL = (_SPACE << _BITS) | _END
+        cells[j:] |= symbols[:-j] << (_BITS * j)
+    text = np.zeros(len(sizes), dtype=np.int64)
+    text[word_at], text[end_at] = found.row_of, texts
+    own = np.ones(len(symbols), dtype=bool)
+    for j in range(1, order + 1):
+        own[firsts[opens] - j] = False
+    return cells[own], np.repeat(text, sizes)
 
 
 class Trie:
@@ -139,11 +150,11 @@ def cell_part(cells: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _chunk_words(chunk) -> tuple:
-    """Different words of a chunk: bytes, byte ranges, hashes; of all words which one; words of each text."""
+    """Bytes of a chunk; hashes of its different words; of all words which one; words of each text."""
     data = lower_ascii(chunk.data)
     found = words(data, chunk.offsets)
-    unique, first, inverse = np.unique(found.hashes, return_index=True, return_inverse=True)
-    return data.tobytes(), found.starts[first], found.ends[first], unique, inverse, found
+    unique, inverse = np.unique(found.hashes, return_inverse=True)
+    return data, unique, inverse, found
 
 
 def _held_out(key: Column) -> Column:
@@ -158,8 +169,8 @@ def _lookup(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return at, table[at] == values
 
 
-def _statistics(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, order: int) -> Iterator[pa.RecordBatch]:
-    """Rows kind, code, count: cells of the trie (0), frequent words (1), all tokens (2) of training texts."""
+def _statistics(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, order: int, across: bool) -> Iterator[pa.RecordBatch]:
+    """Rows kind, code, count of training texts: cells of the trie (0), frequent words (1), all tokens (2), ends (3)."""
     totals = np.zeros(len(frequent), dtype=np.int64)
     tokens = ends = 0
     held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -172,31 +183,28 @@ def _statistics(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, order:
     for batch in batches:
         train = ~batch["held_out"].to_numpy(zero_copy_only=False)
         for chunk in chunks(batch["text"]):
-            raw, starts, stops, unique, inverse, found = _chunk_words(chunk)
+            raw, unique, inverse, found = _chunk_words(chunk)
             own = train[chunk.first : chunk.first + chunk.rows]
             counts = np.bincount(inverse, weights=own[found.row_of], minlength=len(unique))
             tokens += int(counts.sum())
             ends += int(own.sum())
             at, there = _lookup(frequent, unique)
             totals[at[there]] += counts[there].astype(np.int64)
-            used = np.flatnonzero(counts)
-            if len(used):
-                cell, word = word_cells(raw, starts[used], stops[used], order)
-                code, place = np.unique(cell, return_inverse=True)
-                held.append((code, np.bincount(place, weights=counts[used][word])))
-                rows += len(code)
-            if rows > 2_000_000:
+            cell, text = text_cells(raw, found, order, across)
+            held.append(np.unique(cell[own[text]], return_counts=True))
+            rows += len(held[-1][0])
+            if rows > 4_000_000:
                 held = [summed()]
                 rows = len(held[0][0])
-                if rows > 1_000_000:
+                if rows > 2_000_000:
                     yield _statistic_rows(0, *held[0])
                     held, rows = [], 0
     if held:
         yield _statistic_rows(0, *summed())
-    yield _statistic_rows(0, np.array([END_CELL]), np.array([ends]))
     used = np.flatnonzero(totals)
     yield _statistic_rows(1, used, totals[used])
     yield _statistic_rows(2, np.array([0]), np.array([tokens + ends]))
+    yield _statistic_rows(3, np.array([0]), np.array([ends]))
 
 
 def _statistic_rows(kind: int, code: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
@@ -211,7 +219,7 @@ def _rare_words(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iter
     for batch in batches:
         keys, train = batch["key"].to_numpy(), ~batch["held_out"].to_numpy(zero_copy_only=False)
         for chunk in chunks(batch["text"]):
-            _, _, _, unique, inverse, found = _chunk_words(chunk)
+            _, unique, inverse, found = _chunk_words(chunk)
             _, there = _lookup(frequent, unique)
             rare = ~there[inverse]
             pair = found.row_of[rare] * max(len(unique), 1) + inverse[rare]
@@ -231,7 +239,7 @@ def _rare_words(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iter
 def _sampled_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for chunk in chunks(batch["text"]):
-            _, _, _, unique, inverse, _ = _chunk_words(chunk)
+            _, unique, inverse, _ = _chunk_words(chunk)
             count = np.bincount(inverse, minlength=len(unique))
             yield pa.RecordBatch.from_arrays([pa.array(signed(unique)), pa.array(count.astype(np.int64))], ["word", "count"])
 
@@ -240,35 +248,31 @@ SUMS = "key long, n_tokens long, known long, logs double, score double"
 
 
 def _sums(
-    batches: Iterator[pa.RecordBatch], frequent: np.ndarray, counts: np.ndarray, trie, part: int, parts: int, order: int
+    batches: Iterator[pa.RecordBatch], frequent: np.ndarray, counts: np.ndarray, trie, part: int, parts: int, order: int, across: bool
 ) -> Iterator[pa.RecordBatch]:
     """Per text what the tables and one part of the trie give."""
     model = _trie(trie.value, order)
     logs = np.log10(counts + 1.0)
     for batch in batches:
         for chunk in chunks(batch["text"]):
-            raw, starts, stops, unique, inverse, found = _chunk_words(chunk)
+            raw, unique, inverse, found = _chunk_words(chunk)
             at, there = _lookup(frequent, unique)
             log_of, known_of = np.zeros(len(unique)), np.zeros(len(unique))
             log_of[there], known_of[there] = logs[at[there]], counts[at[there]] > 0
-            cost_of = np.zeros(len(unique))
-            if len(unique):
-                cell, word = word_cells(raw, starts, stops, model.order)
-                code, place = np.unique(cell, return_inverse=True)
-                cost = np.zeros(len(code))
-                mine = cell_part(code, parts) == part
-                cost[mine] = model.costs(code[mine])
-                cost_of = np.bincount(word, weights=cost[place], minlength=len(unique))
-            row = found.row_of
-            total = [np.bincount(row, weights=x[inverse], minlength=chunk.rows) for x in (known_of, log_of, cost_of)]
-            end = model.costs(np.array([END_CELL]))[0] if cell_part(np.array([END_CELL]), parts)[0] == part else 0.0
+            total = [np.bincount(found.row_of, weights=x[inverse], minlength=chunk.rows) for x in (known_of, log_of)]
+            cell, text = text_cells(raw, found, order, across)
+            if parts > 1:
+                mine = cell_part(cell, parts) == part
+                cell, text = cell[mine], text[mine]
+            code, place = np.unique(cell, return_inverse=True)
+            score = np.bincount(text, weights=model.costs(code)[place], minlength=chunk.rows)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["key"].slice(chunk.first, chunk.rows),
                     pa.array(np.diff(found.offsets) + 1),
                     pa.array(total[0].astype(np.int64)),
                     pa.array(total[1]),
-                    pa.array(total[2] + end),
+                    pa.array(score),
                 ],
                 ["key", "n_tokens", "known", "logs", "score"],
             )
@@ -309,12 +313,12 @@ def _trie(parts: tuple, order: int) -> Trie:
 
 
 def language_scores(
-    docs: DataFrame, order: int = ORDER, part_cells: int = PART_CELLS, frequent_words: int = FREQUENT
+    docs: DataFrame, order: int = ORDER, part_cells: int = PART_CELLS, frequent_words: int = FREQUENT, across: bool = False
 ) -> DataFrame:
     """Rows doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one for each document.
 
     Learns from documents whose crc32 of the id modulo 7 is not 2; a document without
-    an id is held out of neither. A NULL or empty text is the end alone. Without
+    an id is held out of neither. `across`: contexts go over word boundaries. A NULL or empty text is the end alone. Without
     training texts every symbol is uniform and every word unknown. Rows that repeat
     an id: see `documents.keyed`. Words are told apart by 64-bit hashes.
     """
@@ -337,7 +341,7 @@ def language_scores(
     frequent = np.sort(_arrays(top)[0].view(np.uint64))
 
     statistics = texts.select("text", "held_out").mapInArrow(
-        partial(_statistics, frequent=frequent, order=order), "kind int, code long, count long"
+        partial(_statistics, frequent=frequent, order=order, across=across), "kind int, code long, count long"
     )
     statistics = cut_lineage(statistics.groupBy("kind", "code").agg(F.sum("count").alias("count")))
     counts = np.zeros(len(frequent), dtype=np.int64)
@@ -360,7 +364,7 @@ def language_scores(
     )
     rare = cut_lineage(rare)
     rare_kinds = rare.agg(F.sum("rare_kinds")).first()[0] or 0
-    ends = statistics.where(f"kind = 0 AND code = {END_CELL}").agg(F.sum("count")).first()[0] or 0
+    ends = statistics.where("kind = 3").agg(F.sum("count")).first()[0] or 0
     kinds = int((counts > 0).sum()) + int(rare_kinds) + (1 if ends else 0)
     room = float(np.log10(train_tokens + kinds + 1))
 
@@ -368,7 +372,7 @@ def language_scores(
     sums = None
     for part in range(parts):
         trie = spark.sparkContext.broadcast(_trie_part(statistics, part, parts))
-        work = partial(_sums, frequent=frequent, counts=counts, trie=trie, part=part, parts=parts, order=order)
+        work = partial(_sums, frequent=frequent, counts=counts, trie=trie, part=part, parts=parts, order=order, across=across)
         one = texts.select("key", "text").mapInArrow(work, SUMS)
         sums = one if sums is None else sums.unionAll(one)
     if parts > 1:

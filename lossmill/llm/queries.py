@@ -46,7 +46,7 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_language_scores(spark: SparkSession, folder: str) -> DataFrame:
     ship(spark)
-    return language_scores(read_documents(spark, folder))
+    return language_scores(read_documents(spark, folder), across=True)
 
 
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
