@@ -1,6 +1,7 @@
 """Benchmark passages in documents, by SimHash and exact weighted similarity.
 
-A window of a document is as many words as an item has. Windows and items are
+A window of a document is as many words as an item has; a document of fewer words is
+one window as a whole. Windows and items are
 weighted multisets of five-word shingles; a shingle weighs the more the fewer items
 have it. A window without any shingle of the benchmark has similarity zero with
 every item and gets no fingerprint; all others do, at every position. Fingerprints
@@ -114,6 +115,13 @@ def _windows_with(hit: np.ndarray, texts: np.ndarray, length: int, size: int) ->
     return starts[(text < len(texts)) & (starts + length <= ends)]
 
 
+def _short_texts(hit: np.ndarray, offsets: np.ndarray, length: int, size: int) -> np.ndarray:
+    """Texts of fewer words than `length` that hold one of the shingles at the given places."""
+    text = np.searchsorted(offsets, hit, side="right") - 1
+    inside = hit + size <= offsets[text + 1]
+    return np.unique(text[inside & (offsets[text + 1] - offsets[text] < length)])
+
+
 def _search(hashes: np.ndarray, offsets: np.ndarray, index: Index) -> list[tuple[int, int, int, int, float, int]]:
     """Text, item, first word, words, similarity and distance of the best window of each pair."""
     grams = {size: gram_hashes(hashes, size) for size in index.shingles}
@@ -122,12 +130,25 @@ def _search(hashes: np.ndarray, offsets: np.ndarray, index: Index) -> list[tuple
         at = np.minimum(np.searchsorted(known, grams[size]), len(known) - 1)
         hits[size] = np.flatnonzero(known[at] == grams[size])
     best: dict[tuple[int, int], tuple[float, int, int, int]] = {}
+    whole: dict[tuple[int, int], np.uint64] = {}
     for group in index.groups:
         own = grams[group.shingle]
         hit = hits[group.shingle]
         hit = hit[np.isin(own[hit], group.known)]
         if not len(hit):
             continue
+        for text in _short_texts(hit, offsets, group.length, group.shingle).tolist():
+            start, stop = int(offsets[text]), int(offsets[text + 1])
+            mine = own[start : stop - group.shingle + 1]
+            if (group.shingle, text) not in whole:
+                whole[group.shingle, text] = _fingerprint(_votes(mine, index.weight(mine)).sum(axis=0))
+            distance = np.bitwise_count(whole[group.shingle, text] ^ group.prints)
+            for i in np.flatnonzero(distance <= RADIUS).tolist():
+                similar = index.similarity(Counter(mine.tolist()), group.counts[i])
+                if similar >= SIMILARITY:
+                    found = (-similar, start, int(distance[i]), stop - start)
+                    key = (text, group.ids[i])
+                    best[key] = min(best.get(key, found), found)
         starts = _windows_with(hit, offsets[1:], group.length, group.shingle)
         inner = group.length - group.shingle + 1
         for first in range(0, len(starts), 2000):
@@ -188,7 +209,8 @@ def contaminated(
     """Rows key, doc_id, item_id, start_word, n_words, similarity, distance.
 
     One row for each document and item with a window of the document that is
-    similar to the item: the most similar window, the first of those. Words are cut
+    similar to the item: the most similar window, the first of those. A document of
+    fewer words than the item is compared as a whole. Words are cut
     at ASCII white space and A-Z made lower case. Items and texts that are NULL or
     without words match nothing; an item that is shorter than a shingle is one
     shingle. Rows that repeat an id: see `documents.keyed`, for both tables. The
