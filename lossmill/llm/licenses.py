@@ -8,11 +8,14 @@ of it; all others get a signature of `HASHES` smallest hashes, each a band of it
 own. Where four fifths of a template's shingles are in a window, the two sets agree
 in a third at least, and a band is shared with a probability of
 1 - (2/3) ** 40, which is above 0.9999999. Pairs that share a band are compared
-exactly: the part of the template's shingles that the window holds.
+exactly: the part of the template's shingles that the window holds. Templates of one
+family are told apart by shingles that must be there (version, GNU license, clause).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,31 +23,114 @@ SHINGLE = 5
 CONTAINED = 0.8
 HASHES = 40
 
+_GRANT = (
+    "you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by "
+    "the Free Software Foundation"
+)
+_LATER = "either version {} of the License, or (at your option) any later version."
+_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+    "PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+    "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY "
+    "OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_REDISTRIBUTION = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+    "that the following conditions are met"
+)
+_BSD_2 = (
+    f"{_REDISTRIBUTION}: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+    "notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+    "provided with the distribution. "
+)
+_BSD_3 = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission. "
+)
+
 # The wording of public license notices.
 TEMPLATES = {
+    "AGPL-3.0-header": f"This program is free software: {_GRANT.format('Affero ')}, {_LATER.format(3)}",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
         "compliance with the License. You may obtain a copy of the License at"
     ),
-    "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met"
-    ),
+    "BSD": _REDISTRIBUTION,
+    "BSD-2-Clause": _BSD_2 + _DISCLAIMER,
+    "BSD-3-Clause": _BSD_2 + _BSD_3 + _DISCLAIMER,
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "EPL-1.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "v1.0 which accompanies this distribution, and is available at"
+    ),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at"
+    ),
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0-header": f"This program is free software; {_GRANT.format('')}; {_LATER.format(2)}",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0-header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation"
+    "GPL-3.0-header": f"This program is free software: {_GRANT.format('')}, {_LATER.format(3)}",
+    "GPL-header": f"This program is free software: {_GRANT.format('')}",
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."
     ),
+    "LGPL-2.1-header": f"This library is free software; {_GRANT.format('Lesser ')}; {_LATER.format('2.1')}",
+    "LGPL-3.0-header": f"This library is free software: {_GRANT.format('Lesser ')}, {_LATER.format(3)}",
     "MIT": "Released under the MIT License.",
     "MIT-permission": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files, to deal in the Software without restriction"
     ),
+    "MIT-text": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+        "conditions: The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, "
+        "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+        "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, "
+        "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+        "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at"
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means."
+    ),
 }
 
+_GPL, _LGPL, _AGPL = "the gnu general public license", "gnu lesser general public license", "gnu affero general public license"
+#: Shingles without which a window is of another license or version of the family.
+REQUIRED = {
+    "AGPL-3.0-header": [_AGPL, "version 3 of the license"],
+    "BSD-3-Clause": ["neither the name of the"],
+    "EPL-1.0": ["the eclipse public license v1"],
+    "EPL-2.0": ["the eclipse public license 2"],
+    "GPL-2.0": ["general public license version 2"],
+    "GPL-2.0-header": [_GPL, "version 2 of the license"],
+    "GPL-3.0": ["general public license version 3"],
+    "GPL-3.0-header": [_GPL, "version 3 of the license"],
+    "GPL-header": [_GPL],
+    "LGPL-2.1-header": [_LGPL, "version 2 1 of the"],
+    "LGPL-3.0-header": [_LGPL, "version 3 of the license"],
+}
+#: Texts that another one holds but for a clause: at the place of that one they are not reported.
+WITHIN = {"BSD-2-Clause": "BSD-3-Clause"}
+
 
 def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda x: x != "")
@@ -108,7 +194,14 @@ def license_matches(docs: DataFrame, templates: dict[str, str] | None = None) ->
     # Without one of these words no shingle of a template is in the text.
     some = "|".join(_covering_words([x[3] for x in rows]))
     likely = columns.where(F.lower("text").rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{some})(?![\p{{L}}\p{{N}}])"))
-    sizes = F.array(*(F.struct(F.lit(n).alias("words"), F.lit(s).alias("step")) for n, s in sorted({x[1:3] for x in rows})))
+    # A window with four fifths of a template's shingles has that many hits at least.
+    least: dict[tuple[int, int], int] = {}
+    for _, n, s, parts in rows:
+        least[n, s] = min(least.get((n, s), len(parts)), math.ceil(CONTAINED * len(parts) - 1e-9))
+    every = F.array(
+        *(F.struct(F.lit(n).alias("words"), F.lit(s).alias("step"), F.lit(k).alias("least")) for (n, s), k in sorted(least.items()))
+    )
+    sizes = F.filter(every, lambda z: z["least"] <= F.size("hits"))
     wanted = sorted({s for r in rows for s in r[3]})
     # Each explode of a single array computes it once; a plain column would be computed again at every use.
     tokens = likely.select("doc_id", F.explode(F.array(_words(F.col("text")))).alias("tokens"))
@@ -128,14 +221,16 @@ def license_matches(docs: DataFrame, templates: dict[str, str] | None = None) ->
                                 F.greatest(F.lit(0), F.ceil((h + SHINGLE - z["words"] - z["step"]) / z["step"]).cast("int")),
                                 F.greatest(F.lit(0), F.floor(h / z["step"]).cast("int")),
                             ),
-                            lambda k: F.struct(z["words"].alias("words"), z["step"].alias("step"), (k * z["step"]).alias("first")),
+                            lambda k: F.struct(z["words"].alias("words"), z["step"].alias("step"), z["least"].alias("least"), (k * z["step"]).alias("first")),
                         ),
                     )
                 ),
             )
         )
     )
-    window = hits.select("doc_id", "shingles", F.explode(windows).alias("w")).select(
+    last = F.col("w.first") + F.col("w.words") + F.col("w.step") - SHINGLE
+    within = F.size(F.filter("hits", lambda h: (h >= F.col("w.first")) & (h <= last)))
+    window = hits.select("doc_id", "shingles", "hits", F.explode(windows).alias("w")).where(within >= F.col("w.least")).select(
         "doc_id",
         F.col("w.words").alias("words"),
         F.col("w.first").alias("first"),
@@ -146,8 +241,12 @@ def license_matches(docs: DataFrame, templates: dict[str, str] | None = None) ->
     template_bands = F.broadcast(known.select("license", "words", "parts", F.explode(_signature(F.col("parts"))).alias("band")))
     found = bands.join(template_bands, ["words", "band"])
     held = F.size(F.array_intersect("own", "parts")) / F.size("parts")
-    return (
-        found.select("doc_id", "license", "first", "words", held.alias("contained"))
+    needs = F.lit(True)
+    for name, needed in (REQUIRED if templates is None else {}).items():
+        needs &= (F.col("license") != name) | (F.size(F.array_intersect("own", F.array(*map(F.lit, needed)))) == len(needed))
+    best = (
+        found.where(needs)
+        .select("doc_id", "license", "first", "words", held.alias("contained"))
         .where(F.col("contained") >= CONTAINED)
         .groupBy("doc_id", "license")
         .agg(F.min(F.struct((-F.col("contained")).alias("less"), "first", "words")).alias("best"))
@@ -159,3 +258,12 @@ def license_matches(docs: DataFrame, templates: dict[str, str] | None = None) ->
             F.col("best.words").cast("long").alias("n_words"),
         )
     )
+    if templates is not None:
+        return best
+    # At most one row per template: a bounded list for each document.
+    rows_of = best.groupBy("doc_id").agg(F.collect_list(F.struct(*best.columns)).alias("all"))
+    inside = F.lit(False)
+    for name, other in WITHIN.items():
+        over = F.exists("all", lambda x: (x["license"] == other) & (x["first_word"] < F.col("r.first_word") + F.col("r.n_words")) & (F.col("r.first_word") < x["first_word"] + x["n_words"]))
+        inside |= (F.col("r.license") == name) & over
+    return rows_of.select("all", F.explode("all").alias("r")).where(~inside).select("r.*")
