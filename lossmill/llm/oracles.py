@@ -84,10 +84,47 @@ SELECT t.doc_id, CAST(length(t.h) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(s.rem
 FROM texts t LEFT JOIN summed s ON t.doc_id = s.doc_id LEFT JOIN joined j ON t.doc_id = j.doc_id
 """
 
+_ROUND = """
+), near{r} AS MATERIALIZED (
+    SELECT p.row, p.v, min([list_sum(list_transform(list_zip(p.v, c.v), lambda x: (x[1] - x[2]) * (x[1] - x[2]))), c.cluster]) AS top
+    FROM points p CROSS JOIN centres{r} c GROUP BY p.row, p.v
+)"""
+
+_MEANS = """, means{r} AS (
+    SELECT cluster, d, sum(x) AS s, count(*) AS n
+    FROM (SELECT top[2] AS cluster, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM near{r}) GROUP BY cluster, d
+), fresh{r} AS (
+    SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY d) AS v FROM means{r} GROUP BY cluster
+), centres{next} AS MATERIALIZED (
+    SELECT c.cluster, coalesce(f.v, c.v) AS v FROM centres{r} c LEFT JOIN fresh{r} f ON c.cluster = f.cluster
+"""
+
+CENTROID_CLUSTERS = (
+    """
+WITH points AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id,
+           list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), centres0 AS MATERIALIZED (
+    SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS BIGINT) AS cluster, v FROM points
+    QUALIFY cluster < 16
+"""
+    + "".join(_ROUND.format(r=r) + _MEANS.format(r=r, next=r + 1) for r in range(3))
+    + _ROUND.format(r=3)
+    + """
+SELECT p.vec_id, CAST(n.top[2] AS INTEGER) AS cluster, CAST(n.top[1] AS BIGINT) AS distance,
+       CAST(sum(n.top[1]) OVER (PARTITION BY n.top[2]) AS BIGINT) AS cluster_inertia,
+       CAST(sum(n.top[1]) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM near3 n JOIN points p ON n.row = p.row JOIN centres3 c ON n.top[2] = c.cluster
+"""
+)
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_dedup": NEAR_DUPLICATES,
         "op2_substring_dedup": REPEATED_WORDS,
         "op4_suffix_dedup": REPEATED_BYTES,
+        "op13_centroid_clusters": CENTROID_CLUSTERS,
     }

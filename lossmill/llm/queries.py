@@ -15,6 +15,7 @@ from .minhash_dedup import near_duplicates
 from .packing import pack_documents
 from .ppm import language_scores
 from .quality import THRESHOLD, scored, train
+from .scalar_clusters import centroid_clusters
 from .shipping import ship
 from .substring_dedup import remove_repeated_words
 from .suffix_dedup import remove_repeated_bytes
@@ -99,6 +100,13 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return license_matches(read_documents(spark, folder))
 
 
+def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    found = centroid_clusters(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    text = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return found.withColumn("centroid_sha256", F.sha2(text, 256)).drop("centroid")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_minhash_dedup,
@@ -111,5 +119,6 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality,
         op9_token_files,
         op10_licenses,
+        op13_centroid_clusters,
     )
     return {f.__name__: f for f in found}
