@@ -13,6 +13,7 @@ from .documents import read_documents
 from .licenses import license_matches
 from .minhash_dedup import near_duplicates
 from .packing import pack_documents
+from .periodic_runs import periodic_runs
 from .ppm import language_scores
 from .quality import THRESHOLD, scored, train
 from .scalar_clusters import centroid_clusters
@@ -100,6 +101,51 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return license_matches(read_documents(spark, folder))
 
 
+def with_cycles(docs: DataFrame) -> DataFrame:
+    """The texts with the tails of some repeated in cycles, as the contract of the query wants them.
+
+    A tenth of the documents, chosen by the CRC-32 of the id, repeat a piece of
+    their words from some word on; other texts, and those without an id, stay.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    chosen = F.coalesce(h % 10 == 0, F.lit(False))
+    parts = docs.select("doc_id", "text", h.alias("h"), F.when(chosen, words).alias("words"))
+    parts = parts.withColumn("n", F.size("words")).withColumn("g", F.floor(F.col("h") / 10))
+    filled = F.col("words").isNotNull() & (F.col("n") > 0)
+    start = F.when(filled, (F.col("g") % F.col("n")).cast("int")).alias("a")
+    parts = parts.select("doc_id", "text", "words", "n", "g", start)
+    period = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int").alias("p")
+    parts = parts.select("doc_id", "text", "words", "n", "a", period)
+    turns = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    cycle = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), turns))
+    made = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(cycle, F.lit(1), F.col("n") - F.col("a")))
+    return parts.select("doc_id", F.coalesce(F.when(F.col("a").isNotNull(), F.array_join(made, " ")), "text").alias("text"))
+
+
+def period_digests(found: DataFrame) -> DataFrame:
+    """Number of runs, the one with the largest exact exponent, and digests of all runs and of what is left."""
+    none = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    larger = lambda best, r: F.when(best.isNull() | (r.length * best.period > best.length * r.period), r).otherwise(best)
+    line = lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))
+    found = found.withColumn("best", F.aggregate("runs", none, larger))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    return period_digests(periodic_runs(with_cycles(read_documents(spark, folder))))
+
+
 def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
     ship(spark)
     found = centroid_clusters(spark.read.parquet(f"{folder}/embeddings.parquet"))
@@ -119,6 +165,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality,
         op9_token_files,
         op10_licenses,
+        op12_periodic_runs,
         op13_centroid_clusters,
     )
     return {f.__name__: f for f in found}
