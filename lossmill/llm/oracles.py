@@ -31,6 +31,9 @@ FROM sets s JOIN reach r ON r.a = s.doc_id
 GROUP BY s.doc_id, s.shingles
 """
 
+#: The same links at another threshold.
+SET_JOIN = NEAR_DUPLICATES.replace("85 *", "90 *").replace(", s.doc_id = min(r.b) AS kept", "")
+
 REPEATED_WORDS = f"""
 WITH texts AS (
     SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents
@@ -126,5 +129,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_minhash_dedup": NEAR_DUPLICATES,
         "op2_substring_dedup": REPEATED_WORDS,
         "op4_suffix_dedup": REPEATED_BYTES,
+        "op11_set_join": SET_JOIN,
         "op13_centroid_clusters": CENTROID_CLUSTERS,
     }

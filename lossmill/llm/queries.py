@@ -17,6 +17,7 @@ from .periodic_runs import periodic_runs
 from .ppm import language_scores
 from .quality import THRESHOLD, scored, train
 from .scalar_clusters import centroid_clusters
+from .set_join import similar_sets
 from .shipping import ship
 from .substring_dedup import remove_repeated_words
 from .suffix_dedup import remove_repeated_bytes
@@ -101,6 +102,11 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return license_matches(read_documents(spark, folder))
 
 
+def op11_set_join(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    return similar_sets(read_documents(spark, folder), length=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
 def with_cycles(docs: DataFrame) -> DataFrame:
     """The texts with the tails of some repeated in cycles, as the contract of the query wants them.
 
@@ -165,6 +171,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality,
         op9_token_files,
         op10_licenses,
+        op11_set_join,
         op12_periodic_runs,
         op13_centroid_clusters,
     )
