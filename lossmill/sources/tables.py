@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -18,6 +19,11 @@ def write_table(
 ) -> DataFrame:
     """Create or replace a Parquet table and return it.
 
+    The rows are written to a table of their own first. Only when all of them are
+    there does the name pass to it, so a write that fails leaves the table as it was,
+    and the frame may read from the table that it replaces. Below ``path`` every
+    version has its own folder; the one that is replaced is deleted.
+
     With ``bucket_by`` the rows are laid out by the hash of that key, one file per
     bucket: later joins and groupings on the key then need no shuffle. All tables
     joined on a key must use one bucket count. ``aligned`` says that the frame comes
@@ -29,16 +35,60 @@ def write_table(
         buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         if not aligned:
             frame = frame.repartition(buckets, bucket_by)
-    writer = frame.write.mode("overwrite").format("parquet")
+    writer = frame.write.mode("errorifexists").format("parquet")
     if bucket_by is not None:
         writer = writer.bucketBy(buckets, bucket_by)
+    version = uuid.uuid4().hex
+    staged, folder = f"{name}_{version}", None
     if path is not None:
-        writer = writer.option("path", path)
-    with _whole_buckets(spark, aligned):
-        writer.saveAsTable(name)
+        folder = f"{path.rstrip('/')}/{version}"
+        writer = writer.option("path", folder)
+    try:
+        with _whole_buckets(spark, aligned):
+            writer.saveAsTable(staged)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        if folder is not None:
+            _delete(spark, folder)
+        raise
+    _pass_name(spark, staged, name, folder)
     return spark.table(name)
 
 
+def _pass_name(spark: SparkSession, staged: str, name: str, folder: str | None) -> None:
+    """Let `name` stand for the staged table."""
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+        return
+    old, new = _layout(spark, name), _layout(spark, staged)
+    if folder is not None and old[:-1] == new[:-1]:
+        # One entry of the catalog changes; there is no moment without the table.
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.sql(f"DROP TABLE {staged}")
+        spark.catalog.refreshTable(name)
+        _delete(spark, old[-1])
+        return
+    # Another schema or layout, or a table without a path: the old one stays under another name until the new one has its place.
+    before = f"{name}_{uuid.uuid4().hex}"
+    spark.sql(f"ALTER TABLE {name} RENAME TO {before}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    spark.sql(f"DROP TABLE {before}")
+    if old[1] == "EXTERNAL":
+        _delete(spark, old[-1])
+
+
+def _layout(spark: SparkSession, name: str) -> tuple:
+    """Schema, kind, buckets and location of a table."""
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    schema = spark.table(name).schema.simpleString()
+    return (schema, *(told.get(k) for k in ("Type", "Num Buckets", "Bucket Columns", "Location")))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def _whole_buckets(spark: SparkSession, wanted: bool) -> Iterator[None]:
     """Read bucketed tables one bucket per task for as long as this lasts."""

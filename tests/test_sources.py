@@ -3,6 +3,7 @@ import pyarrow.parquet as pq
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lossmill.session import scratch_path
@@ -153,6 +154,32 @@ def test_bucketed_tables_are_replaced_and_join_without_a_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def parts_of(spark, name):
+    return sorted(r[0] for r in spark.table(name).collect())
+
+
+@pytest.mark.parametrize("placed", [True, False])
+def test_a_failed_write_leaves_the_table_as_it_was(spark, placed):
+    path = scratch_path(spark, "failing") if placed else None
+    name = f"t_failing_{int(placed)}"
+    tables.write_table(spark.range(5).withColumnRenamed("id", "k"), name, path, bucket_by="k", buckets=2)
+    broken = spark.range(20).select(F.when(F.col("id") == 13, F.raise_error(F.lit("half way"))).otherwise(F.col("id")).cast("long").alias("k"))
+    with pytest.raises(Exception, match="half way"):
+        tables.write_table(broken, name, path, bucket_by="k", buckets=2)
+    assert parts_of(spark, name) == [0, 1, 2, 3, 4]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+    # The new rows may come from the old ones; columns may change.
+    tables.write_table(spark.table(name).select((F.col("k") + 1).alias("k")), name, path, bucket_by="k", buckets=2)
+    assert parts_of(spark, name) == [1, 2, 3, 4, 5]
+    tables.write_table(spark.table(name).select(F.col("k").cast("string").alias("s")), name, path)
+    assert parts_of(spark, name) == ["1", "2", "3", "4", "5"]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+    if placed:
+        from pathlib import Path
+
+        assert len([p for p in Path(path).iterdir() if p.is_dir()]) == 1
+
+
 def test_view_is_replaced(spark):
     tables.register_view(spark.range(3), "v_test")
     assert tables.register_view(spark.range(4), "v_test").count() == 4
