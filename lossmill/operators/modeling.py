@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.losses import average_severity, log_exposure, poisson_deviance
 from ..params import RATING_FACTORS, RETENTION_QUANTILE, SEVERITY_CAP_QUANTILE
-from .quantile import exact_quantile
+from .quantile import exact_quantile, exact_quantiles
 
 MODELING_COLUMNS = (
     "IDpol", "Exposure", "Area", "VehPower", "VehAge", "DrivAge", "BonusMalus", "Region",
@@ -69,6 +69,16 @@ def retention(modeling: DataFrame, share: float = RETENTION_QUANTILE) -> float |
     return exact_quantile(severity_dataset(modeling), "Avg_Severity", share)
 
 
+def thresholds(
+    modeling: DataFrame, cap: float = SEVERITY_CAP_QUANTILE, retained: float = RETENTION_QUANTILE
+) -> tuple[float | None, float | None]:
+    """Severity cap and retention together, in the same passes."""
+    claims = F.when(F.col("ReportedClaimCount") > 0, _severity())
+    positive = F.when(F.col("UltimateLosses") > 0, claims)
+    found = exact_quantiles(modeling, [(claims, cap), (positive, retained)])
+    return found[0], found[1]
+
+
 def with_large_loss_flag(modeling: DataFrame, threshold: float | None) -> DataFrame:
     """1 where a policy with claims has a severity above the retention, else 0."""
     above = (F.col("ReportedClaimCount") > 0) & (_severity() > F.lit(threshold).cast("double"))
