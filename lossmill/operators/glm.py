@@ -10,7 +10,9 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.feature import RFormula
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     GeneralizedLinearRegression,
     GeneralizedLinearRegressionModel,
@@ -35,33 +37,54 @@ COEFFICIENT_SCHEMA = (
 
 @dataclass
 class FittedGlm:
-    """Model, its design frame of grouped policies, and the dispersion of the policies."""
+    """Model, its design frame of grouped policies, their weights in the information, and the dispersion of the policies."""
 
     model: GeneralizedLinearRegressionModel
     design: DataFrame
+    weight: str
     dispersion: float
 
     def fitted(self) -> DataFrame:
         """Grouped policies with the fitted mean ``Fitted``."""
         return self.model.transform(self.design).drop("features")
 
+    def information(self) -> np.ndarray:
+        """The matrix X'WX at the estimates, the intercept last: one aggregation of one row.
+
+        With a log link W is the fitted count of a group for the Poisson family, and
+        the number of its policies for the Gamma family.
+        """
+        size = len(self.model.coefficients) + 1
+        x = F.concat(vector_to_array("features"), F.array(F.lit(1.0)))
+        rows = self.model.transform(self.design).select(x.alias("x"), F.col(self.weight).alias("w"))
+        pairs = [(i, j) for i in range(size) for j in range(i, size)]
+        sums = rows.agg(*[F.sum(F.col("w") * F.col("x")[i] * F.col("x")[j]) for i, j in pairs]).first()
+        matrix = np.zeros((size, size))
+        for (i, j), value in zip(pairs, sums):
+            matrix[i, j] = matrix[j, i] = value or 0.0
+        return matrix
+
+    def standard_errors(self) -> list[float | None]:
+        """Roots of the diagonal of the dispersion times the inverted information; None for terms that cannot be told apart."""
+        matrix = self.information()
+        scale = np.sqrt(np.maximum(np.diag(matrix), np.finfo(float).tiny))
+        scaled = matrix / np.outer(scale, scale)
+        if np.linalg.matrix_rank(scaled, hermitian=True) < len(scaled):
+            return [None] * len(scaled)
+        return np.sqrt(self.dispersion * np.diag(np.linalg.inv(scaled)) / scale**2).tolist()
+
     def coefficients(self) -> DataFrame:
         """Estimate, standard error, z, p-value and 95 % interval per term.
 
         Intervals and p-values are normal-based. The design has a handful of
         terms, so the table is built on the driver.
         """
-        summary = self.model.summary
-        # The fit's own errors use the dispersion between groups only.
-        widen = math.sqrt(self.dispersion / summary.dispersion) if summary.dispersion else 1.0
         terms = [*_term_names(self.design), "Intercept"]
         estimates = [*self.model.coefficients, self.model.intercept]
         rows = []
-        for term, estimate, error in zip(
-            terms, estimates, summary.coefficientStandardErrors, strict=True
-        ):
-            estimate, error = float(estimate), float(error) * widen
-            if not error > 0:
+        for term, estimate, error in zip(terms, estimates, self.standard_errors(), strict=True):
+            estimate = float(estimate)
+            if error is None or not error > 0:
                 rows.append((term, estimate, None, None, None, None, None))
                 continue
             z = estimate / error
@@ -86,7 +109,7 @@ def fit_frequency_glm(modeling: DataFrame) -> FittedGlm:
     )
     design = _design(groups)
     model = _learner("poisson").setOffsetCol("Offset").fit(design)
-    return FittedGlm(model, design, 1.0)
+    return FittedGlm(model, design, "Fitted", 1.0)
 
 
 def fit_severity_glm(modeling: DataFrame) -> FittedGlm:
@@ -112,7 +135,7 @@ def fit_severity_glm(modeling: DataFrame) -> FittedGlm:
     )
     freedom = totals["n"] - (len(model.coefficients) + 1)
     # As many terms as policies leave nothing to estimate the spread from.
-    return FittedGlm(model, design, totals["chi2"] / freedom if freedom > 0 else 0.0)
+    return FittedGlm(model, design, "Policies", totals["chi2"] / freedom if freedom > 0 else 0.0)
 
 
 def _design(groups: DataFrame) -> DataFrame:

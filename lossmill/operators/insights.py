@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import partial, reduce
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
@@ -23,9 +24,13 @@ INSIGHT_COLUMNS = (
 )
 
 
+#: The three models, and what their margins are called.
+MODELS = ("frequency", "severity", "trigger")
+
+
 @dataclass
 class RatingCells:
-    """Policies with factor codes and target flags, and their sums per rating cell."""
+    """Policies with their large-loss flag, and the sums per rating cell."""
 
     policies: DataFrame
     cells: DataFrame
@@ -36,16 +41,16 @@ def rating_cells(modeling: DataFrame) -> RatingCells:
     """Prepare the three models in one go.
 
     Both frames are written to the shared folder: the policies are read for the
-    retention, the cells and the final scores, the cells in every round. The
+    retention, the cells and the final scores, the cells in every training job. The
     grouping sums before its shuffle, so a cell that holds a large part of the
     portfolio costs one row per task.
     """
     modeling = cut_lineage(modeling)
     threshold = retention(modeling)
-    coded = bt.FactorCoder.fit(modeling).transform(with_large_loss_flag(modeling, threshold))
+    flagged = with_large_loss_flag(modeling, threshold)
     severity_known = (F.col("ReportedClaimCount") > 0) & (F.col("UltimateLosses") > 0)
     severity = F.col("UltimateLosses") / F.nullif(F.col("ReportedClaimCount"), F.lit(0))
-    cells = coded.groupBy(*bt.CODES).agg(
+    cells = flagged.groupBy(*bt.filled_factors()).agg(
         F.sum("Exposure").alias("exposure"),
         F.sum("ReportedClaimCount").cast("double").alias("claims"),
         F.count_if(severity_known).cast("double").alias("severities"),
@@ -53,28 +58,22 @@ def rating_cells(modeling: DataFrame) -> RatingCells:
         F.count("*").cast("double").alias("policies"),
         F.sum("Is_Large_Loss").cast("double").alias("large"),
     )
-    return RatingCells(coded, cut_lineage(cells, spread=True), threshold)
+    return RatingCells(flagged, cut_lineage(cells), threshold)
 
 
-def fit_frequency(
-    cells: DataFrame, params: bt.Boosting = bt.FREQUENCY
-) -> tuple[DataFrame, bt.BoostedTrees]:
+def fit_frequency(cells: DataFrame, params: bt.Boosting = bt.FREQUENCY, **state) -> bt.BoostedTrees:
     """Claim count with the log-exposure offset."""
-    return bt.boost(cells, bt.poisson(), params, "claims", "exposure", "frequency_margin")
+    return bt.boost(cells, bt.poisson(), params, "claims", "exposure", **state)
 
 
-def fit_severity(
-    cells: DataFrame, params: bt.Boosting = bt.SEVERITY
-) -> tuple[DataFrame, bt.BoostedTrees]:
-    """Loss per claim, fitted where it is known and scored everywhere."""
+def fit_severity(cells: DataFrame, params: bt.Boosting = bt.SEVERITY, **state) -> bt.BoostedTrees:
+    """Loss per claim, fitted where it is known."""
     totals = cells.agg(F.sum("severity").alias("s"), F.sum("severities").alias("n")).first()
     base = math.log(totals["s"] / totals["n"]) if totals["n"] else 0.0
-    return bt.boost(cells, bt.gamma(base), params, "severity", "severities", "severity_margin")
+    return bt.boost(cells, bt.gamma(base), params, "severity", "severities", **state)
 
 
-def fit_trigger(
-    cells: DataFrame, params: bt.Boosting = bt.TRIGGER
-) -> tuple[DataFrame, bt.BoostedTrees]:
+def fit_trigger(cells: DataFrame, params: bt.Boosting = bt.TRIGGER, **state) -> bt.BoostedTrees:
     """Chance of a large loss; positives weigh as much in total as negatives."""
     totals = cells.agg(F.sum("policies").alias("n"), F.sum("large").alias("p")).first()
     weight = (totals["n"] - totals["p"]) / totals["p"] if totals["p"] else 1.0
@@ -88,9 +87,7 @@ def fit_trigger(
     # Balanced weights put the starting chance at one half.
     share = sums["p"] / sums["n"] if sums["n"] else 0.5
     base = math.log(share / (1.0 - share)) if 0.0 < share < 1.0 else 0.0
-    return bt.boost(
-        weighted, bt.logistic(base), params, "large_weight", "total_weight", "trigger_margin"
-    )
+    return bt.boost(weighted, bt.logistic(base), params, "large_weight", "total_weight", **state)
 
 
 def train_models(
@@ -98,26 +95,23 @@ def train_models(
     frequency: bt.Boosting = bt.FREQUENCY,
     severity: bt.Boosting = bt.SEVERITY,
     trigger: bt.Boosting = bt.TRIGGER,
-) -> DataFrame:
-    """Fit the three models side by side; returns the cells with all three margins.
+    saved: dict[str, bt.BoostedTrees] | None = None,
+    save: Callable[[str, DataFrame], object] = lambda name, rows: None,
+) -> dict[str, bt.BoostedTrees]:
+    """Fit the three models side by side.
 
     The models do not depend on each other, so the jobs of one fill the cluster
-    while another one waits for its last tasks.
+    while another one waits for its last tasks. `saved` holds models of earlier
+    rounds; every job's rows go to `save` with the model's name.
     """
-    fits = [
-        partial(fit_frequency, cells, frequency),
-        partial(fit_severity, cells, severity),
-        partial(fit_trigger, cells, trigger),
-    ]
-    bound = map(inheritable_thread_target(cells.sparkSession), fits)
-    with ThreadPoolExecutor(len(fits)) as pool:
-        scored = [frame for frame, _ in pool.map(lambda fit: fit(), bound)]
-    margins = [
-        frame.select(*bt.CODES, *[c for c in frame.columns if c.endswith("_margin")])
-        for frame in scored
+    fits = {"frequency": (fit_frequency, frequency), "severity": (fit_severity, severity), "trigger": (fit_trigger, trigger)}
+    calls = [
+        partial(fit, cells, params, saved=(saved or {}).get(name), save=partial(save, name))
+        for name, (fit, params) in fits.items()
     ]
-    joined = reduce(lambda left, right: left.join(right, list(bt.CODES)), margins)
-    return cut_lineage(joined)
+    bound = map(inheritable_thread_target(cells.sparkSession), calls)
+    with ThreadPoolExecutor(len(calls)) as pool:
+        return dict(zip(fits, pool.map(lambda fit: fit(), bound)))
 
 
 def frequency_count() -> Column:
@@ -133,15 +127,9 @@ def trigger_probability() -> Column:
     return bt.probability(F.col("trigger_margin"))
 
 
-def score_policies(policies: DataFrame, cells: DataFrame) -> DataFrame:
-    """Give each policy the margins of its rating cell.
-
-    All trees have already run on the cells, so this is one equi-join on the
-    factor codes. The cells are broadcast while the optimizer finds them small
-    enough; otherwise a crowded cell is split at run time as a skewed partition.
-    """
-    margins = [name for name in cells.columns if name.endswith("_margin")]
-    return policies.join(cells.select(*bt.CODES, *margins), list(bt.CODES))
+def score_policies(policies: DataFrame, models: dict[str, bt.BoostedTrees]) -> DataFrame:
+    """Margins of any policies with rating factors, trained on or not; nothing is shuffled."""
+    return bt.margins(policies, {f"{name}_margin": models[name] for name in MODELS})
 
 
 def with_predictions(scored: DataFrame) -> DataFrame:
@@ -179,8 +167,12 @@ def underwriting_insights(
     Training and scoring use the same policies; there is no holdout.
     """
     prepared = rating_cells(modeling)
-    cells = train_models(prepared.cells, frequency, severity, trigger)
-    scored = with_predictions(score_policies(prepared.policies, cells))
+    return insights_of(prepared.policies, train_models(prepared.cells, frequency, severity, trigger))
+
+
+def insights_of(policies: DataFrame, models: dict[str, bt.BoostedTrees]) -> DataFrame:
+    """Insight rows of policies with exposure, premium and large-loss flag."""
+    scored = with_predictions(score_policies(policies, models))
     return pure_premium(scored).select(*INSIGHT_COLUMNS)
 
 

@@ -1,14 +1,16 @@
 """Regression trees grown level by level on histograms of gradient and curvature.
 
-A factor's values are numbered once: a category by its code, a number by the cuts
-between its different values. Each level of a tree is one aggregation of the sums
-per node, factor and number, whose size depends on the tree and the factors only;
-the splits are chosen from it on the driver. Sums of the leaves are those of the
-last splits, so no pass over the rows is needed for them.
+A factor's values are numbered once: a category by its place among the names, a
+number by the cuts between its different values. A level of a tree needs the sums
+per node, factor and number of the smaller child of each split; those of its sibling
+are what is left of the parent's. Where the sums come from is up to the caller: the
+tasks of a training job add up their own and exchange them, or Spark aggregates a
+frame.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,159 +20,224 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Grid:
-    """Numbers of the values of each factor: categories as they are, else by cuts."""
+    """How values become numbers: the names of a category, the cuts of a number, the other one None."""
 
+    columns: tuple[str, ...]
+    labels: tuple[tuple[str, ...] | None, ...]
     cuts: tuple[tuple[float, ...] | None, ...]
-    sizes: tuple[int, ...]
 
     @classmethod
-    def fit(cls, rows: DataFrame, columns: tuple[str, ...], categories: dict[str, int], most: int) -> Grid:
-        """Cut between all values of a number; between approximate percentiles of all rows where it has more than `most`."""
+    def fit(cls, rows: DataFrame, columns: tuple[str, ...], categories: tuple[str, ...], most: int | None) -> Grid:
+        """Cut between all values of a number.
+
+        Where it has more than `most` values, cut between approximate percentiles of
+        all rows; `most=None` cuts between all of them, however many there are.
+        """
+        labels: list[tuple[str, ...] | None] = []
         cuts: list[tuple[float, ...] | None] = []
         for name in columns:
+            different = rows.select(name).distinct().orderBy(name)
             if name in categories:
+                labels.append(tuple(r[0] for r in different.collect()))
                 cuts.append(None)
                 continue
-            values = [r[0] for r in rows.select(name).distinct().orderBy(name).limit(most + 1).collect()]
-            if len(values) <= most:
+            values = [r[0] for r in (different if most is None else different.limit(most + 1)).collect()]
+            labels.append(None)
+            if most is None or len(values) <= most:
                 cuts.append(tuple((a + b) / 2 for a, b in zip(values, values[1:])))
                 continue
             shares = [i / most for i in range(1, most)]
             found = rows.agg(F.percentile_approx(name, shares, 100 * most)).first()[0]
             cuts.append(tuple(sorted(set(found))))
-        sizes = [categories[n] if c is None else len(c) + 1 for n, c in zip(columns, cuts)]
-        return cls(tuple(cuts), tuple(sizes))
+        return cls(tuple(columns), tuple(labels), tuple(cuts))
+
+    @property
+    def sizes(self) -> tuple[int, ...]:
+        """Numbers of each factor; an unknown category has one of its own."""
+        return tuple(len(a if a is not None else b) + 1 for a, b in zip(self.labels, self.cuts))
 
     @property
-    def width(self) -> int:
-        return max(self.sizes)
+    def starts(self) -> np.ndarray:
+        """Where a factor's numbers begin in a histogram of all factors."""
+        return np.cumsum([0, *self.sizes])
 
-    def column(self, columns: tuple[str, ...]) -> Column:
+    def numbers(self, values: list[np.ndarray]) -> np.ndarray:
+        """Numbers of the rows' values, one row per factor; categories come as their places."""
+        found = [x.astype(np.int64) if cuts is None else np.searchsorted(np.array(cuts), x) for x, cuts in zip(values, self.cuts)]
+        return np.array(found, dtype=np.int64)
+
+    def column(self) -> Column:
         """Array of the numbers of a row's factors."""
         found = []
-        for name, cuts in zip(columns, self.cuts):
+        for name, labels, cuts in zip(self.columns, self.labels, self.cuts):
             if cuts is None:
-                found.append(F.col(name).cast("int"))
+                place = F.array_position(F.array(*map(F.lit, labels)), F.col(name))
+                found.append(F.when(place > 0, place - 1).otherwise(len(labels)).cast("int"))
             else:
-                below = F.expr(f"filter(constant, c -> c < {name})".replace("constant", _constant(np.array(cuts, dtype=float))))
-                found.append(F.size(below))
+                found.append(_below(F.col(name), cuts))
         return F.array(*found)
 
-    def numbers(self, codes: list[np.ndarray]) -> np.ndarray:
-        """The same for arrays of codes, one row per factor; an unknown category becomes a number beyond all."""
-        rows = []
-        for code, cuts, size in zip(codes, self.cuts, self.sizes):
-            rows.append(np.minimum(code.astype(np.int64), size) if cuts is None else np.searchsorted(np.array(cuts), code))
-        return np.array(rows)
-
 
-@dataclass(frozen=True)
-class Level:
-    """For each node the factor it asks for, and which numbers of it go left; a closed node sends all left."""
+@dataclass
+class Tree:
+    """Nodes in heap order from 1: the factor asked (-1: none), the numbers that go left, the sums of its rows."""
 
     factor: np.ndarray
-    left: np.ndarray
+    goes: np.ndarray
+    sums: np.ndarray
 
-
-@dataclass(frozen=True)
-class Tree:
-    levels: tuple[Level, ...]
-    steps: np.ndarray
+    @classmethod
+    def of_depth(cls, depth: int, width: int) -> Tree:
+        heap = 2 << depth
+        return cls(np.full(heap, -1), np.zeros((heap, width), dtype=bool), np.zeros((3, heap)))
+
+    def descend(self, node: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """The nodes of rows after one more question."""
+        asked = self.factor[node]
+        row = np.flatnonzero(asked >= 0)
+        node = node.copy()
+        goes = self.goes[node[row], numbers[asked[row], row]]
+        node[row] = 2 * node[row] + 1 - goes
+        return node
 
     def leaves(self, numbers: np.ndarray) -> np.ndarray:
-        node, row = np.zeros(numbers.shape[1], dtype=np.int64), np.arange(numbers.shape[1])
-        for level in self.levels:
-            known = level.left.shape[1] - 1
-            goes = level.left[node, np.minimum(numbers[level.factor[node], row], known)]
-            node = 2 * node + 1 - goes
+        node = np.ones(numbers.shape[1], dtype=np.int64)
+        for _ in range(len(self.factor).bit_length() - 2):
+            node = self.descend(node, numbers)
         return node
 
 
-def _constant(values: np.ndarray) -> str:
-    """SQL of a constant array. Plans with other values in it share their compiled code."""
+#: Sums of gradient, curvature and rows of the given nodes, for every factor and number.
+Sums = Callable[[Tree, list[int]], np.ndarray]
+
+
+def _table(values: np.ndarray) -> Column:
+    """Constant array. Plans with other values in it share their compiled code."""
     kind = "double" if values.dtype.kind == "f" else "int"
     if not len(values):
-        return f"cast(array() as array<{kind}>)"
-    return "cast(split('" + ",".join(map(repr, values.tolist())) + f"', ',') as array<{kind}>)"
+        return F.expr(f"cast(array() as array<{kind}>)")
+    return F.expr("cast(split('" + ",".join(map(repr, values.tolist())) + f"', ',') as array<{kind}>)")
 
 
-def table(values: np.ndarray) -> Column:
-    return F.expr(_constant(values))
+def _below(value: Column, cuts: tuple[float, ...]) -> Column:
+    """How many cuts lie below a value."""
+    return F.size(F.filter(_table(np.array(cuts, dtype=float)), lambda cut: cut < value))
 
 
-def descend(rows: DataFrame, levels: list[Level]) -> DataFrame:
-    """Add the node of each row below the given levels."""
-    rows = rows.withColumn("_node", F.lit(0))
-    for level in levels:
-        width = level.left.shape[1]
-        asked = F.get("_bins", F.get(table(level.factor), F.col("_node")))
-        goes = F.get(table(level.left.astype(np.int64).reshape(-1)), F.col("_node") * width + asked)
-        rows = rows.withColumn("_goes", goes).withColumn("_node", F.col("_node") * 2 + 1 - F.col("_goes")).drop("_goes")
+def with_node(rows: DataFrame, tree: Tree, depth: int) -> DataFrame:
+    """Add the node of each row (column _bins) after `depth` questions."""
+    rows = rows.withColumn("_node", F.lit(1))
+    factor, goes = _table(tree.factor), _table(tree.goes.astype(np.int64).reshape(-1))
+    for _ in range(depth):
+        asked = F.get(factor, F.col("_node"))
+        number = F.col("_node") * tree.goes.shape[1] + F.get("_bins", asked)
+        rows = rows.withColumn("_node", F.when(asked >= 0, F.col("_node") * 2 + 1 - F.get(goes, number)).otherwise(F.col("_node")))
     return rows
 
 
-def _histogram(rows: DataFrame, levels: list[Level], factors: int, width: int) -> np.ndarray:
-    """Sums of gradient and curvature per node, factor and number."""
-    split = descend(rows, levels).select("_node", "_gradient", "_curvature", F.posexplode("_bins").alias("_factor", "_bin"))
-    found = split.groupBy("_node", "_factor", "_bin").agg(F.sum("_gradient").alias("g"), F.sum("_curvature").alias("h")).toArrow()
-    sums = np.zeros((2, 1 << len(levels), factors, width))
-    at = tuple(found[c].to_numpy() for c in ("_node", "_factor", "_bin"))
-    sums[(0, *at)], sums[(1, *at)] = found["g"].to_numpy(), found["h"].to_numpy()
+def frame_sums(rows: DataFrame, grid: Grid) -> Sums:
+    """Sums by one aggregation per level over a frame with _bins, _gradient and _curvature."""
+
+    def sums(tree: Tree, nodes: list[int]) -> np.ndarray:
+        depth = nodes[0].bit_length() - 1
+        own = with_node(rows, tree, depth).where(F.col("_node").isin(nodes))
+        split = own.select("_node", "_gradient", "_curvature", F.posexplode("_bins").alias("_factor", "_bin"))
+        found = split.groupBy("_node", "_factor", "_bin").agg(
+            F.sum("_gradient").alias("g"), F.sum("_curvature").alias("h"), F.count("*").cast("double").alias("n")
+        )
+        found = found.toArrow()
+        result = np.zeros((3, len(nodes), int(grid.starts[-1])))
+        node = np.searchsorted(nodes, found["_node"].to_numpy())
+        at = grid.starts[found["_factor"].to_numpy()] + found["_bin"].to_numpy()
+        for i, name in enumerate("ghn"):
+            result[i, node, at] = found[name].to_numpy()
+        return result
+
     return sums
 
 
-def _best_split(g: np.ndarray, h: np.ndarray, ordered: bool, penalty: float, least: float) -> tuple[float, np.ndarray]:
-    """Gain, and which numbers go left, of the best split of one factor; categories go by their ratio."""
-    used = np.flatnonzero(h > 0)
-    order = used if ordered else used[np.argsort(g[used] / h[used], kind="stable")]
-    left_g, left_h = np.cumsum(g[order])[:-1], np.cumsum(h[order])[:-1]
-    total_g, total_h = g[order].sum(), h[order].sum()
+class TaskSums:
+    """Sums of a task's own rows, added up over all tasks by `exchange`."""
+
+    def __init__(self, numbers: np.ndarray, grid: Grid, gradient: np.ndarray, curvature: np.ndarray, exchange: Callable):
+        self.numbers, self.grid, self.exchange = numbers, grid, exchange
+        self.gradient, self.curvature = gradient, curvature
+        self.node = np.ones(numbers.shape[1], dtype=np.int64)
+
+    def __call__(self, tree: Tree, nodes: list[int]) -> np.ndarray:
+        self.node = tree.descend(self.node, self.numbers)
+        starts = self.grid.starts
+        slot = np.full(len(tree.factor), -1)
+        slot[nodes] = np.arange(len(nodes))
+        own = slot[self.node]
+        row = np.flatnonzero((own >= 0) & (self.curvature > 0))
+        width = int(starts[-1])
+        result = np.zeros((3, len(nodes) * width))
+        for numbers, start in zip(self.numbers, starts):
+            at = own[row] * width + start + numbers[row]
+            for i, weights in enumerate((self.gradient[row], self.curvature[row], None)):
+                result[i] += np.bincount(at, weights, minlength=result.shape[1])
+        return self.exchange(result).reshape(3, len(nodes), width)
+
+
+def _best_splits(sums: np.ndarray, ordered: bool, penalty: float, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Gain of each node's best split by one factor, and which numbers go left; categories go by their ratio."""
+    g, h, n = sums
+    if not ordered:
+        ratio = np.divide(g, h, out=np.full(g.shape, np.inf), where=n > 0)
+        order = np.argsort(ratio, axis=1, kind="stable")
+        g, h, n = (np.take_along_axis(x, order, axis=1) for x in (g, h, n))
+    left_g, left_h, left_n = (np.cumsum(x, axis=1) for x in (g, h, n))
+    total_g, total_h, total_n = left_g[:, -1:], left_h[:, -1:], left_n[:, -1:]
     right_g, right_h = total_g - left_g, total_h - left_h
-    fits = (left_h >= least) & (right_h >= least)
-    goes = np.zeros(len(g), dtype=bool)
-    if not fits.any():
-        return 0.0, goes
+    fits = (left_h >= least) & (right_h >= least) & (left_n > 0) & (left_n < total_n)
+    right_h = np.where(fits, right_h, 1.0)
     gain = left_g**2 / (left_h + penalty) + right_g**2 / (right_h + penalty) - total_g**2 / (total_h + penalty)
     gain = np.where(fits, gain, -np.inf)
-    best = int(gain.argmax())
-    if ordered:
-        goes[: order[best] + 1] = True
-    else:
-        goes[order[: best + 1]] = True
-    return float(gain[best]), goes
+    best = gain.argmax(axis=1)
+    goes = np.arange(g.shape[1]) <= best[:, None]
+    if not ordered:
+        placed = np.zeros_like(goes)
+        np.put_along_axis(placed, order, goes & (n > 0), axis=1)
+        goes = placed
+    return gain[np.arange(len(best)), best], goes
 
 
-def grow(
-    rows: DataFrame, grid: Grid, depth: int, penalty: float, least: float, gain: float
-) -> tuple[list[Level], np.ndarray]:
-    """Levels of a tree, and gradient and curvature of its leaves.
+def grow(sums: Sums, grid: Grid, depth: int, penalty: float, least: float, gain: float) -> Tree:
+    """A tree with the sums of its nodes.
 
-    `rows` has columns _bins, _gradient and _curvature. A split must gain more than
-    `gain` and leave a curvature of `least` on both sides.
+    A split must gain more than `gain` and leave a curvature of `least` on both
+    sides. Of two equal gains the first factor and the lowest cut win.
     """
-    levels: list[Level] = []
-    factors, width = len(grid.sizes), grid.width
-    leaves = np.zeros((2, 1))
-    for _ in range(depth):
-        sums = _histogram(rows, levels, factors, width)
-        nodes = sums.shape[1]
-        asked, left = np.zeros(nodes, dtype=np.int64), np.ones((nodes, width), dtype=bool)
-        leaves = np.zeros((2, 2 * nodes))
-        leaves[:, ::2] = sums[:, :, 0].sum(axis=-1)
-        grew = False
-        for node in range(nodes):
-            found = [
-                _best_split(*sums[:, node, f, : grid.sizes[f]], grid.cuts[f] is not None, penalty, least) for f in range(factors)
-            ]
-            best = max(range(factors), key=lambda f: found[f][0])
-            if found[best][0] > gain:
-                grew = True
-                goes = np.zeros(width, dtype=bool)
-                goes[: grid.sizes[best]] = found[best][1]
-                asked[node], left[node] = best, goes
-                leaves[:, 2 * node] = sums[:, node, best, goes].sum(axis=-1)
-                leaves[:, 2 * node + 1] = sums[:, node, best, ~goes].sum(axis=-1)
-        if not grew:
-            return levels, leaves[:, ::2]
-        levels.append(Level(asked, left))
-    return levels, leaves
+    tree = Tree.of_depth(depth, max(grid.sizes))
+    starts, nodes = grid.starts, [1]
+    level = sums(tree, nodes)
+    tree.sums[:, 1] = level[:, 0, : starts[1]].sum(axis=1)
+    for left_over in reversed(range(depth)):
+        found = [
+            _best_splits(level[:, :, a:b], cuts is not None, penalty, least) for a, b, cuts in zip(starts, starts[1:], grid.cuts)
+        ]
+        gains = np.array([f[0] for f in found])
+        best = gains.argmax(axis=0)
+        split = [i for i in range(len(nodes)) if gains[best[i], i] > gain]
+        if not split:
+            break
+        for i in split:
+            factor, node = int(best[i]), nodes[i]
+            goes = found[factor][1][i]
+            part = level[:, i, starts[factor] : starts[factor + 1]]
+            tree.factor[node], tree.goes[node, : len(goes)] = factor, goes
+            tree.sums[:, 2 * node], tree.sums[:, 2 * node + 1] = part[:, goes].sum(axis=1), part[:, ~goes].sum(axis=1)
+        if not left_over:
+            break
+        parents = [nodes[i] for i in split]
+        small = [2 * p + int(tree.sums[2, 2 * p + 1] < tree.sums[2, 2 * p]) for p in parents]
+        counted = sums(tree, small)
+        rest = level[:, split] - counted
+        # What is left of a number without rows is rounding.
+        rest = np.where(np.rint(rest[2]) > 0, rest, 0.0)
+        nodes = sorted([*small, *(s ^ 1 for s in small)])
+        level = np.zeros((3, len(nodes), level.shape[2]))
+        for k, s in enumerate(small):
+            level[:, nodes.index(s)], level[:, nodes.index(s ^ 1)] = counted[:, k], rest[:, k]
+    return tree

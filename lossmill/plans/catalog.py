@@ -17,11 +17,12 @@ from pyspark.sql import types as T
 from ..functions.losses import average_severity
 from ..functions.rounding import ratio, settle
 from ..operators import audit, glm, insights, mart, modeling, portfolio, reserving, star
+from ..operators import boosting as bt
 from ..params import NUMERIC_FACTORS, Leakage
 from ..session import scratch_path
 from ..sources import orderbook, tables
 from ..sources.csv import read_csv_auto, read_csv_tolerant
-from .warehouse import Warehouse
+from .warehouse import INSIGHTS, Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,7 +39,6 @@ CSV_SCHEMA = T.StructType(
 
 _building = threading.RLock()
 _stored: dict[tuple[str, str], Warehouse] = {}
-_trained: dict[tuple[str, str], tuple[insights.RatingCells, DataFrame]] = {}
 
 
 # ---- shared frames -------------------------------------------------------
@@ -71,23 +71,13 @@ def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
         return _stored[key]
 
 
-def _models(spark: SparkSession, folder: str) -> tuple[insights.RatingCells, DataFrame]:
-    """The three boosted models, trained once per session and folder."""
-    key = (spark.sparkContext.applicationId, folder)
+def _trained_store(spark: SparkSession, folder: str) -> Warehouse:
+    """The stored tables with the trees of the three models and their scores, trained once per session and folder."""
+    store = _warehouse(spark, folder)
     with _building:
-        if key not in _trained:
-            prepared = insights.rating_cells(_warehouse(spark, folder).modeling())
-            _trained[key] = (prepared, insights.train_models(prepared.cells))
-        return _trained[key]
-
-
-def _scored(spark: SparkSession, folder: str) -> DataFrame:
-    return insights.score_policies(*_model_frames(spark, folder))
-
-
-def _model_frames(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    prepared, cells = _models(spark, folder)
-    return prepared.policies, cells
+        if not spark.catalog.tableExists(store.name(INSIGHTS)):
+            store.train_insights()
+    return store
 
 
 # ---- portfolio and sources -----------------------------------------------
@@ -294,27 +284,26 @@ def poisson_deviance(spark: SparkSession, folder: str) -> DataFrame:
     """Deviance of the claim counts against the mean frequency of their region."""
     frame = _modeling(spark, folder)
     count, exposure = F.col("ReportedClaimCount"), F.col("Exposure")
-    # With a region's frequency f the deviance is a sum over its policies that needs f only at the end.
-    regions = frame.groupBy("Region").agg(
-        F.sum(F.when(count > 0, count * F.log(count / exposure)).otherwise(0.0)).alias("s"),
-        F.sum(count).alias("y"),
-        F.sum(exposure).alias("e"),
-        F.count("*").alias("n"),
-    )
-    of_mean = F.when(F.col("y") > 0, F.col("y") * F.log(F.col("y") / F.col("e"))).otherwise(0.0)
-    result = regions.agg((F.sum(2.0 * (F.col("s") - of_mean)) / F.sum("n")).alias("deviance"))
-    return result.select(settle(F.col("deviance"), 8).alias("Mean_Poisson_Deviance"))
+    regions = frame.groupBy("Region").agg((F.sum(count) / F.sum(exposure)).alias("frequency"))
+    scored = frame.join(regions, "Region")
+    result = modeling.mean_poisson_deviance(scored, "ReportedClaimCount", exposure * F.col("frequency"))
+    return result.select(settle(F.col("Mean_Poisson_Deviance"), 8).alias("Mean_Poisson_Deviance"))
 
 
 # ---- models --------------------------------------------------------------
 
 
+def _settled_terms(table: DataFrame) -> DataFrame:
+    digits = {"Coefficient": 6, "Std_Error": 6, "Z_Value": 3, "P_Value": 6, "Lower_95": 5, "Upper_95": 5}
+    return table.select("Term", *[settle(F.col(c), d).alias(c) for c, d in digits.items()])
+
+
 def glm_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    return glm.fit_frequency_glm(_warehouse(spark, folder).modeling()).coefficients()
+    return _settled_terms(glm.fit_frequency_glm(_warehouse(spark, folder).modeling()).coefficients())
 
 
 def glm_severity(spark: SparkSession, folder: str) -> DataFrame:
-    return glm.fit_severity_glm(_warehouse(spark, folder).modeling()).coefficients()
+    return _settled_terms(glm.fit_severity_glm(_warehouse(spark, folder).modeling()).coefficients())
 
 
 def glm_frequency_balance(spark: SparkSession, folder: str) -> DataFrame:
@@ -341,32 +330,41 @@ def glm_severity_balance(spark: SparkSession, folder: str) -> DataFrame:
     return fitted.groupBy("Area").agg(settle(F.sum(relative), 2).alias("Policies"))
 
 
+def glm_severity_moments(spark: SparkSession, folder: str) -> DataFrame:
+    """Observed over fitted severity, weighted by each numeric factor: the sums of the factors."""
+    fitted = glm.fit_severity_glm(_warehouse(spark, folder).modeling()).fitted()
+    relative = F.col("Target") / F.col("Fitted") * F.col("Policies")
+    return fitted.agg(*[settle(F.sum(relative * F.col(name)), 0).alias(f"Sum_{name}") for name in NUMERIC_FACTORS])
+
+
 def boosted_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    return _scored(spark, folder).select(
-        "IDpol", insights.frequency_count().alias("Pred_Frequency_Count")
-    )
+    return ml_insights(spark, folder).select("IDpol", "Pred_Frequency_Count")
 
 
 def boosted_severity(spark: SparkSession, folder: str) -> DataFrame:
-    return _scored(spark, folder).select(
-        "IDpol", insights.severity_cost().alias("Pred_Severity_Cost")
-    )
+    return ml_insights(spark, folder).select("IDpol", "Pred_Severity_Cost")
 
 
 def xol_probability(spark: SparkSession, folder: str) -> DataFrame:
-    return _scored(spark, folder).select(
-        "IDpol",
-        insights.trigger_probability().alias("XoL_Trigger_Probability"),
-        F.col("Is_Large_Loss").cast("bigint").alias("Is_Large_Loss"),
-    )
+    return ml_insights(spark, folder).select("IDpol", "XoL_Trigger_Probability", "Is_Large_Loss")
 
 
 def ml_insights(spark: SparkSession, folder: str) -> DataFrame:
-    scored = insights.with_predictions(_scored(spark, folder))
-    frame = insights.pure_premium(scored).select(*insights.INSIGHT_COLUMNS)
+    """The stored insights table."""
+    frame = _trained_store(spark, folder).table(INSIGHTS)
     return frame.withColumn("Is_Large_Loss", F.col("Is_Large_Loss").cast("bigint"))
 
 
+def renewal_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Next year's portfolio scored from the stored trees: every car and driver a year older, every policy for a full year."""
+    renewed = _portfolio(spark, folder).select(
+        "IDpol", F.lit(1.0).alias("Exposure"), "Area", "Region", "VehPower", "BonusMalus",
+        (F.col("VehAge") + 1).alias("VehAge"), (F.col("DrivAge") + 1).alias("DrivAge"),
+    )
+    scored = _trained_store(spark, folder).score(renewed)
+    return scored.select("IDpol", "Pred_Frequency_Count", "Pred_Severity_Cost", "XoL_Trigger_Probability")
+
+
 def pure_premium(spark: SparkSession, folder: str) -> DataFrame:
     return ml_insights(spark, folder).select(
         "IDpol", "Pred_Frequency_Count", "Pred_Severity_Cost", "Expected_Pure_Premium",
@@ -429,6 +427,21 @@ def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
     return audit.importance_summary(importances)
 
 
+def permutation_importance_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """The same audit of a plain model of relative means, whose every step SQL can repeat."""
+    data = _warehouse(spark, folder).audit_data()
+    summary = audit.importance_summary(audit.importance_of(audit.marginal_rates(data), data))
+    return summary.select("Feature", *[settle(F.col(c), 8).alias(c) for c in summary.columns[1:]])
+
+
+def permutation_donors(spark: SparkSession, folder: str) -> DataFrame:
+    """Claims, own and donors' regions of every policy, in all repeats."""
+    data = _warehouse(spark, folder).audit_data().select("IDpol", *bt.filled_factors(), "ReportedClaimCount")
+    donors = audit.with_donors(data, audit.REPEATS, audit.SEED)
+    regions = [F.col(f"c{r}.Region").alias(f"Region_{r}") for r in range(audit.REPEATS + 1)]
+    return donors.select("IDpol", "claims", *regions)
+
+
 QUERIES: tuple[Query, ...] = (
     claims_per_policy, policy_portfolio, portfolio_validation, key_uniqueness,
     scan_csv_tolerant, scan_csv_auto, mart_roundtrip, export_parquet_zstd,
@@ -440,10 +453,10 @@ QUERIES: tuple[Query, ...] = (
     severity_dataset, severity_capped, xol_threshold, large_loss_flag, class_balance,
     poisson_deviance,
     glm_frequency, glm_severity, glm_frequency_balance,
-    glm_frequency_moments, glm_severity_balance,
+    glm_frequency_moments, glm_severity_balance, glm_severity_moments,
     boosted_frequency, boosted_severity, xol_probability,
-    pure_premium, pure_premium_observed, ml_insights, insight_validation,
-    leakage_clusters, leakage_clusters_model, permutation_importance,
+    pure_premium, pure_premium_observed, ml_insights, renewal_scores, insight_validation,
+    leakage_clusters, leakage_clusters_model, permutation_importance, permutation_importance_rates, permutation_donors,
 )
 
 

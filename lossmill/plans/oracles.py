@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ..params import NUMERIC_FACTORS
+from ..operators.audit import BLOCK_ROWS, REPEATS, SEED, draws
+from ..params import NUMERIC_FACTORS, RATING_FACTORS
 from .catalog import AUDIT_LIMITS, SAMPLE_MONTH, SAMPLE_REGION
-
+from .regression_sql import coefficient_table
 
 
 def _settle(value: str, digits: int) -> str:
@@ -125,7 +126,86 @@ FROM summary"""
 
 MODEL = f"SELECT *, {_settle('ln(Exposure)', 8)} AS Log_Exposure FROM model"
 
+AREAS = ("5", "4", "3", "2")
+TERMS = [*NUMERIC_FACTORS, *(f"Area_{a}" for a in AREAS), "Intercept"]
+DESIGN = "[" + ", ".join([*NUMERIC_FACTORS, *(f"CAST(Area = '{a}' AS INT)" for a in AREAS), "1"]) + "]::DOUBLE[] AS x"
+
+#: The order of the donors, and what every policy gets in each repeat.
+DONORS = f"""
+, audited AS (
+    SELECT d.IDpol, d.Area, d.VehPower, d.Region, p.ReportedClaimCount AS y
+    FROM dimension d JOIN policy p ON d.IDpol = p.IDpol WHERE d.Exposure > 0
+), shuffled AS (
+    SELECT *, md5('{SEED}:' || IDpol) AS o,
+           CAST('0x' || substr(md5('{SEED}:' || IDpol), 1, 8) AS BIGINT)
+               % greatest(1, (SELECT count(*) FROM audited) // {BLOCK_ROWS}) AS block
+    FROM audited
+), placed AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY block ORDER BY o, IDpol) - 1 AS place,
+           count(*) OVER (PARTITION BY block) AS m
+    FROM shuffled
+), shifts AS (
+    SELECT unnest(range(1, {REPEATS + 1})) AS r, unnest({draws(REPEATS, SEED)!r}) AS share
+), donated AS MATERIALIZED (
+    SELECT a.IDpol, a.y, a.Area, a.VehPower, a.Region, s.r,
+           b.Area AS Area_d, b.VehPower AS VehPower_d, b.Region AS Region_d
+    FROM placed a CROSS JOIN shifts s JOIN placed b ON a.block = b.block
+     AND b.place = ((a.place - 1 - CAST(floor(s.share * (a.m - 1)) AS BIGINT)) % a.m + a.m) % a.m
+)"""
+
+RATES = """
+, of_area AS (SELECT Area, ln(avg(y) / (SELECT avg(y) FROM audited)) AS e FROM audited GROUP BY Area
+), of_region AS (SELECT Region, ln(avg(y) / (SELECT avg(y) FROM audited)) AS e FROM audited GROUP BY Region
+), of_power AS (SELECT VehPower > 9 AS strong, ln(avg(y) / (SELECT avg(y) FROM audited)) AS e FROM audited GROUP BY strong
+), effects AS MATERIALIZED (
+    SELECT t.r, t.y, (SELECT ln(avg(y)) FROM audited) AS base,
+           a.e AS Area, r.e AS Region, p.e AS VehPower, ad.e AS Area_d, rd.e AS Region_d, pd.e AS VehPower_d
+    FROM donated t
+    JOIN of_area a ON t.Area = a.Area JOIN of_area ad ON t.Area_d = ad.Area
+    JOIN of_region r ON t.Region = r.Region JOIN of_region rd ON t.Region_d = rd.Region
+    JOIN of_power p ON (t.VehPower > 9) = p.strong JOIN of_power pd ON (t.VehPower_d > 9) = pd.strong
+), rises AS (
+    SELECT Feature, r, 2 * sum(exp(after) - y * after - exp(before) + y * before) / count(*) AS importance
+    FROM (
+        SELECT r, y, base + Area + Region + VehPower AS before,
+               unnest([{features}]) AS Feature,
+               unnest([{after}]) AS after
+        FROM effects
+    ) GROUP BY Feature, r
+)""".format(
+    features=", ".join(f"'{name}'" for name in RATING_FACTORS),
+    after=", ".join(
+        "base + " + " + ".join(f"{n}_d" if n == name else n for n in ("Area", "Region", "VehPower")) for name in RATING_FACTORS
+    ),
+)
+
 SELECTS = {
+    "glm_frequency": ", "
+    + coefficient_table(f"SELECT {DESIGN}, ReportedClaimCount AS y, Exposure AS e FROM model", TERMS, False, _settle),
+    "glm_severity": ", " + coefficient_table(f"SELECT {DESIGN}, Capped AS y, 1.0 AS e FROM capped WHERE Capped > 0", TERMS, True, _settle),
+    "glm_severity_moments": "SELECT "
+    + ", ".join(f"CAST(SUM({name}) AS DOUBLE) AS Sum_{name}" for name in NUMERIC_FACTORS)
+    + " FROM capped WHERE Capped > 0",
+    "permutation_donors": DONORS
+    + " SELECT IDpol, y AS claims, any_value(Region) AS Region_0, "
+    + ", ".join(f"max(Region_d) FILTER (r = {r}) AS Region_{r}" for r in range(1, REPEATS + 1))
+    + " FROM donated GROUP BY IDpol, y",
+    "permutation_importance_rates": DONORS
+    + RATES
+    + " SELECT Feature, "
+    + ", ".join(
+        f"{_settle(value, 8)} AS {name}"
+        for name, value in {
+            "Mean_Importance": "avg(importance)",
+            "Std_Importance": "stddev_pop(importance)",
+            "Min_Importance": "min(importance)",
+            "Q1_Importance": "quantile_cont(importance, 0.25)",
+            "Median_Importance": "quantile_cont(importance, 0.5)",
+            "Q3_Importance": "quantile_cont(importance, 0.75)",
+            "Max_Importance": "max(importance)",
+        }.items()
+    )
+    + " FROM rises GROUP BY Feature",
     "claims_per_policy": f"""
         SELECT IDpol, {_settle('Amount', 4)} AS TotalClaimAmount, N AS ActualClaimCount,
                FirstClaim, LastClaim
@@ -241,4 +321,5 @@ SELECTS = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: BASE + select for name, select in SELECTS.items()}
+    base = BASE.replace("WITH", "WITH RECURSIVE", 1)
+    return {name: base + select for name, select in SELECTS.items()}

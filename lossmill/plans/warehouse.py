@@ -8,9 +8,11 @@ keeps the tables that are there and goes on with the first that is not.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import audit, insights, mart, modeling, reserving, star
 from ..operators import boosting as bt
@@ -19,6 +21,10 @@ from ..sources.tables import export_parquet, register_view, write_table
 
 KEY = "IDpol"
 MONTHLY_VIEW = "vw_monthly_regional_summary"
+INSIGHTS = "ml_underwriting_insights"
+MODEL_NODES = "model_nodes"
+
+_appending = threading.Lock()  # the three models train side by side
 
 
 @dataclass(frozen=True)
@@ -105,17 +111,48 @@ class Warehouse:
             export_parquet(self.monthly(), f"{folder}/vw_monthly_summary.parquet"),
         ]
 
+    def models(self) -> dict[str, bt.BoostedTrees]:
+        """The stored models, as far as they have been trained."""
+        if not self.spark.catalog.tableExists(self.name(MODEL_NODES)):
+            return {}
+        # A few hundred nodes for each round of a model.
+        rows: dict[str, list[tuple]] = {}
+        for name, *row in self.table(MODEL_NODES).collect():
+            rows.setdefault(name, []).append(tuple(row))
+        return {name: bt.BoostedTrees(found) for name, found in rows.items()}
+
+    def _save_nodes(self, model: str, rows: DataFrame) -> None:
+        named = rows.select(F.lit(model).alias("model"), *rows.columns).coalesce(1)
+        with _appending:
+            named.write.mode("append").option("path", f"{self.folder}/{MODEL_NODES}").saveAsTable(self.name(MODEL_NODES))
+
     def train_insights(
         self,
         frequency: bt.Boosting = bt.FREQUENCY,
         severity: bt.Boosting = bt.SEVERITY,
         trigger: bt.Boosting = bt.TRIGGER,
+        resume: bool = False,
     ) -> DataFrame:
-        """Train the three models and store their scores per policy."""
-        scores = insights.underwriting_insights(self.modeling(), frequency, severity, trigger)
-        return self.store(scores, "ml_underwriting_insights")
+        """Train the three models, store their trees and the scores per policy.
+
+        With `resume` a training goes on from the rounds that are stored, otherwise
+        it begins anew.
+        """
+        if not resume:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(MODEL_NODES)}")
+            empty = self.spark.createDataFrame([], f"model string, {bt.NODES}")
+            empty.write.mode("overwrite").option("path", f"{self.folder}/{MODEL_NODES}").saveAsTable(self.name(MODEL_NODES))
+        prepared = insights.rating_cells(self.modeling())
+        trained = insights.train_models(
+            prepared.cells, frequency, severity, trigger, saved=self.models(), save=self._save_nodes
+        )
+        return self.store(insights.insights_of(prepared.policies, trained), INSIGHTS)
+
+    def score(self, policies: DataFrame) -> DataFrame:
+        """Predictions of the stored models for any policies with exposure and rating factors."""
+        return insights.with_predictions(insights.score_policies(policies, self.models()))
 
     def leakage(self, limits: Leakage = Leakage()) -> DataFrame:
         return audit.leakage_clusters(
-            self.table("ml_underwriting_insights"), self.table("dim_policies"), limits
+            self.table(INSIGHTS), self.table("dim_policies"), limits
         )

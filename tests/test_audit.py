@@ -52,11 +52,11 @@ def policies(spark):
 
 
 def coded_frame(policies):
-    return bt.FactorCoder.fit(policies).transform(policies).select("IDpol", *bt.CODES, "ReportedClaimCount")
+    return policies.select("IDpol", *bt.filled_factors(), "ReportedClaimCount")
 
 
 def donors_of(policies, parts=3, repeats=2):
-    found = audit._with_donors(coded_frame(policies).repartition(parts), repeats, 1).toPandas()
+    found = audit.with_donors(coded_frame(policies).repartition(parts), repeats, 1).toPandas()
     return sorted(zip(found.claims, *(found[f"c{r}"].map(tuple) for r in range(repeats + 1))))
 
 
@@ -74,19 +74,19 @@ def test_importance_is_the_rise_of_the_mean_deviance(policies):
     """Against the deviance of every variant, computed row by row."""
     coded = coded_frame(policies)
     params = bt.Boosting(rounds=3, depth=3)
-    cells, model = audit.fit_audit_model(coded, params)
+    model = audit.fit_audit_model(coded, params)
     found = audit.permutation_importance(policies, params, repeats=1, seed=9)
     found = {r["Feature"]: r["Importance"] for r in found.collect()}
 
     def deviance(frame, target):
-        pdf = model.margin(frame).select(target, "margin").toPandas()
+        pdf = bt.margins(frame, {"margin": model}).select(target, "margin").toPandas()
         y, mu = pdf[target].to_numpy(float), np.exp(pdf.margin.to_numpy())
         return np.mean(2 * (np.where(y > 0, y * np.log(np.where(y > 0, y, 1) / mu), 0) - (y - mu)))
 
     base = deviance(coded, "ReportedClaimCount")
-    donors = audit._with_donors(coded, 1, 9)
+    donors = audit.with_donors(coded, 1, 9)
     for name in RATING_FACTORS:
-        columns = [F.col("c1" if other == name else "c0")[f"{other}_code"].alias(f"{other}_code") for other in RATING_FACTORS]
+        columns = [F.col("c1" if other == name else "c0")[other].alias(other) for other in RATING_FACTORS]
         rise = deviance(donors.select("claims", *columns), "claims") - base
         assert found[name] == pytest.approx(rise, rel=1e-8, abs=1e-12)
 

@@ -1,4 +1,5 @@
 import math
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -43,21 +44,24 @@ def prepared(policies):
 
 
 def short(params, rounds, depth=None, rate=None, every=2):
-    from dataclasses import replace
-
-    params = replace(params, rounds=rounds, table_every=every)
+    params = replace(params, rounds=rounds, rounds_per_job=every)
     if depth:
         params = replace(params, depth=depth)
     return replace(params, rate=rate) if rate else params
 
 
+def margins_of(model, frame):
+    """Margins of a frame's rows, in the order of toPandas()."""
+    return bt.margins(frame, {"m": model}).toPandas().m.to_numpy()
+
+
 def rows_as_cells(prepared):
     """One cell per policy: the same sums without grouping."""
     known = (F.col("ReportedClaimCount") > 0) & (F.col("UltimateLosses") > 0)
     severity = F.col("UltimateLosses") / F.col("ReportedClaimCount").cast("double")
     return prepared.policies.select(
         "IDpol",
-        *bt.CODES,
+        *bt.filled_factors(),
         F.col("Exposure").alias("exposure"),
         F.col("ReportedClaimCount").cast("double").alias("claims"),
         known.cast("double").alias("severities"),
@@ -83,15 +87,13 @@ def test_cells_hold_the_portfolio(prepared, policies):
 def test_first_step_is_the_regularized_newton_step(prepared):
     """Leaves of the first tree against sums formed by hand."""
     params = short(bt.FREQUENCY, 1, depth=2, rate=1.0)
-    scored, model = insights.fit_frequency(prepared.cells, params)
-    cells = scored.toPandas()
-    leaves = model.trees[0].leaves(model.grid.numbers([cells[c].to_numpy() for c in bt.CODES]))
-    assert len(set(leaves)) > 1
-    for _, leaf in cells.groupby(leaves):
+    model = insights.fit_frequency(prepared.cells, params)
+    cells = bt.margins(prepared.cells, {"m": model}).toPandas()
+    assert cells.m.nunique() > 1
+    for margin, leaf in cells.groupby("m"):
         g = (leaf.exposure - leaf.claims).sum()
         h = leaf.exposure.sum() * math.exp(0.7)
-        step = max(-0.7, min(0.7, -g / (h + 1.0)))
-        assert np.allclose(leaf.frequency_margin, step)
+        assert margin == pytest.approx(max(-0.7, min(0.7, -g / (h + 1.0))))
 
 
 def test_gradients_match_finite_differences(spark):
@@ -113,33 +115,94 @@ def test_gradients_match_finite_differences(spark):
         assert found_h == pytest.approx(second * inflated, rel=1e-4)
 
 
-@pytest.mark.parametrize(
-    "fit, name",
-    [
-        (insights.fit_frequency, "frequency_margin"),
-        (insights.fit_severity, "severity_margin"),
-        (insights.fit_trigger, "trigger_margin"),
-    ],
-)
-def test_cells_and_rows_give_one_model(prepared, fit, name):
+FITS = [insights.fit_frequency, insights.fit_severity, insights.fit_trigger]
+
+
+def by_structure(rows):
+    return {r[:2]: (r[2], r[3], tuple(r[4] or ())) for r in rows}
+
+
+@pytest.mark.parametrize("fit", FITS)
+def test_cells_and_rows_give_one_model(prepared, fit):
     params = short(bt.Boosting(rounds=3), 3, depth=3, rate=0.3)
-    cells, model = fit(prepared.cells, params)
-    by_cell = prepared.policies.join(cells.select(*bt.CODES, name), list(bt.CODES))
-    by_row, _ = fit(rows_as_cells(prepared).repartition(5), params)
-    left = by_cell.select("IDpol", name).orderBy("IDpol").toPandas()
-    right = by_row.select("IDpol", name).orderBy("IDpol").toPandas()
-    assert len(left) == len(right) == N
-    assert np.allclose(left[name], right[name], rtol=1e-8)
-    # Applying the stored trees to the policies gives what the training left.
-    again = model.margin(prepared.policies).orderBy("IDpol").select("margin").toPandas()
-    assert np.allclose(again.margin, left[name], rtol=1e-8)
+    by_cell, by_row = fit(prepared.cells, params), fit(rows_as_cells(prepared).repartition(5), params)
+    assert by_structure(by_cell.rows) == by_structure(by_row.rows)
+    assert np.allclose(margins_of(by_cell, prepared.policies), margins_of(by_row, prepared.policies), rtol=1e-8)
+
+
+@pytest.mark.parametrize("fit", FITS)
+def test_one_job_and_a_job_per_level_give_one_model(prepared, fit, monkeypatch):
+    """Histograms exchanged by the tasks of a job against those aggregated by Spark."""
+    params = short(bt.Boosting(rounds=3), 3, depth=3, rate=0.2, every=2)
+    together = [fit(prepared.cells, params, tasks=n) for n in (1, 3)]
+    monkeypatch.setattr(bt, "ROUNDS_PER_TABLE", 2)
+    context = prepared.cells.sparkSession.sparkContext
+    conf = context.getConf().set("spark.dynamicAllocation.enabled", "true")
+    monkeypatch.setattr(type(context), "getConf", lambda self: conf)
+    apart = fit(prepared.cells, params)
+    for model in together:
+        assert by_structure(model.rows) == by_structure(apart.rows)
+        assert np.allclose(margins_of(model, prepared.policies), margins_of(apart, prepared.policies), rtol=1e-9)
+
+
+def test_training_goes_on_from_stored_rounds(prepared):
+    whole, stored = insights.fit_frequency(prepared.cells, short(bt.FREQUENCY, 5)), []
+    insights.fit_frequency(prepared.cells, short(bt.FREQUENCY, 2), save=lambda rows: stored.extend(map(tuple, rows.collect())))
+    assert {r[0] for r in stored} == {0, 1, 2}
+    later = []
+    resumed = insights.fit_frequency(
+        prepared.cells, short(bt.FREQUENCY, 5), saved=bt.BoostedTrees(stored), save=lambda rows: later.extend(map(tuple, rows.collect()))
+    )
+    assert {r[0] for r in later} == {3, 4, 5}
+    assert by_structure(resumed.rows) == by_structure(whole.rows)
+    assert np.allclose(margins_of(resumed, prepared.policies), margins_of(whole, prepared.policies), rtol=1e-9)
+
+
+STEP = """SELECT w.IDpol, w.round, CASE WHEN n.factor IS NULL THEN w.node ELSE 2 * w.node + CASE n.factor
+    WHEN 'Area' THEN CAST(NOT list_contains(n."left", coalesce(w.Area, '')) AS INT)
+    WHEN 'Region' THEN CAST(NOT list_contains(n."left", coalesce(w.Region, '')) AS INT)
+    WHEN 'VehPower' THEN CAST(coalesce(w.VehPower, -1) > n.cut AS INT)
+    WHEN 'VehAge' THEN CAST(coalesce(w.VehAge, -1) > n.cut AS INT)
+    WHEN 'DrivAge' THEN CAST(coalesce(w.DrivAge, -1) > n.cut AS INT)
+    ELSE CAST(coalesce(w.BonusMalus, -1) > n.cut AS INT) END END AS node,
+    w.Area, w.Region, w.VehPower, w.VehAge, w.DrivAge, w.BonusMalus
+FROM walk{0} w JOIN nodes n ON w.round = n.round AND w.node = n.node"""
+
+
+def test_sql_repeats_the_margins_from_the_node_rows(spark, prepared):
+    import duckdb
+
+    model = insights.fit_frequency(prepared.cells, short(bt.FREQUENCY, 6, depth=4))
+    unseen = prepared.policies.withColumns({"Region": F.lit("elsewhere"), "VehAge": F.col("VehAge") + 7, "IDpol": F.col("IDpol") + N})
+    frame = prepared.policies.unionByName(unseen)
+    found = bt.margins(frame, {"m": model}).toPandas()
+    nodes, policies = model.frame(spark).toPandas(), frame.toPandas()  # noqa: F841
+    walk = "walk0 AS (SELECT IDpol, r AS round, 1 AS node, Area, Region, VehPower, VehAge, DrivAge, BonusMalus FROM policies CROSS JOIN (SELECT DISTINCT round AS r FROM nodes))"
+    walks = ", ".join([walk, *(f"walk{d + 1} AS ({STEP.format(d)})" for d in range(4))])
+    sql = f"WITH {walks} SELECT IDpol, sum(n.step) AS m FROM walk4 w JOIN nodes n ON w.round = n.round AND w.node = n.node GROUP BY IDpol"
+    want = duckdb.sql(sql).df().set_index("IDpol").m
+    assert len(want) == len(found) == 2 * N
+    assert np.allclose(found.m, want.loc[found.IDpol], rtol=1e-12)
+
+
+def test_no_jump_where_a_number_has_more_values_than_bins(spark):
+    """The same rows with 256 and with 257 values, all cuts allowed: splits stay where they were."""
+    rng = np.random.default_rng(4)
+    for values in (256, 257):
+        age = np.repeat(np.arange(values), 6)
+        pdf = pd.DataFrame({"DrivAge": age.astype(float), "claims": rng.poisson(0.5 + 2.0 * (age >= 100)).astype(float), "n": 1.0})
+        for name in ("VehPower", "VehAge", "BonusMalus"):
+            pdf[name] = 1.0
+        pdf["Area"] = pdf["Region"] = "A"
+        model = bt.boost(spark.createDataFrame(pdf), bt.poisson(), bt.Boosting(rounds=1, depth=1, bins=None), "claims", "n")
+        (root,) = [r for r in model.rows if r[2]]
+        assert root[2:4] == ("DrivAge", 99.5)
 
 
 def loss_after(prepared, rounds):
-    cells, _ = insights.fit_frequency(prepared.cells, short(bt.FREQUENCY, rounds))
-    pdf = cells.toPandas()
-    margin = pdf.frequency_margin
-    return (pdf.exposure * np.exp(margin) - pdf.claims * margin).sum()
+    model = insights.fit_frequency(prepared.cells, short(bt.FREQUENCY, rounds))
+    pdf = bt.margins(prepared.cells, {"m": model}).toPandas()
+    return (pdf.exposure * np.exp(pdf.m) - pdf.claims * pdf.m).sum()
 
 
 def test_loss_falls_with_the_rounds(prepared):
@@ -180,9 +243,10 @@ def test_a_tree_finds_the_best_split(spark):
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"a": rng.integers(0, 300, 3000).astype(float), "b": rng.integers(0, 9, 3000).astype(float)})
     pdf["_gradient"], pdf["_curvature"] = rng.normal(size=3000) + (pdf.a % 7 == 3), rng.uniform(0.5, 2, 3000)
+    pdf["a"] = "c" + pdf.a.astype(int).astype(str)
     rows = spark.createDataFrame(pdf)
-    grid = trees.Grid.fit(rows, ("a", "b"), {"a": 301}, 256)
-    levels, leaves = trees.grow(rows.withColumn("_bins", grid.column(("a", "b"))), grid, 1, 1.0, 1.0, 1e-9)
+    grid = trees.Grid.fit(rows, ("a", "b"), ("a",), 256)
+    tree = trees.grow(trees.frame_sums(rows.withColumn("_bins", grid.column()), grid), grid, 1, 1.0, 1.0, 1e-9)
 
     def gain(left):
         sums = [(pdf._gradient[m].sum(), pdf._curvature[m].sum()) for m in (left, ~left)]
@@ -191,16 +255,16 @@ def test_a_tree_finds_the_best_split(spark):
     by_a = pdf.groupby("a")[["_gradient", "_curvature"]].sum()
     ranked = (by_a._gradient / by_a._curvature).sort_values().index
     best = max([gain(pdf.a.isin(ranked[:i])) for i in range(1, 300)] + [gain(pdf.b <= i) for i in range(8)])
-    node = trees.Tree(tuple(levels), np.zeros(2)).leaves(grid.numbers([pdf.a.to_numpy(), pdf.b.to_numpy()]))
-    assert gain(pd.Series(node == 0)) == pytest.approx(best)
-    assert leaves[0].tolist() == pytest.approx([pdf._gradient[node == i].sum() for i in (0, 1)])
+    node = tree.leaves(grid.numbers([pd.Index(grid.labels[0]).get_indexer(pdf.a), pdf.b.to_numpy()]))
+    assert gain(pd.Series(node == 2)) == pytest.approx(best)
+    assert tree.sums[0, 2:].tolist() == pytest.approx([pdf._gradient[node == i].sum() for i in (2, 3)])
 
 
 def test_many_values_are_cut_at_percentiles(spark):
     rows = spark.range(5000).select((F.col("id") / 7).alias("x"))
-    grid = trees.Grid.fit(rows, ("x",), {}, 16)
+    grid = trees.Grid.fit(rows, ("x",), (), 16)
     assert grid.sizes[0] == 16
-    found = rows.withColumn("bins", grid.column(("x",))).toPandas()
+    found = rows.withColumn("bins", grid.column()).toPandas()
     numbers = found.bins.map(lambda b: b[0]).to_numpy()
     assert (grid.numbers([found.x.to_numpy()])[0] == numbers).all()
     assert np.bincount(numbers).max() < 2 * 5000 / 16

@@ -1,5 +1,8 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -13,9 +16,8 @@ HAVE_DATA = Path(FOLDER).is_dir()
 needs_data = pytest.mark.skipif(not HAVE_DATA, reason="test tables are not there")
 ORACLE = oracles.oracle_sql()
 MODEL_QUERIES = {
-    "glm_frequency", "glm_severity", "boosted_frequency", "boosted_severity", "xol_probability",
-    "pure_premium", "ml_insights", "insight_validation", "leakage_clusters_model",
-    "permutation_importance",
+    "boosted_frequency", "boosted_severity", "xol_probability", "pure_premium", "ml_insights",
+    "renewal_scores", "insight_validation", "leakage_clusters_model", "permutation_importance",
 }
 
 
@@ -56,3 +58,20 @@ def test_compare_sees_differences():
     assert "rows" in check.compare(left, left.iloc[:1])
     assert "differ" in check.compare(left, left.assign(a=[1, 3]))
     assert "columns" in check.compare(left, left.rename(columns={"a": "c"}))
+
+
+@needs_data
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_the_library_works_without_the_corpus_operators(tmp_path, pipeline):
+    root = Path(entry.__file__).resolve().parent
+    shutil.copytree(root, tmp_path / "repo", ignore=shutil.ignore_patterns("llm", ".git", "__pycache__"))
+    if not pipeline:
+        (tmp_path / "repo" / "corpus_pipeline.py").unlink()
+    script = (
+        "import __spark_entry__ as e\n"
+        "from lossmill.session import local_session\n"
+        "assert set(e.queries()) >= set(e.oracle_sql()) and 'pipeline' not in e.queries()\n"
+        f"print('rows', e.queries()['earned_premium'](local_session(2), {FOLDER!r}).count())\n"
+    )
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path / "repo", capture_output=True, text=True, timeout=300)
+    assert "rows 1500" in done.stdout, done.stderr[-2000:]

@@ -76,6 +76,21 @@ def test_insights_are_stored_and_audited(store):
     assert clusters.agg(F.sum("Toxic_Policy_Count")).first()[0] == 5
 
 
+def test_a_resumed_training_keeps_the_stored_rounds(store):
+    tiny = [bt.Boosting(rounds=n, depth=2, rounds_per_job=1) for n in (1, 3)]
+    store.train_insights(*[tiny[0]] * 3)
+    first = {tuple(map(str, r)) for r in store.table("model_nodes").collect()}
+    store.train_insights(*[tiny[1]] * 3, resume=True)
+    longer = {tuple(map(str, r)) for r in store.table("model_nodes").collect()}
+    assert first < longer
+    scores = sorted_rows(store.table("ml_underwriting_insights"))
+    store.train_insights(*[tiny[1]] * 3)
+    assert sorted_rows(store.table("ml_underwriting_insights")) == scores
+    assert {tuple(map(str, r)) for r in store.table("model_nodes").collect()} == longer
+    again = store.score(store.modeling()).select("IDpol", "Pred_Frequency_Count")
+    assert sorted_rows(again) == sorted_rows(store.table("ml_underwriting_insights").select("IDpol", "Pred_Frequency_Count"))
+
+
 class Elsewhere:
     """A cluster session, as far as the folder lookup sees it."""
 
