@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import partial
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +21,7 @@ from ..functions.rounding import ratio, settle
 from ..operators import audit, glm, insights, mart, modeling, portfolio, reserving, star
 from ..operators import boosting as bt
 from ..params import NUMERIC_FACTORS, Leakage
-from ..session import scratch_path
+from ..session import scratch_path, ship
 from ..sources import orderbook, tables
 from ..sources.csv import read_csv_auto, read_csv_tolerant
 from .warehouse import INSIGHTS, Warehouse
@@ -114,19 +116,26 @@ def scan_csv_tolerant(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.concat_ws(",", amount, F.concat(F.lit('"'), area, F.lit(',x"')), number, F.lit("more")))
     )
     path = scratch_path(spark, "damaged-csv")
+    ship(spark)
     orders = spark.read.parquet(f"{folder}/orders.parquet").select(line.alias("value"))
-    header = spark.createDataFrame([("Amount,Area,IDpol,Other",)], "value string")
-    # The header is the first line of a file of its own; the others begin with data.
-    header.coalesce(1).write.text(f"{path}/a")
-    orders.write.text(f"{path}/b")
-    return read_csv_tolerant(spark, [f"{path}/a", f"{path}/b"], CSV_SCHEMA)
+    orders.mapInArrow(partial(_headed, header="Amount,Area,IDpol,Other"), "value string").write.text(path)
+    return read_csv_tolerant(spark, path, CSV_SCHEMA)
+
+
+def _headed(batches: Iterator[pa.RecordBatch], header: str) -> Iterator[pa.RecordBatch]:
+    """The header before the lines of every file."""
+    for number, batch in enumerate(batches):
+        if not number:
+            yield pa.RecordBatch.from_pydict({"value": [header]}, schema=batch.schema)
+        yield batch
 
 
 def scan_csv_auto(spark: SparkSession, folder: str) -> DataFrame:
-    """The orders as a file whose separator and types have to be found."""
+    """The orders, with a damaged cell here and there, as a file whose separator, header and types have to be found."""
     orders = spark.read.parquet(f"{folder}/orders.parquet")
     path = scratch_path(spark, "unknown-csv")
-    columns = ("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    customer = F.when(F.col("o_orderkey") % 997 == 5, "n/a").otherwise(F.col("o_custkey").cast("string"))
+    columns = ("o_orderkey", customer.alias("o_custkey"), "o_totalprice", "o_orderpriority")
     orders.select(*columns).write.option("sep", ";").option("header", True).csv(path)
     return read_csv_auto(spark, path)
 

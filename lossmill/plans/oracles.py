@@ -225,12 +225,14 @@ SELECTS = {
                     ELSE o_totalprice END AS Amount,
                CASE WHEN o_orderkey % 11 = 5 THEN NULL
                     WHEN o_orderkey % 17 = 8 THEN substr(o_orderpriority, 1, 1)
+                    WHEN o_orderkey % 19 = 9
+                    THEN substr(o_orderpriority, 1, 1) || chr(10) || substr(o_orderpriority, 1, 1)
                     ELSE substr(o_orderpriority, 1, 1) || ',x' END AS Area
         FROM orders
-        WHERE o_orderkey % 7 <> 3
-          AND (o_orderkey % 11 = 5
-               OR (o_orderkey % 13 <> 6 AND (o_orderkey % 17 = 8 OR o_orderkey % 19 <> 9)))""",
-    "scan_csv_auto": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders",
+        WHERE o_orderkey % 7 <> 3 AND (o_orderkey % 11 = 5 OR o_orderkey % 13 <> 6)""",
+    "scan_csv_auto": """
+        SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders
+        WHERE o_orderkey % 997 <> 5""",
     "mart_roundtrip": "SELECT * FROM mart",
     "export_parquet_zstd": MONTHS,
     "claim_delays": """

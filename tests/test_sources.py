@@ -1,4 +1,7 @@
+import uuid
+
 import duckdb
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -8,7 +11,8 @@ from pyspark.sql import types as T
 
 from lossmill.session import scratch_path
 from lossmill.sources import tables
-from lossmill.sources.csv import infer_csv_schema, read_csv_auto, read_csv_tolerant, rejected_rows
+from lossmill.sources.csv import detect_dialect, infer_csv_schema, read_csv_auto, read_csv_tolerant, rejected_rows
+from lossmill.sources.records import states
 
 SCHEMA = T.StructType(
     [
@@ -107,10 +111,58 @@ def test_whole_numbers_may_be_decimals(spark, tmp_path):
 
 
 def test_quoted_line_breaks(spark, tmp_path):
-    path = write(tmp_path, ["IDpol,Exposure,Area", '1,0.5,"A', 'B"', "2,0.5,C"])
-    assert read(spark, path) == [(2, 0.5, "C")]
-    assert rejected_rows(spark, path, SCHEMA).count() == 2
-    assert read(spark, path, multi_line=True) == [(1, 0.5, "A\nB"), (2, 0.5, "C")]
+    lines = ["IDpol,Exposure,Area", '1,0.5,"A', "", 'B"', "2,0.5,C", '3,"0.5","x ""y"" z"', '4,0.5,5" pipe', '5,0.5,"a"']
+    path = write(tmp_path, lines)
+    assert read(spark, path) == [(1, 0.5, "A\n\nB"), (2, 0.5, "C"), (3, 0.5, 'x "y" z'), (5, 0.5, "a")]
+    assert [r[0] for r in rejected_rows(spark, path, SCHEMA).collect()] == ['4,0.5,5" pipe']
+
+
+def test_a_quote_that_is_never_closed_spoils_its_line_only(spark, tmp_path):
+    path = write(tmp_path, ["IDpol,Exposure,Area", "1,0.5,A", '2,0.5,"B', "3,0.5,C"])
+    assert read(spark, path) == [(1, 0.5, "A"), (3, 0.5, "C")]
+    assert [r[0] for r in rejected_rows(spark, path, SCHEMA).collect()] == ['2,0.5,"B']
+
+
+@pytest.mark.parametrize("size", [64, 150, 1000])
+def test_records_do_not_depend_on_the_splits(spark, tmp_path, size):
+    """Small splits, so that many begin inside quotes, against DuckDB."""
+    lines = ["IDpol,Exposure,Area"]
+    for i in range(400):
+        text = {0: f"a{i}", 1: f'"a{i}\nb,c"', 2: f'"x ""{i}"" y"', 3: '"' + f"long {i},\n" * (i % 23 + 1) + '"'}[i % 4]
+        lines.append(f"{i},{i / 4},{text}")
+    path = write(tmp_path, lines)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        frame = read_csv_tolerant(spark, path, SCHEMA)
+        assert frame.rdd.getNumPartitions() > 10 or size > 500
+        found = [tuple(r) for r in frame.collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    duck = duckdb.sql(f"SELECT * FROM read_csv('{path}', header=true, quote='\"', columns={{'IDpol': 'BIGINT', 'Exposure': 'DOUBLE', 'Area': 'VARCHAR'}})").fetchall()
+    assert len(duck) == 400 and sorted(found) == sorted(duck)
+
+
+def test_states_equal_a_walk_over_the_lines():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 40):
+        outside, inside = rng.random((2, n)) < 0.4
+        for begin in (False, True):
+            walk = [begin]
+            for o, i in zip(outside, inside):
+                walk.append(bool(i if walk[-1] else o))
+            assert states(outside, inside, begin).tolist() == walk
+
+
+def test_every_file_has_its_own_header(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    write(folder, ["IDpol,Exposure,Area", "1,0.5,A", "IDpol,Exposure,Area"], "a.csv")
+    write(folder, ["Area,IDpol,Exposure", "B,2,0.25", "IDpol,7,0.5"], "b.csv")
+    write(folder, ["IDpol,Exposure,Area", "3,1,C"], "c.csv")
+    assert sorted(read(spark, str(folder))) == [(1, 0.5, "A"), (2, 0.25, "B"), (3, 1.0, "C"), (7, 0.5, "IDpol")]
+    write(folder, ["IDpol,Exposure", "4,1"], "d.csv")
+    with pytest.raises(ValueError, match="Area"):
+        read(spark, str(folder))
 
 
 def test_unknown_files(spark, tmp_path):
@@ -120,6 +172,25 @@ def test_unknown_files(spark, tmp_path):
     assert [tuple(r) for r in frame.collect()] == [(1, 0.5, "a,b"), (2, None, "c")]
 
 
+def test_one_damaged_cell_leaves_the_type(spark, tmp_path):
+    lines = [f"{i}|{i / 8}|2024-01-{i % 28 + 1:02d}|'x|{i}'" for i in range(300)]
+    lines[250] = "x|0.5|2024-01-01|'y'"
+    path = write(tmp_path, lines)
+    found = detect_dialect(spark, path)
+    assert (found.sep, found.quote, found.header) == ("|", "'", False)
+    assert found.schema.simpleString() == "struct<column0:bigint,column1:double,column2:date,column3:string>"
+    assert read_csv_auto(spark, path).count() == 299
+    text = detect_dialect(spark, path, exceptions=0.0).schema
+    assert text["column0"].dataType == T.StringType()
+
+
+def test_an_empty_file(spark, tmp_path):
+    path = tmp_path / "empty.csv"
+    path.write_text("")
+    assert read(spark, str(path)) == []
+    assert detect_dialect(spark, str(path)).schema == T.StructType([])
+
+
 def test_export_is_zstd_and_replaces_an_older_one(spark, tmp_path):
     path = str(tmp_path / "out")
     tables.export_parquet(spark.range(10), path)
@@ -161,7 +232,7 @@ def parts_of(spark, name):
 @pytest.mark.parametrize("placed", [True, False])
 def test_a_failed_write_leaves_the_table_as_it_was(spark, placed):
     path = scratch_path(spark, "failing") if placed else None
-    name = f"t_failing_{int(placed)}"
+    name = f"t_failing_{uuid.uuid4().hex}_"
     tables.write_table(spark.range(5).withColumnRenamed("id", "k"), name, path, bucket_by="k", buckets=2)
     broken = spark.range(20).select(F.when(F.col("id") == 13, F.raise_error(F.lit("half way"))).otherwise(F.col("id")).cast("long").alias("k"))
     with pytest.raises(Exception, match="half way"):
@@ -178,6 +249,7 @@ def test_a_failed_write_leaves_the_table_as_it_was(spark, placed):
         from pathlib import Path
 
         assert len([p for p in Path(path).iterdir() if p.is_dir()]) == 1
+    spark.sql(f"DROP TABLE {name}")
 
 
 def test_view_is_replaced(spark):
