@@ -21,7 +21,12 @@ from lossmill.session import cut_lineage
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on their labels, does not reject."""
+    """Documents that the classifier, fitted on their labels, does not reject.
+
+    Each row is judged by its own text; rows without an id or with a repeated one take
+    no part in the fit where their label is unclear, but are judged like all others.
+    An empty table stays empty.
+    """
     ship(spark)
     return accepted(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
@@ -37,19 +42,22 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Texts without the passages that stand earlier; a text that loses nothing stays as it is."""
     ship(spark)
     texts = keyed(docs)
+    # Names that no column of the documents has.
+    longest = max(map(len, docs.columns))
+    shorter_text, own_id, own_text = (name.ljust(longest + 1, "_") for name in ("shorter_text", "own_id", "own_text"))
     found = remove_repeated_words(texts, has_keys=True).where("removed > 0")
-    shorter = found.select("key", F.col("kept").cast("string").alias("shorter_text"))
+    shorter = found.select("key", F.col("kept").cast("string").alias(shorter_text))
     if plain_ids(texts):
         joined = docs.join(shorter.withColumnRenamed("key", "doc_id"), "doc_id", "left")
     else:
-        changed = texts.join(shorter, "key").select(F.col("doc_id").alias("own_id"), F.col("text").alias("own_text"), "shorter_text")
+        changed = texts.join(shorter, "key").select(F.col("doc_id").alias(own_id), F.col("text").alias(own_text), shorter_text)
         once = docs.dropDuplicates(["doc_id", "text"])
-        same = once["doc_id"].eqNullSafe(changed["own_id"]) & once["text"].eqNullSafe(changed["own_text"])
+        same = once["doc_id"].eqNullSafe(changed[own_id]) & once["text"].eqNullSafe(changed[own_text])
         joined = once.join(changed, same, "left")
-    text = F.coalesce("shorter_text", "text")
+    text = F.coalesce(shorter_text, "text")
     columns = {"text": text}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("shorter_text").isNull(), F.col("n_chars")).otherwise(F.length("shorter_text"))
+        columns["n_chars"] = F.when(F.col(shorter_text).isNull(), F.col("n_chars")).otherwise(F.length(shorter_text))
     return joined.select(*(columns[c].cast(t).alias(c) if c in columns else F.col(c) for c, t in docs.dtypes))
 
 
