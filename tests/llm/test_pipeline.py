@@ -1,6 +1,7 @@
 import random
 
 import corpus_brute as brute
+import pytest
 
 import corpus_pipeline
 from lossmill.session import scratch_path
@@ -52,3 +53,15 @@ def test_repeated_rows(spark, odd):
     spark.createDataFrame([(1, "a b c")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     found = {(r.doc_id) for r in corpus_pipeline.run(spark, folder).select("doc_id").collect()}
     assert 5 in found and 2 in found
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_columns_named_like_those_of_the_stage(spark, repeated):
+    shared = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, shared, 1, "a", "b"), (2, f"x {shared}", 2, "c", "d"), (2 if repeated else 3, "alone", 3, "e", "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, own_id long, own_text string, shorter_text string")
+    found = corpus_pipeline.substring_dedup(spark, docs, "")
+    assert found.columns == docs.columns
+    assert sorted((r.text, r.own_id, r.own_text, r.shorter_text) for r in found.collect()) == sorted(
+        [(shared, 1, "a", "b"), ("x", 2, "c", "d"), ("alone", 3, "e", "f")]
+    )
