@@ -1,7 +1,7 @@
 """Exact similarity join of shingle sets by skipping in index lists and along set relations.
 
-A set's tokens are ordered from rare to frequent, and only as many are indexed as a
-partner must share one of. Index lists are kept by position in blocks: an entry
+Whole sets are indexed by neighbours in the order of their tokens, the rarest first and
+only as many as a partner must share two of. Index lists are kept by position in blocks: an entry
 bounds how much its set can still share, and blocks whose bounds cannot meet are
 skipped whole. Where a list is crowded, its sets are mostly relatives of each other:
 they are not compared in pairs but each with one centre of the list, and then
@@ -19,6 +19,7 @@ lists are compared in blocks.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import partial, reduce
 
@@ -28,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
 from .components import connected
 from .documents import keyed, plain_ids
 from .minhash_dedup import shingle_sets
@@ -45,13 +46,19 @@ STAR = 500
 #: Entries per block of an index list.
 BLOCK = 8
 #: Counters of the token frequencies, and in how many slices they travel. Fixed, whatever the corpus.
-COUNTERS, SLICES = 1 << 21, 32
+COUNTERS, SLICES = 1 << 20, 32
+#: Occurrences from which a token can be hot, and tasks over which its entries are dealt.
+HOT, SALTS = 4096, 64
 #: Tokens handled at once by array operations.
 PIECE = 1 << 20
 
 SEQUENCES = "key long, doc_id long, high long, low long"
-ROWS = "space long, key long, size long, tokens binary"
-ENTRIES = "space long, token long, key long, place long, size long, need long, cap long, outer boolean"
+SETS = "key long, size long, tokens binary"
+ROWS = f"space long, {SETS}"
+PLACES = "space long, token long, key long, place long, size long, hot boolean"
+ENTRIES = "space long, token long, key long, place long, size long, need long, cap long, outer boolean, hot boolean"
+#: Pairs that met, or the members of a crowded list.
+MEETINGS = f"{ENTRIES}, centre long, weight long"
 
 
 def _sequences(batches: Iterator[pa.RecordBatch], fold_case: bool) -> Iterator[pa.RecordBatch]:
@@ -74,14 +81,16 @@ def _sets(batches: Iterator[pa.RecordBatch], length: int, fold_case: bool) -> It
         for chunk in chunks(batch["text"]):
             values, offsets = shingle_sets(chunk.data, chunk.offsets, length, fold_case)
             keys = batch["key"].slice(chunk.first, chunk.rows)
-            yield _row_batch(np.zeros(chunk.rows, dtype=np.int64), keys, np.diff(offsets), values, offsets)
+            yield _row_batch(None, keys, np.diff(offsets), values, offsets)
 
 
 def _row_batch(space, keys, sizes, values: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
     raw = pa.py_buffer(np.ascontiguousarray(values, dtype=np.uint64).tobytes())
     tokens = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * 8).astype(np.int64).tobytes()), raw])
-    columns = [pa.array(space, pa.int64()), keys, pa.array(sizes, pa.int64()), tokens.cast(pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, ["space", "key", "size", "tokens"])
+    columns = [keys, pa.array(sizes, pa.int64()), tokens.cast(pa.binary())]
+    if space is None:
+        return pa.RecordBatch.from_arrays(columns, ["key", "size", "tokens"])
+    return pa.RecordBatch.from_arrays([space, *columns], ["space", "key", "size", "tokens"])
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -101,14 +110,33 @@ def _counter(values: np.ndarray, space: np.ndarray) -> np.ndarray:
     return (mix(values ^ mix(space.astype(np.uint64))) >> np.uint64(64 - (COUNTERS.bit_length() - 1))).astype(np.int64)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often each counter's tokens occur in a task, in slices."""
+def _neighbours(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of every two tokens next to each other in a set's order; the first token has none before it.
+
+    Chance brings single tokens together in ever more documents, but hardly two
+    neighbours.
+    """
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    before = np.append(np.uint64(0), values[:-1]) if len(values) else values
+    before = np.where(np.arange(len(values)) == offsets[row], np.uint64(0), before)
+    return row, mix(mix(before) * np.uint64(0x9E3779B97F4A7C15) + values)
+
+
+def _counted(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+    """How often each counter's tokens occur in a task, in slices; counts end at 65,535, which only orders tokens.
+
+    With `whole` the neighbours are counted, not the tokens.
+    """
     total = np.zeros(COUNTERS, dtype=np.int64)
     for batch, values, offsets in _pieces(batches):
-        space = np.repeat(batch["space"].to_numpy(), np.diff(offsets))
+        if whole:
+            row, values = _neighbours(values, offsets)
+        else:
+            row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+        space = batch["space"].to_numpy()[row]
         total += np.bincount(_counter(values, space), minlength=COUNTERS)
     if total.any():
-        parts = np.split(np.minimum(total, (1 << 32) - 1).astype(np.uint32), SLICES)
+        parts = np.split(np.minimum(total, (1 << 16) - 1).astype(np.uint16), SLICES)
         yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["slice", "counts"])
 
 
@@ -117,77 +145,172 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for number, counts in zip(batch["slice"].to_pylist(), batch["counts"]):
-            part = np.frombuffer(counts.as_buffer(), dtype=np.uint32).astype(np.float64)
+            part = np.frombuffer(counts.as_buffer(), dtype=np.uint16).astype(np.float64)
             sums[number] = sums[number] + part if number in sums else part
     rows = [np.frexp(x)[1].astype(np.uint8).tobytes() for x in sums.values()]
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(rows, pa.binary())], ["slice", "counts"])
 
 
-def _order(rows: DataFrame) -> Broadcast:
-    """Class of frequency of every counter: two megabytes, whatever the number of rows."""
-    parts = rows.select("space", "tokens").mapInArrow(_counted, "slice int, counts binary")
+def _order(rows: DataFrame, whole: bool) -> tuple[Broadcast, int]:
+    """Class of frequency of every counter (a megabyte, whatever the number of rows), and the first class of hot tokens."""
+    parts = rows.select("space", "tokens").mapInArrow(partial(_counted, whole=whole), "slice int, counts binary")
     sums = parts.repartition("slice").mapInArrow(_classes, "slice int, counts binary")
     classes = np.zeros((SLICES, COUNTERS // SLICES), dtype=np.uint8)
     for number, counts in sums.collect():
         classes[number] = np.frombuffer(counts, dtype=np.uint8)
-    return rows.sparkSession.sparkContext.broadcast(classes.reshape(-1))
+    mean = np.ldexp(1.0, classes.astype(np.int64)).mean()
+    hot = int(np.frexp(max(HOT, HOT / 64 * mean))[1])
+    return rows.sparkSession.sparkContext.broadcast(classes.reshape(-1)), hot
+
 
+def _whole_entries(batches: Iterator[pa.RecordBatch], order: Broadcast, hot: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """The indexed neighbours of whole sets, the rarest first.
 
-def _entries(batches: Iterator[pa.RecordBatch], order: Broadcast, percent: int) -> Iterator[pa.RecordBatch]:
+    A token that only x has takes two of x's neighbours away, one that only y has takes
+    one. For linked sets that is at most 2 (100 - percent) / 100 of the size of x, so
+    that x shares two neighbours among its first ones of as many and two more, unless
+    it has fewer than two left.
+    """
+    for batch, values, offsets in _pieces(batches):
+        space, key, size = (batch[c].to_numpy() for c in ("space", "key", "size"))
+        row, token = _neighbours(values, offsets)
+        kind = order.value[_counter(token, space[row])]
+        at = np.lexsort((token, kind, row))
+        place = np.arange(len(row)) - offsets[row]
+        first = place * 100 <= 2 * (100 - percent) * size[row] + 100
+        row, place, at = row[first], place[first], at[first]
+        columns = [space[row], signed(token[at]), key[row], place, size[row], kind[at] >= hot]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], _names(PLACES))
+
+
+def _entries(batches: Iterator[pa.RecordBatch], order: Broadcast, hot: int, percent: int) -> Iterator[pa.RecordBatch]:
     """The indexed tokens of each set, with bounds for its partners.
 
     Sets x and y are linked when 2 (100 + percent) times the overlap of their Ds is at
     least need(x) + need(y). An entry's cap is the largest need that a partner may
-    have whose first common token it is.
+    have whose first or second common token it is; linked sets meet in two entries,
+    unless they need one common token only.
     """
     for batch, values, offsets in _pieces(batches):
         space, size, need, least = (batch[c].to_numpy() for c in ("space", "size", "need", "least"))
         count = np.diff(offsets)
         row = np.repeat(np.arange(len(count)), count)
-        at = np.lexsort((values, order.value[_counter(values, space[row])], row))
+        kind = order.value[_counter(values, space[row])]
+        at = np.lexsort((values, kind, row))
         place = np.arange(len(row)) - offsets[row]
-        cap = 2 * (100 + percent) * (count[row] - place) - need[row]
+        cap = 2 * (100 + percent) * (count[row] - place + 1) - need[row]
         useful = cap >= least[row]
-        row, place, cap, token = row[useful], place[useful], cap[useful], values[at[useful]]
+        row, place, cap, at = row[useful], place[useful], cap[useful], at[useful]
         outer = batch["outer"].to_numpy(zero_copy_only=False)
-        columns = [space[row], signed(token), batch["key"].to_numpy()[row], place, size[row], need[row], cap, outer[row]]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], [c.split()[0] for c in ENTRIES.split(", ")])
+        columns = [space[row], signed(values[at]), batch["key"].to_numpy()[row], place, size[row], need[row], cap, outer[row], kind[at] >= hot]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], _names(ENTRIES))
+
 
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _meeting(
+    lists: np.ndarray, key: np.ndarray, size: np.ndarray, need: np.ndarray, cap: np.ndarray, outer: np.ndarray, percent: int, whole: bool
+) -> np.ndarray:
+    """Pairs whose sizes and bounds admit each other, in blocks of entries; `lists` numbers the lists, each in order of position.
+
+    Columns list, smaller key, larger key, weight; a weight of two, from one list or
+    several, makes a candidate. It is two at once for sets that need to have one
+    entry in common only.
+    """
+    starts = np.flatnonzero(np.append(True, lists[1:] != lists[:-1])) if len(lists) else np.zeros(0, dtype=np.int64)
+    lengths = np.diff(np.append(starts, len(lists)))
+    blocks = -(-lengths // BLOCK)
+    of = np.repeat(np.arange(len(lengths)), blocks)
+    number = np.arange(len(of)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    member = starts[of][:, None] + number[:, None] * BLOCK + np.arange(BLOCK)
+    there = member < (starts + lengths)[of][:, None]
+    member = np.where(there, member, 0)
+    high = np.where(there, cap[member], np.iinfo(np.int64).min).max(axis=1)
+    low = np.where(there, need[member], np.iinfo(np.int64).max).min(axis=1)
+    found = [np.zeros((4, 0), dtype=np.int64)]
+    for shift in range(int(blocks.max(initial=0))):
+        left = np.arange(len(of) - shift)
+        right = left + shift
+        left = left[(of[left] == of[right]) & (high[left] >= low[right]) & (high[right] >= low[left])]
+        for first in range(0, len(left), 1 << 14):
+            x = left[first : first + (1 << 14)]
+            y = x + shift
+            a, b = member[x][:, :, None], member[y][:, None, :]
+            fits = there[x][:, :, None] & there[y][:, None, :] & (cap[a] >= need[b]) & (cap[b] >= need[a]) & (outer[a] | outer[b])
+            fits &= (a < b) & (key[a] != key[b])
+            fits &= np.minimum(size[a], size[b]) * 100 >= np.maximum(size[a], size[b]) * percent
+            which, i, j = np.nonzero(fits)
+            a, b = member[x][which, i], member[y][which, j]
+            if whole:
+                once = (2 * percent - 100) * np.minimum(size[a], size[b]) < 200
+            else:
+                once = need[a] + need[b] <= 2 * (100 + percent)
+            weight = 1 + once
+            found.append(np.array([lists[a], np.minimum(key[a], key[b]), np.maximum(key[a], key[b]), weight]))
+    return np.concatenate(found, axis=1)
+
+
+def _lists(batches: Iterator[pa.RecordBatch], crowd: int | None, percent: int, whole: bool) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by list and position: pairs of the small lists, and the members of crowded ones as they come.
+
+    Of a list that goes on in the next batch at most `crowd` rows are held. With
+    `crowd=None` every list is compared.
+    """
+    schema = pa.schema([(n, pa.bool_() if n in ("outer", "hot") else pa.int64()) for n in _names(MEETINGS)])
+    names = _names(ENTRIES)
+    held, crowded = None, None  # rows of the last list; the last list, if crowded
+
+    def handled(rows: pa.RecordBatch, closed: bool) -> Iterator[pa.RecordBatch]:
+        nonlocal held, crowded
+        columns = {n: rows[n].to_numpy(zero_copy_only=False) for n in names}
+        fresh = np.append(True, (np.diff(columns["space"]) != 0) | (np.diff(columns["token"]) != 0))
+        lists = np.cumsum(fresh) - 1
+        sizes = np.bincount(lists)
+        many = np.zeros(len(sizes), dtype=bool) if crowd is None else sizes > crowd
+        first = (columns["space"][0], columns["token"][0])
+        many[0] |= crowded == first
+        full = many[lists] | (columns["hot"] & (crowd is not None))
+        last = lists == len(sizes) - 1
+        crowded = (columns["space"][-1], columns["token"][-1]) if many[-1] else None
+        waits = np.zeros(len(lists), dtype=bool) if closed else last & ~full
+        held = rows.filter(pa.array(waits)) if waits.any() else None
+        if full.any():
+            passed = rows.filter(pa.array(full))
+            none = pa.nulls(passed.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([*passed.columns, none, none], schema=schema)
+        small = np.flatnonzero(~full & ~waits)
+        own = [columns[n][small] for n in ("key", "size", "need", "cap", "outer")]
+        lists = lists[small]
+        owner, a, b, weight = _meeting(lists, *own, percent, whole)
+        space = columns["space"][small][np.searchsorted(lists, owner)]
+        pairs, which = np.unique(np.array([space, a, b]), axis=1, return_inverse=True)
+        total = np.bincount(which.reshape(-1), weight, minlength=pairs.shape[1]).astype(np.int64)
+        if len(total):
+            rest = {"space": pairs[0], "centre": pairs[1], "key": pairs[2], "weight": total}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rest[f.name]) if f.name in rest else pa.nulls(len(total), f.type) for f in schema], schema=schema
+            )
 
-def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of the lists whose bounds admit each other, by blocks of entries in order of position."""
     for batch in batches:
-        lists = batch["entries"]
-        sizes = lists.value_lengths().to_numpy()
-        flat = lists.flatten()
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        key, place, need, cap, outer = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("key", "place", "need", "cap", "outer"))
-        order = np.lexsort((key, place, owner))
-        key, need, cap, outer = key[order], need[order], cap[order], outer[order]
-        blocks = -(-sizes // BLOCK)
-        of = np.repeat(np.arange(len(sizes)), blocks)
-        number = np.arange(len(of)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-        member = (np.cumsum(sizes) - sizes)[of][:, None] + number[:, None] * BLOCK + np.arange(BLOCK)
-        there = member < np.cumsum(sizes)[of][:, None]
-        member = np.where(there, member, 0)
-        high = np.where(there, cap[member], np.iinfo(np.int64).min).max(axis=1)
-        low = np.where(there, need[member], np.iinfo(np.int64).max).min(axis=1)
-        found = []
-        for shift in range(int(blocks.max(initial=0))):
-            left = np.arange(len(of) - shift)
-            right = left + shift
-            left = left[(of[left] == of[right]) & (high[left] >= low[right]) & (high[right] >= low[left])]
-            for first in range(0, len(left), 1 << 14):
-                x, y = left[first : first + (1 << 14)], left[first : first + (1 << 14)] + shift
-                a, b = member[x][:, :, None], member[y][:, None, :]
-                fits = there[x][:, :, None] & there[y][:, None, :] & (cap[a] >= need[b]) & (cap[b] >= need[a]) & (outer[a] | outer[b])
-                fits &= (a < b) & (key[a] != key[b])
-                which, i, j = np.nonzero(fits)
-                found.append(np.array([of[x][which], key[member[x][which, i]], key[member[y][which, j]]]))
-        if found:
-            owner, a, b = np.concatenate(found, axis=1)
-            rows = np.unique(np.array([batch["space"].to_numpy()[owner], np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["space", "centre", "key"])
+        if batch.num_rows:
+            batch = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            yield from handled(batch, False)
+    if held is not None:
+        yield from handled(held, True)
+
+
+def _by_key(rows: DataFrame) -> DataFrame:
+    """Rows stored in buckets of their key: joins on it move the other side only.
+
+    The frame comes from a join on the key, so its tasks write whole buckets.
+    """
+    spark = rows.sparkSession
+    name, buckets = f"sets_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = rows.write.format("parquet").bucketBy(buckets, "key").option("path", scratch_path(spark, "sets"))
+    writer.saveAsTable(name)
+    return spark.table(name)
 
 
 def _beside(rows: DataFrame, edges: DataFrame) -> DataFrame:
@@ -197,9 +320,11 @@ def _beside(rows: DataFrame, edges: DataFrame) -> DataFrame:
     own = edges.join(shares, ["space", "centre"]).select("space", "centre", "key", share)
     turns = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share")
     heads = shares.select("space", "centre", F.col("centre").alias("key"), turns)
+    # In the first round there is one space, and the rows are stored by their key.
+    place = ["space", "key"] if "space" in rows.columns else ["key"]
     return (
         own.union(heads)
-        .join(rows.select("space", "key", "size", "tokens"), ["space", "key"])
+        .join(rows.select(*place, "size", "tokens"), place)
         .repartition("space", "centre", "share")
         .sortWithinPartitions("space", "centre", "share", F.col("key") != F.col("centre"), "key")
         .select("space", "centre", "key", "size", "tokens")
@@ -262,19 +387,15 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows()
 
 
-def _bounded(rows: DataFrame, percent: int, root: bool) -> tuple[DataFrame, DataFrame | None]:
+def _bounded(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Rows with need, least (the lowest need that a partner can have) and outer, and the links to the centres.
 
-    In the first round a partner is bounded by its size. Around a centre the sets
-    whose need and the lowest one together are not above zero are linked with the
-    one that has the lowest; of the others (outer) each pair needs a common token,
-    and so does each with one of the linked sets.
+    Around a centre the sets whose need and the lowest one together are not above
+    zero are linked with the one that has the lowest; of the others (outer) each
+    pair needs a common token, and so does each with one of the linked sets.
     """
     different = (F.octet_length("tokens") / 8).cast("long")
     rows = rows.withColumn("need", different * (100 + percent) - F.col("size") * (100 - percent))
-    if root:
-        partner = F.ceil(F.col("size") * percent / 100)
-        return rows.where("size > 0").withColumn("least", partner * (2 * percent)).withColumn("outer", F.lit(True)), None
     lowest = rows.groupBy("space").agg(F.min(F.struct("need", "key")).alias("low"))
     rows = rows.join(lowest, "space").withColumn("outer", F.col("need") > -F.col("low.need"))
     links = rows.where(~F.col("outer")).select(F.col("key").alias("a"), F.col("low.key").alias("b")).where("a <> b")
@@ -283,25 +404,38 @@ def _bounded(rows: DataFrame, percent: int, root: bool) -> tuple[DataFrame, Data
     return rows.join(nearest, "space").select("space", "key", "size", "tokens", "need", least.alias("least"), "outer"), links
 
 
-def _compared(entries: DataFrame, rows: DataFrame, groups: list[str], percent: int) -> DataFrame:
-    """Links among the sets of each list."""
-    members = F.collect_list(F.struct("key", "place", "need", "cap", "outer")).alias("entries")
-    pairs = entries.groupBy(*groups).agg(members).select("space", "entries")
-    pairs = cut_lineage(pairs.mapInArrow(_meeting, "space long, centre long, key long").distinct())
+def _met(entries: DataFrame, crowd: int | None, percent: int, whole: bool) -> DataFrame:
+    """What comes of the index lists, in one exchange of the entries; hot tokens go to many tasks."""
+    dealt = entries.withColumn("salt", F.lit(0))
+    if crowd is not None:
+        dealt = entries.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("key"), F.lit(SALTS))).otherwise(F.lit(0)))
+    dealt = dealt.repartition("space", "token", "salt").sortWithinPartitions("space", "token", "place", "key")
+    if whole:
+        # Before the first common neighbour lie at most 3 (100 - percent) / (100 + percent) of both sizes together.
+        need = (F.col("place") - 1) * (100 + percent) - F.col("size") * (3 * (100 - percent))
+        dealt = dealt.select("*", need.alias("need"), (-need).alias("cap"), F.lit(True).alias("outer"))
+    lists = partial(_lists, crowd=crowd, percent=percent, whole=whole)
+    return cut_lineage(dealt.select(*_names(ENTRIES)).mapInArrow(lists, MEETINGS))
+
+
+def _compared(met: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Links among the pairs that met often enough."""
+    pairs = met.where("weight IS NOT NULL").groupBy("space", "centre", "key").agg(F.sum("weight").alias("weight"))
+    pairs = cut_lineage(pairs.where("weight > 1").select("space", "centre", "key"))
     return cut_lineage(_beside(rows, pairs).mapInArrow(partial(_linked, percent=percent), "a long, b long"))
 
 
-def _in_blocks(entries: DataFrame, crowd: int) -> DataFrame:
-    """Crowded lists once for each two blocks of their members."""
-    own = F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / crowd)).alias("own")
-    dealt = entries.select("*", own).select(
-        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / crowd) - 1)).alias("other")
-    )
-    return dealt.select("*", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
+def _in_blocks(members: DataFrame, crowd: int) -> DataFrame:
+    """Crowded lists once for each two blocks of their members, each pair of blocks under a token of its own."""
+    sizes = members.groupBy("space", "token").agg(F.ceil(F.count(F.lit(1)) / crowd).alias("blocks"))
+    dealt = members.join(sizes, ["space", "token"]).withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    token = F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other"))
+    return dealt.withColumn("token", token).select(*_names(ENTRIES))
 
 
 def _centred(entries: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """Rows of the spaces around the centres of crowded lists.
+    """Rows of the spaces around the centres of crowded lists (one member alone has no partner).
 
     Linked sets lie in one class of sizes or in two adjacent ones, so a set goes to
     the centres of its class and of the one below.
@@ -309,8 +443,16 @@ def _centred(entries: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     kind = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9)
     dealt = entries.withColumn("kind", F.explode(F.array(kind, kind - 1)))
     of_list = ["space", "token", "kind"]
-    centres = dealt.groupBy(*of_list).agg(F.min(F.struct("place", "key")).alias("top"))
-    edges = dealt.join(centres, of_list).select("space", F.col("top.key").alias("centre"), "key")
+    centres = dealt.groupBy(*of_list).agg(
+        # The same few sets are the centres of all lists of their relatives.
+        F.min("key").alias("middle"),
+        F.min("need").alias("low"),
+        F.max("cap").alias("high"),
+        (F.max("outer") & (F.count(F.lit(1)) > 1)).alias("some"),
+    )
+    # Members whose bounds admit no other one have no partner here.
+    dealt = dealt.join(centres.where("some"), of_list).where("cap >= low AND need <= high")
+    edges = dealt.select("space", F.col("middle").alias("centre"), "key")
     # What sets two sets apart is the same wherever they met.
     edges = cut_lineage(edges.groupBy("centre", "key").agg(F.min("space").alias("space")).select("space", "centre", "key"))
     found = _beside(rows, edges.where("key <> centre")).mapInArrow(_differences, ROWS)
@@ -319,24 +461,27 @@ def _centred(entries: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
 
 def _round(rows: DataFrame, percent: int, crowd: int, depth: int, last: int) -> tuple[list[DataFrame], DataFrame | None]:
     """Links found in one round, and the rows of the next one if lists are crowded."""
-    bounded, links = _bounded(rows, percent, depth == 0)
-    found = [cut_lineage(links)] if links is not None else []
-    order = _order(rows)
-    entries = cut_lineage(bounded.mapInArrow(partial(_entries, order=order, percent=percent), ENTRIES))
-    of_list = ["space", "token"]
-    lists = entries.groupBy(*of_list).agg(
-        F.count(F.lit(1)).alias("n"), F.min("need").alias("low"), F.max("cap").alias("high"), F.max("outer").alias("some")
-    )
-    lists = cut_lineage(lists.where("n > 1 AND some"))
-    admitted = entries.join(lists, of_list).where("cap >= low AND need <= high")
-    found.append(_compared(admitted.where(F.col("n") <= crowd), rows, of_list, percent))
-    crowded = admitted.where(F.col("n") > crowd)
-    if lists.where(F.col("n") > crowd).isEmpty():
+    found = []
+    if depth == 0:
+        placed = rows.where("size > 0").withColumn("space", F.lit(0).cast("long"))
+        order, hot = _order(placed, True)
+        entries = placed.mapInArrow(partial(_whole_entries, order=order, hot=hot, percent=percent), PLACES)
+    else:
+        bounded, links = _bounded(rows, percent)
+        found.append(cut_lineage(links))
+        order, hot = _order(rows, False)
+        entries = bounded.mapInArrow(partial(_entries, order=order, hot=hot, percent=percent), ENTRIES)
+    met = _met(entries, crowd, percent, depth == 0)
+    found.append(_compared(met, rows, percent))
+    members = met.where("weight IS NULL")
+    if members.isEmpty():
         return found, None
     if depth == last:
-        found.append(_compared(_in_blocks(crowded, crowd), rows, [*of_list, "one", "two"], percent))
+        pairs = _met(_in_blocks(members, crowd), None, percent, False)
+        # A pair may meet once here and once in a small list.
+        found.append(_compared(pairs.withColumn("weight", pairs["weight"] * 2), rows, percent))
         return found, None
-    return found, _centred(crowded, rows, percent)
+    return found, _centred(members, rows, percent)
 
 
 def similar_sets(
@@ -351,7 +496,7 @@ def similar_sets(
     """Rows key, doc_id, n_shingles, component_id, n_links: one for each document.
 
     Documents whose sets of distinct runs of `length` words have a Jaccard similarity
-    of `percent` hundredths or more are linked. component_id is the smallest id that
+    of `percent` hundredths or more (above 50) are linked. component_id is the smallest id that
     links reach. n_links counts the links that were used to connect the set (equal
     texts are one set; a set may have more links to sets that it is already
     connected with).
@@ -362,11 +507,13 @@ def similar_sets(
     of a centre go to the smaller key and have no effect on the result. An empty table
     gives no rows. Words and shingles are compared by 64-bit hashes.
     """
+    if not 50 < percent <= 100:
+        raise ValueError("percent has to be above 50 and at most 100")
     docs = docs if has_keys else keyed(docs)
     sequences = cut_lineage(docs.select("key", "doc_id", "text").mapInArrow(partial(_sequences, fold_case=fold_case), SEQUENCES))
     chosen = cut_lineage(sequences.groupBy("high", "low").agg(F.min("key").alias("key")))
     texts = docs.select("key", "text").join(chosen.select("key"), "key")
-    rows = cut_lineage(texts.mapInArrow(partial(_sets, length=length, fold_case=fold_case), ROWS))
+    rows = _by_key(texts.mapInArrow(partial(_sets, length=length, fold_case=fold_case), SETS))
     sizes, links, space = rows.select("key", "size"), [], rows
     for turn in range(depth + 1):
         found, space = _round(space, percent, crowd, turn, depth)
