@@ -59,7 +59,8 @@ def _opens(line: Column, sep: str, quote: str) -> Column:
     """
     begun = without_quoted_cells(line, sep, quote).rlike(f"(^|{re.escape(sep)}){re.escape(quote)}")
     marks = F.length(line) - F.length(F.replace(line, F.lit(quote), F.lit("")))
-    return begun & (marks % 2 == 1)
+    # The count decides most lines before any pattern is tried.
+    return (marks % 2 == 1) & begun
 
 
 def _lines(spark: SparkSession, path: str | list[str], sep: str, quote: str) -> DataFrame:
