@@ -10,15 +10,16 @@ with a probability below one in a million.
 A bucket gives a star: edges from one member to all others, never its pairs. Each
 document checks its strongest edge on the full sets, and then those edges whose ends
 are not connected yet. What the stars leave open are buckets whose members are not all
-connected by then: there the members outside the largest component are checked with
-all others of a different one, each pair once. Equal sets are one document from the
-start.
+connected by then. In small ones the members outside the largest component are checked
+with all others of a different one; in larger ones all members are answered from how
+their sets differ from the star's centre (see `set_join`), which never makes the pairs
+of a group. Equal sets are one document from the start.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,9 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .components import connected
 from .documents import keyed, plain_ids
-from .textscan import chunks, gram_hashes, lower_ascii, mix, signed, words
+from .set_join import around_centres, compared_pairs, stored_sets
+from .shingles import shingle_sets
+from .textscan import chunks, mix, signed
 
 SHINGLE = 5
 #: Similarity in hundredths from which documents are linked.
@@ -37,6 +40,8 @@ BINS = 128
 MISSED = 1e-6
 #: Members of a star that are checked together with one copy of its centre.
 STAR = 500
+#: Members of an open bucket up to which they are compared with each other.
+CROWD = 64
 
 
 def rows_per_band(percent: int) -> int:
@@ -47,34 +52,6 @@ def rows_per_band(percent: int) -> int:
     return 1
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, length: int, fold_case: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of all texts, and where each text's begin.
-
-    A text with fewer words than a shingle has its whole sequence as one; a text
-    without words has none.
-    """
-    found = words(lower_ascii(data) if fold_case else data, offsets)
-    counts = np.diff(found.offsets)
-    rows, hashes = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
-    for size in range(1, length + 1):
-        having = counts == size if size < length else counts >= length
-        if not having.any():
-            continue
-        grams = gram_hashes(found.hashes, size)
-        starts = np.concatenate([[0], np.cumsum(np.where(having, counts - size + 1, 0))])
-        row = np.repeat(np.arange(len(counts)), np.diff(starts))
-        at = found.offsets[row] + np.arange(len(row)) - starts[row]
-        rows.append(row)
-        hashes.append(grams[at])
-    row, value = np.concatenate(rows), np.concatenate(hashes)
-    order = np.lexsort((value, row))
-    row, value = row[order], value[order]
-    fresh = np.ones(len(row), dtype=bool)
-    fresh[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
-    row, value = row[fresh], value[fresh]
-    return value, np.searchsorted(row, np.arange(len(counts) + 1))
-
-
 def signatures(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Matrix of the bins of each set; rows of empty sets mean nothing."""
     rows = len(offsets) - 1
@@ -160,58 +137,36 @@ def _checked_stars(batches: Iterator[pa.RecordBatch], length: int, fold_case: bo
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["a", "b"])
 
 
-def _whole_sets(batches: Iterator[pa.RecordBatch], length: int, fold_case: bool) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for chunk in chunks(batch["text"]):
-            values, offsets = shingle_sets(chunk.data, chunk.offsets, length, fold_case)
-            sets = [values[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
-            keys = batch["key"].slice(chunk.first, chunk.rows)
-            yield pa.RecordBatch.from_arrays([keys, pa.array(sets, pa.binary())], ["key", "whole"])
-
-
-def _checked_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        kept = [
-            similar(np.frombuffer(a.as_buffer(), dtype=np.uint64), np.frombuffer(b.as_buffer(), dtype=np.uint64), percent)
-            for a, b in zip(batch["whole_a"], batch["whole_b"])
-        ]
-        yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
-
-
 def _size_fits(a: str, b: str, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _open_pairs(texts: DataFrame, rows: DataFrame, length: int, fold_case: bool, percent: int) -> DataFrame:
-    """Similar pairs of different components that share a bucket, each pair looked at once.
+def _open_links(texts: DataFrame, rows: DataFrame, length: int, fold_case: bool, percent: int, crowd: int) -> list[DataFrame]:
+    """Links that connect different components inside a bucket.
 
     `rows` are those of the buckets with several components: band, place, key,
-    n_shingles, component, bands. Members of a bucket's largest component meet the
-    others only, and never each other.
+    n_shingles, component, bands, members, centre. In a bucket of at most `crowd`
+    members those outside its largest component are compared with all of another
+    one, each pair once. In larger ones every member is answered from how it differs
+    from the bucket's centre, so that nothing is made for pairs that share no difference.
     """
-    parts = rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+    small, large = rows.where(F.col("members") <= crowd), rows.where(F.col("members") > crowd)
+    parts = small.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = parts.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
-    few = rows.join(largest, "band").where("component <> largest").alias("x")
-    # An earlier band that both share has brought the pair already.
-    earlier = F.arrays_overlap(F.expr("slice(x.bands, 1, x.place)"), F.expr("slice(y.bands, 1, x.place)"))
+    few = small.join(largest, "band").where("component <> largest").alias("x")
+    # An earlier small bucket that both share has brought the pair already.
+    earlier = F.arrays_overlap(F.col("x.before"), F.col("y.before"))
     pairs = few.join(
-        rows.alias("y"),
+        small.alias("y"),
         (F.col("x.band") == F.col("y.band"))
         & (F.col("x.component") != F.col("y.component"))
         & ((F.col("y.component") == F.col("x.largest")) | (F.col("x.key") < F.col("y.key")))
         & _size_fits("x.n_shingles", "y.n_shingles", percent)
         & ~earlier,
-    ).select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
-    sets = texts.join(rows.select("key").distinct(), "key").select("key", "text")
-    sets = sets.mapInArrow(partial(_whole_sets, length=length, fold_case=fold_case), "key long, whole binary")
-    sets = cut_lineage(sets)
-    whole_a = sets.select(F.col("key").alias("a"), F.col("whole").alias("whole_a"))
-    whole_b = sets.select(F.col("key").alias("b"), F.col("whole").alias("whole_b"))
-    return (
-        pairs.join(whole_a, "a").join(whole_b, "b").select("a", "b", "whole_a", "whole_b").mapInArrow(
-            partial(_checked_pairs, percent=percent), "a long, b long"
-        )
-    )
+    ).select(F.col("x.key").alias("centre"), F.col("y.key").alias("key"))
+    stars = cut_lineage(large.select("centre", "key").distinct())
+    sets = stored_sets(texts.join(rows.select("key").distinct(), "key"), length, fold_case)
+    return [compared_pairs(pairs, sets, percent), *around_centres(stars, sets, percent)]
 
 
 def _checked(edges: DataFrame, texts: DataFrame, length: int, fold_case: bool, percent: int) -> DataFrame:
@@ -245,7 +200,12 @@ def _placed(placing: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT, fold_case: bool = True, has_keys: bool = False
+    docs: DataFrame,
+    length: int = SHINGLE,
+    percent: int = PERCENT,
+    fold_case: bool = True,
+    has_keys: bool = False,
+    crowd: int = CROWD,
 ) -> DataFrame:
     """Rows key, doc_id, n_shingles, component_id, kept: one for each document.
 
@@ -268,7 +228,7 @@ def near_duplicates(
     member = cut_lineage(buckets.join(crowds, "band").select("band", "place", "key", "n_shingles", "members"))
     # A star's centre is the member with most company in all its buckets: copies differ less from it than from each other.
     company = member.groupBy("key").agg(F.sum("members").alias("company"))
-    centres = (
+    centres = cut_lineage(
         member.join(company, "key")
         .groupBy("band")
         .agg(F.max(F.struct("company", (-F.col("key")).alias("minus"), F.col("n_shingles").alias("size"))).alias("top"))
@@ -295,12 +255,19 @@ def near_duplicates(
     others = cut_lineage(others.select("key", "centre"))
     if not others.isEmpty():
         placing = _placed(placing, check(others))
-    member = cut_lineage(member.join(placing, "key").select("band", "place", "key", "n_shingles", "component"))
+    member = cut_lineage(member.join(placing, "key").select("band", "place", "key", "n_shingles", "component", "members"))
     divided = member.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    open_rows = member.join(divided.select("band"), "band").join(sets.select("key", "bands"), "key")
-    open_rows = cut_lineage(open_rows)
+    of_band = centres.select("band", "centre").join(divided.select("band"), "band")
+    open_rows = cut_lineage(member.join(of_band, "band"))
     if not open_rows.isEmpty():
-        placing = _placed(placing, cut_lineage(_open_pairs(texts, open_rows, length, fold_case, percent)))
+        # For each row the small open buckets of its document that come before it.
+        own = open_rows.where(F.col("members") <= crowd).groupBy("key").agg(F.collect_list(F.struct("place", "band")).alias("own"))
+        open_rows = open_rows.join(own, "key", "left").withColumn(
+            "before", F.expr("transform(filter(own, x -> x.place < place), x -> x.band)")
+        )
+        open_rows = cut_lineage(open_rows.drop("own"))
+        found = _open_links(texts, open_rows, length, fold_case, percent, crowd)
+        placing = _placed(placing, cut_lineage(reduce(DataFrame.union, found).distinct()))
 
     of_set = sets.join(placing, "key").select(*same_set, "component")
     placed = signed_docs.select("key", "doc_id", *same_set).join(of_set, same_set, "left")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage, scratch_path
 from .components import connected
 from .documents import keyed, plain_ids
-from .minhash_dedup import shingle_sets
+from .shingles import shingle_sets
 from .textscan import chunks, lower_ascii, mix, signed, words
 
 SHINGLE = 5
@@ -484,6 +484,36 @@ def _round(rows: DataFrame, percent: int, crowd: int, depth: int, last: int) ->
     return found, _centred(members, rows, percent)
 
 
+def stored_sets(texts: DataFrame, length: int, fold_case: bool) -> DataFrame:
+    """Rows key, size, tokens of keyed texts, stored by key; they come from a join on the key."""
+    return _by_key(texts.select("key", "text").mapInArrow(partial(_sets, length=length, fold_case=fold_case), SETS))
+
+
+def compared_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of pairs centre, key of stored sets those that are linked, as a, b."""
+    edges = cut_lineage(pairs.distinct().select(F.lit(0).cast("long").alias("space"), "centre", "key"))
+    return cut_lineage(_beside(sets, edges).mapInArrow(partial(_linked, percent=percent), "a long, b long"))
+
+
+def around_centres(stars: DataFrame, sets: DataFrame, percent: int, crowd: int = CROWD, depth: int = DEPTH) -> list[DataFrame]:
+    """All links among stored sets that have a centre in common (rows centre, key), as tables a, b.
+
+    They follow from the tokens in which the sets differ from the centre.
+    """
+    edges = stars.where("key <> centre").select(F.lit(0).cast("long").alias("space"), "centre", "key")
+    found = _beside(sets, edges).mapInArrow(_differences, ROWS)
+    space = cut_lineage(found.groupBy("space", "key").agg(F.first("size").alias("size"), F.first("tokens").alias("tokens")))
+    links: list[DataFrame] = []
+    if space.isEmpty():
+        return links
+    for turn in range(1, depth + 1):
+        of_turn, space = _round(space, percent, crowd, turn, depth)
+        links += of_turn
+        if space is None:
+            break
+    return links
+
+
 def similar_sets(
     docs: DataFrame,
     length: int = SHINGLE,

@@ -1,7 +1,10 @@
+import random
+
 import corpus_brute as brute
 import numpy as np
 import pytest
 
+from lossmill.llm import set_join
 from lossmill.llm.minhash_dedup import near_duplicates, rows_per_band
 from lossmill.llm.substring_dedup import remove_repeated_words
 from lossmill.llm.suffix_dedup import agreement, decode_front, front_code, merge_runs, remove_repeated_bytes
@@ -29,11 +32,36 @@ def test_repeated_bytes(table, ranges):
         assert all(a + n < b for (a, n), (b, _) in zip(spans, spans[1:]))
 
 
-@pytest.mark.parametrize("length, percent", [(3, 85), (5, 80)])
-def test_near_duplicates(table, length, percent):
+@pytest.mark.parametrize("length, percent, crowd", [(3, 85, 64), (5, 80, 64), (3, 85, 2), (5, 80, 1)])
+def test_near_duplicates(table, length, percent, crowd):
     docs = brute.copies(3) | {900: None, 901: "", 902: " \n", 903: "One two", 904: "one  TWO"}
-    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(table(docs.items()), length, percent).collect()}
-    assert found == brute.components(docs, length, percent)
+    rows = near_duplicates(table(docs.items()), length, percent, crowd=crowd).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute.components(docs, length, percent)
+
+
+@pytest.mark.parametrize("changes", [(2, 3), (1, 1, 2, 6)])
+def test_near_copies_below_the_threshold(table, monkeypatch, changes):
+    """Most pairs share a bucket and are not similar: they are not made, and no link is lost."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(5000)}" for _ in range(100)]
+    docs = {}
+    for i in range(200):
+        words = list(base)
+        for _ in range(2 * rng.choice(changes)):
+            words[rng.randrange(len(words))] = rng.choice([f"n{i}", "often"])
+        docs[i] = " ".join(words)
+    compared = []
+    beside = set_join._beside
+
+    def counting(rows, edges):
+        compared.append(edges.count())
+        return beside(rows, edges)
+
+    monkeypatch.setattr(set_join, "_beside", counting)
+    found = near_duplicates(table(docs.items()), 3, 85, crowd=16).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute.components(docs, 3, 85)
+    # A member meets fewer than 16 others in each of its small buckets, whatever the size of the group.
+    assert 0 < sum(compared) < len(docs) * (len(docs) - 1) / 2 / 4
 
 
 def test_large_group_of_copies(table):
