@@ -19,22 +19,28 @@ WIDTHS = np.array([64, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bits that each value needs."""
+    if len(values) == 0 or values.max() < 1 << 52:
+        return np.frexp(values.astype(np.float64))[1].astype(np.int8)  # exact so far
     high = (values >> np.uint64(32)).astype(np.float64)
     low = (values & np.uint64(0xFFFFFFFF)).astype(np.float64)
-    return np.where(high > 0, 32 + np.frexp(high)[1], np.frexp(low)[1])
+    return np.where(high > 0, 32 + np.frexp(high)[1], np.frexp(low)[1]).astype(np.int8)
 
 
 def _selectors(values: np.ndarray) -> np.ndarray:
     """For each place of each block, the selector that takes most values from there."""
     bits = np.zeros((len(values), BLOCK + int(COUNTS.max())), dtype=np.int8)
-    bits[:, :BLOCK] = _bits(values)
+    bits[:, :BLOCK] = _bits(values.reshape(-1)).reshape(values.shape)
     chosen = np.zeros((len(values), BLOCK), dtype=np.int8)
+    # Most bits among the next `width` values of each place; two such windows that
+    # overlap make a wider one.
+    widest, width = bits, 1
     for selector in range(len(COUNTS) - 1, 0, -1):
-        fits = (bits <= WIDTHS[selector]).astype(np.int16)
-        total = np.zeros((len(values), bits.shape[1] + 1), dtype=np.int16)
-        np.cumsum(fits, axis=1, out=total[:, 1:])
         count = int(COUNTS[selector])
-        chosen[total[:, count : count + BLOCK] - total[:, :BLOCK] == count] = selector
+        while width < count:
+            step = min(width, count - width)
+            widest = np.maximum(widest[:, : widest.shape[1] - step], widest[:, step:])
+            width += step
+        chosen[widest[:, :BLOCK] <= WIDTHS[selector]] = selector
     return chosen
 
 
