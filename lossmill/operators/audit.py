@@ -129,17 +129,12 @@ def _fits(batches: Iterator[pa.RecordBatch], model: bt.BoostedTrees, repeats: in
         claims = batch["claims"].to_numpy(zero_copy_only=False).astype(np.float64)
         codes = [model.codes([batch[f"c{r}"].field(name) for name in RATING_FACTORS]) for r in range(repeats + 1)]
 
-        def fit(values: np.ndarray, claims=claims) -> float:
-            margin = model.margins(values)
+        def fit(margin: np.ndarray, claims=claims) -> float:
             return float((np.exp(margin) - claims * margin).sum())
 
-        sums = []
-        for factor in range(len(RATING_FACTORS)):
-            for repeat in range(1, repeats + 1):
-                mixed = codes[0].copy()
-                mixed[factor] = codes[repeat][factor]
-                sums.append(fit(mixed))
-        sums.append(fit(codes[0]))
+        # By factor and repeat, as in the labels.
+        sums = [fit(margin) for _, _, margin in model.exchanged(codes)]
+        sums.append(fit(model.margins(codes[0])))
         yield pa.RecordBatch.from_pydict({f"fit{i}": [x] for i, x in enumerate(sums)} | {"n": [len(claims)]})
 
 

@@ -116,3 +116,14 @@ def test_planted_driver_ranks_last_in_ascending_order(policies):
     assert region.Median_Importance == pytest.approx(values.median())
     assert region.Q3_Importance == pytest.approx(values.quantile(0.75))
     assert math.isclose(region.Max_Importance, values.max())
+
+
+def test_a_tree_is_not_walked_once_per_variant(policies, monkeypatch):
+    """All exchanged factors of a batch come from one look at each tree."""
+    model = audit.fit_audit_model(coded_frame(policies), bt.Boosting(rounds=2, depth=3))
+    calls = []
+    monkeypatch.setattr(bt.BoostedTrees, "margins", lambda self, codes, f=bt.BoostedTrees.margins: calls.append(1) or f(self, codes))
+    batch = audit.with_donors(coded_frame(policies), 5, 1).toArrow().to_batches()
+    sums = [b for b in audit._fits(iter(batch), model, 5)]
+    assert len(calls) == len(batch) == len(sums)
+    assert all(b.num_columns == 5 * len(RATING_FACTORS) + 2 for b in sums)
