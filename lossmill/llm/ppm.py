@@ -11,7 +11,9 @@ ones. What no context has is uniform over the symbols that remain.
 The trie holds the counts of all training texts. It is applied in parts of bounded
 size, each over all documents: a part has the contexts that end alike, so that each
 step of the search down to two symbols stays within the part, and the tables of
-shorter contexts, which are bounded by the alphabet, go with every part.
+shorter contexts, which are bounded by the alphabet, go with every part. Where
+contexts end with the word, the cells of a word are the same wherever it stands, so
+that a task makes and looks up those of its different words.
 
 Beside it stands a unigram of words with one added to every count. Words that a
 sample shows to be frequent, a bounded number, are counted and looked up in tables;
@@ -38,6 +40,8 @@ ORDER = 6
 #: Cells of the trie that are held at once, and frequent words that are held in a table.
 PART_CELLS = 4_000_000
 FREQUENT = 65_536
+#: Cells that a task holds before it sums them, and gives them out where most are different.
+HELD_CELLS = 2_000_000
 #: Documents that the frequent words are taken from, at most about.
 SAMPLE_DOCUMENTS = 20_000
 
@@ -77,6 +81,22 @@ def text_cells(raw: np.ndarray, found: Words, order: int, across: bool) -> tuple
     return cells[own], np.repeat(text, sizes)
 
 
+def word_cells(raw: np.ndarray, found: Words, first: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of single words, given by where each stands first, and for each cell the number of its word.
+
+    Contexts end with the word; a text is its words' cells and `end_cell`.
+    """
+    apart = Words(found.starts[first], found.ends[first], found.hashes[first], np.arange(len(first) + 1))
+    cells, word = text_cells(raw, apart, order, False)
+    own = (cells & ((1 << _BITS) - 1)) != _END
+    return cells[own], word[own]
+
+
+def end_cell(order: int) -> np.ndarray:
+    """The cell of the end of a text, where contexts end with the word."""
+    return np.array([(_SPACE << _BITS) | _END if order else _END])
+
+
 class Trie:
     """Counts of one part of the trie, and the cost of every cell that belongs to it."""
 
@@ -150,11 +170,11 @@ def cell_part(cells: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _chunk_words(chunk) -> tuple:
-    """Bytes of a chunk; hashes of its different words; of all words which one; words of each text."""
+    """Bytes of a chunk; hashes of its different words; where each stands first; of all words which one; words of each text."""
     data = lower_ascii(chunk.data)
     found = words(data, chunk.offsets)
-    unique, inverse = np.unique(found.hashes, return_inverse=True)
-    return data, unique, inverse, found
+    unique, first, inverse = np.unique(found.hashes, return_index=True, return_inverse=True)
+    return data, unique, first, inverse, found
 
 
 def _held_out(key: Column) -> Column:
@@ -171,36 +191,44 @@ def _lookup(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def _statistics(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, order: int, across: bool) -> Iterator[pa.RecordBatch]:
     """Rows kind, code, count of training texts: cells of the trie (0), frequent words (1), all tokens (2), ends (3)."""
+    _tries.clear()  # of an earlier model
     totals = np.zeros(len(frequent), dtype=np.int64)
     tokens = ends = 0
     held: list[tuple[np.ndarray, np.ndarray]] = []
     rows = 0
 
-    def summed() -> tuple[np.ndarray, np.ndarray]:
-        cell, inverse = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
-        return cell, np.bincount(inverse, weights=np.concatenate([x for _, x in held]))
+    def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        cell, inverse = np.unique(np.concatenate([x for x, _ in parts]), return_inverse=True)
+        return cell, np.bincount(inverse, weights=np.concatenate([x for _, x in parts]))
 
     for batch in batches:
         train = ~batch["held_out"].to_numpy(zero_copy_only=False)
         for chunk in chunks(batch["text"]):
-            raw, unique, inverse, found = _chunk_words(chunk)
+            raw, unique, first, inverse, found = _chunk_words(chunk)
             own = train[chunk.first : chunk.first + chunk.rows]
             counts = np.bincount(inverse, weights=own[found.row_of], minlength=len(unique))
             tokens += int(counts.sum())
             ends += int(own.sum())
             at, there = _lookup(frequent, unique)
             totals[at[there]] += counts[there].astype(np.int64)
-            cell, text = text_cells(raw, found, order, across)
-            held.append(np.unique(cell[own[text]], return_counts=True))
+            if across:
+                cell, text = text_cells(raw, found, order, across)
+                held.append(np.unique(cell[own[text]], return_counts=True))
+            else:
+                trained = np.flatnonzero(counts)
+                cell, word = word_cells(raw, found, first[trained], order)
+                held.append(summed([(cell, counts[trained][word])]))
             rows += len(held[-1][0])
-            if rows > 4_000_000:
-                held = [summed()]
+            if rows > HELD_CELLS:
+                held = [summed(held)]
                 rows = len(held[0][0])
-                if rows > 2_000_000:
+                if rows > HELD_CELLS // 2:
                     yield _statistic_rows(0, *held[0])
                     held, rows = [], 0
+    if not across and ends:
+        held.append((end_cell(order), np.array([ends])))
     if held:
-        yield _statistic_rows(0, *summed())
+        yield _statistic_rows(0, *summed(held))
     used = np.flatnonzero(totals)
     yield _statistic_rows(1, used, totals[used])
     yield _statistic_rows(2, np.array([0]), np.array([tokens + ends]))
@@ -219,7 +247,7 @@ def _rare_words(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iter
     for batch in batches:
         keys, train = batch["key"].to_numpy(), ~batch["held_out"].to_numpy(zero_copy_only=False)
         for chunk in chunks(batch["text"]):
-            _, unique, inverse, found = _chunk_words(chunk)
+            _, unique, _, inverse, found = _chunk_words(chunk)
             _, there = _lookup(frequent, unique)
             rare = ~there[inverse]
             pair = found.row_of[rare] * max(len(unique), 1) + inverse[rare]
@@ -239,7 +267,7 @@ def _rare_words(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iter
 def _sampled_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for chunk in chunks(batch["text"]):
-            _, unique, inverse, _ = _chunk_words(chunk)
+            _, unique, _, inverse, _ = _chunk_words(chunk)
             count = np.bincount(inverse, minlength=len(unique))
             yield pa.RecordBatch.from_arrays([pa.array(signed(unique)), pa.array(count.astype(np.int64))], ["word", "count"])
 
@@ -253,19 +281,26 @@ def _sums(
     """Per text what the tables and one part of the trie give."""
     model = _trie(trie.value, order)
     logs = np.log10(counts + 1.0)
+    end = end_cell(order)
+    end_cost = float(model.costs(end)[0]) if cell_part(end, parts)[0] == part else 0.0
     for batch in batches:
         for chunk in chunks(batch["text"]):
-            raw, unique, inverse, found = _chunk_words(chunk)
+            raw, unique, first, inverse, found = _chunk_words(chunk)
             at, there = _lookup(frequent, unique)
             log_of, known_of = np.zeros(len(unique)), np.zeros(len(unique))
             log_of[there], known_of[there] = logs[at[there]], counts[at[there]] > 0
             total = [np.bincount(found.row_of, weights=x[inverse], minlength=chunk.rows) for x in (known_of, log_of)]
-            cell, text = text_cells(raw, found, order, across)
+            cell, owner = text_cells(raw, found, order, across) if across else word_cells(raw, found, first, order)
             if parts > 1:
                 mine = cell_part(cell, parts) == part
-                cell, text = cell[mine], text[mine]
+                cell, owner = cell[mine], owner[mine]
             code, place = np.unique(cell, return_inverse=True)
-            score = np.bincount(text, weights=model.costs(code)[place], minlength=chunk.rows)
+            cost = model.costs(code)[place]
+            if across:
+                score = np.bincount(owner, weights=cost, minlength=chunk.rows)
+            else:
+                of_word = np.bincount(owner, weights=cost, minlength=len(unique))
+                score = np.bincount(found.row_of, weights=of_word[inverse], minlength=chunk.rows) + end_cost
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["key"].slice(chunk.first, chunk.rows),

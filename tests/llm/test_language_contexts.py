@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import corpus_brute as brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +72,33 @@ GIVEN = "/root/testdata/sf0.1"
 def test_held_out_score_beats_the_base(spark):
     found = op3_language_scores(spark, GIVEN).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert found[0] > found[1]
+
+
+def test_a_repeated_word_takes_no_more_room(monkeypatch):
+    """Cells are made for different words, not for all; a trie of an earlier model does not stay beside them."""
+    import pyarrow as pa
+
+    from lossmill.llm import ppm
+
+    made = []
+    monkeypatch.setattr(ppm, "text_cells", lambda *x, f=ppm.text_cells: made.append(f(*x)) or made[-1])
+    ppm._tries["earlier"] = None
+    columns = [pa.array(["of the " * 5000, " ", "", None]), pa.array([False, False, False, True])]
+    batch = pa.RecordBatch.from_arrays(columns, ["text", "held_out"])
+    rows = [r for b in ppm._statistics(iter([batch]), np.zeros(0, dtype=np.uint64), 3, False) for r in b.to_pylist()]
+    assert not ppm._tries
+    assert sum(len(cells) for cells, _ in made) < 100
+    cells = {r["code"]: r["count"] for r in rows if r["kind"] == 0}
+    assert sum(cells.values()) == 5000 * (3 + 4) + 3  # letters and the space of each word, and three ends
+    want = dict(zip(*np.unique(ppm.text_cells(*_whole(["of the " * 5000, " ", ""]), 3, False)[0], return_counts=True)))
+    assert cells == want
+
+
+def _whole(texts):
+    import pyarrow as pa
+
+    from lossmill.llm.textscan import chunks, lower_ascii, words
+
+    (chunk,) = chunks(pa.array(texts))
+    data = lower_ascii(chunk.data)
+    return data, words(data, chunk.offsets)
