@@ -18,6 +18,7 @@ of a group. Equal sets are one document from the start.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial, reduce
 
@@ -42,6 +43,8 @@ MISSED = 1e-6
 STAR = 500
 #: Members of an open bucket up to which they are compared with each other.
 CROWD = 64
+#: How much larger than the smallest set of a class of sizes its sets can be.
+CLASS = 4
 
 
 def rows_per_band(percent: int) -> int:
@@ -148,7 +151,8 @@ def _open_links(texts: DataFrame, rows: DataFrame, length: int, fold_case: bool,
     n_shingles, component, bands, members, centre. In a bucket of at most `crowd`
     members those outside its largest component are compared with all of another
     one, each pair once. In larger ones every member is answered from how it differs
-    from the bucket's centre, so that nothing is made for pairs that share no difference.
+    from a centre of all buckets that hang together, so that nothing is made for pairs
+    that share no difference.
     """
     small, large = rows.where(F.col("members") <= crowd), rows.where(F.col("members") > crowd)
     parts = small.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -164,11 +168,31 @@ def _open_links(texts: DataFrame, rows: DataFrame, length: int, fold_case: bool,
         & _size_fits("x.n_shingles", "y.n_shingles", percent)
         & ~earlier,
     ).select(F.col("x.key").alias("centre"), F.col("y.key").alias("key"))
-    stars = cut_lineage(large.select("centre", "key").distinct())
+    stars = cut_lineage(_group_stars(large, percent))
     sets = stored_sets(texts.join(rows.select("key").distinct(), "key"), length, fold_case)
     return [compared_pairs(pairs, sets, percent), *around_centres(stars, sets, percent)]
 
 
+def _group_stars(large: DataFrame, percent: int) -> DataFrame:
+    """Rows centre, key: members of buckets that hang together, with one centre for each class of sizes.
+
+    The buckets of a family have many members in common, and each its own centre. A set
+    is answered once around the centre of all, not once for each bucket's. Sizes of a class
+    differ by a factor of `CLASS` at most, so that a difference is not longer than a
+    few times the set; sets that can be linked with some of the class below are in that too.
+    """
+    near = large.select(F.col("centre").alias("a"), F.col("key").alias("b")).where("a <> b").distinct()
+    group = connected(near).select(F.col("node").alias("key"), F.col("component").alias("group"))
+    sizes = large.groupBy("key", "n_shingles").agg(F.sum("members").alias("company"))
+    own = F.floor(F.log(F.col("n_shingles").cast("double")) / math.log(CLASS) + 1e-9)
+    fits_below = F.col("n_shingles") * percent <= 100 * F.pow(F.lit(float(CLASS)), F.col("own"))
+    dealt = sizes.join(group, "key").withColumn("own", own)
+    dealt = dealt.withColumn("kind", F.explode(F.when(fits_below, F.array("own", F.col("own") - 1)).otherwise(F.array("own"))))
+    centres = dealt.groupBy("group", "kind").agg(F.max(F.struct("company", (-F.col("key")).alias("minus"))).alias("top"))
+    centres = centres.select("group", "kind", (-F.col("top.minus")).alias("centre"))
+    return dealt.join(centres, ["group", "kind"]).select("centre", "key").distinct()
+
+
 def _checked(edges: DataFrame, texts: DataFrame, length: int, fold_case: bool, percent: int) -> DataFrame:
     """Edges key, centre whose full sets are similar, as a, b; a large star goes to several tasks, each with its centre."""
     shares = edges.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / STAR).alias("shares"))

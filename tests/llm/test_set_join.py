@@ -71,3 +71,23 @@ def test_odd_and_empty_tables(odd, table):
 def test_shared():
     a, b = np.array([1, 4, 9, 12]), np.array([0, 4, 12, 13, 20])
     assert shared(a, b) == shared(b, a) == 2 and shared(a[:0], b) == 0
+
+
+def test_buckets_that_hang_together_have_one_centre(spark):
+    """Each set is answered once, not once around every bucket's centre; neighbours in size still meet."""
+    from lossmill.llm.minhash_dedup import _group_stars
+
+    sizes = {k: 15 + k % 5 for k in range(40)}  # 15 | 16 17 18 19: a class ends below 16
+    rows = [(band, (band * 7) % 40, k, sizes[k], 40) for band in range(1, 6) for k in sizes if (k + band) % 4 or k == band * 7 % 40]
+    rows += [(9, 100, k, 50, 3) for k in (100, 101, 102)]
+    found = _group_stars(spark.createDataFrame(rows, "band long, centre long, key long, n_shingles long, members long"), 85).collect()
+    of = {}
+    for centre, key in found:
+        of.setdefault(key, set()).add(centre)
+    assert len({c for k, cs in of.items() if k < 100 for c in cs}) <= 2
+    assert len(found) == sum(map(len, of.values())) <= 2 * len(of)
+    assert of[100] == of[101] == of[102] and len(of[100]) == 1 and max(of[100]) >= 100
+    for a in sizes:
+        for b in sizes:
+            if 100 * min(sizes[a], sizes[b]) >= 85 * max(sizes[a], sizes[b]):
+                assert of[a] & of[b]
