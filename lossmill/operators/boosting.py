@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from ..params import CATEGORY_FACTORS, RATING_FACTORS
 from ..session import shared_folder, ship
-from .trees import Grid, TaskSums, Tree, grow
+from .trees import MASK_BITS, Grid, TaskSums, Tree, grow, leaf_place
 
 MISSING_NUMBER = -1.0  # below every rating factor; lets a split single out unknown values
 MISSING_CATEGORY = ""
@@ -45,14 +45,11 @@ POISSON_STEP_LIMIT = 0.7
 
 #: Cells that one task is meant for (about 100 bytes each), and those that are worth a
 #: task of their own where there are more than one task's.
-CELLS_PER_TASK, LEAST_CELLS = 500_000, 100_000
+CELLS_PER_TASK, LEAST_CELLS = 500_000, 250_000
 
 #: Rounds between two written states of the margins.
 ROUNDS_PER_TABLE = 10
 
-#: Leaves of a tree up to which a set of them is one number.
-MASK_BITS = 64
-
 #: A tree as rows. Nodes of a round are numbered from 1, the children of n are 2n and
 #: 2n + 1; a row goes left if its value is at most `cut` or among `left`. A leaf has
 #: no factor but a step. Round 0 has one leaf, the margin before the first tree.
@@ -192,7 +189,7 @@ class BoostedTrees:
         sizes = [len(n if name in CATEGORY_FACTORS else c) + 1 for name, n, c in zip(RATING_FACTORS, self.names, cuts)]
         every = (1 << MASK_BITS) - 1
         masks = [np.full((len(self.factor), size), every, dtype=np.uint64) for size in sizes]
-        # A power of two as a double has its place in the exponent (see `_leaf`).
+        # A power of two as a double has its place in the exponent (see `leaf_place`).
         steps = np.zeros((len(self.factor), 1023 + MASK_BITS))
 
         def leaves(turn: int, node: int, first: int) -> int:
@@ -232,7 +229,7 @@ class BoostedTrees:
             open_ = masks[0][turn][bins[0]]
             for mask, places_ in zip(masks[1:], bins[1:]):
                 open_ &= mask[turn][places_]
-            total += step[_leaf(open_)]
+            total += step[leaf_place(open_)]
         return total
 
     def exchanged(self, codes: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -252,7 +249,7 @@ class BoostedTrees:
             for factor, mask in enumerate(masks):
                 others = np.bitwise_and.reduce([x for f, x in enumerate(own) if f != factor])
                 for other in range(1, len(codes)):
-                    total[factor, other] += step[_leaf(others & mask[turn][bins[other][factor]])]
+                    total[factor, other] += step[leaf_place(others & mask[turn][bins[other][factor]])]
         for factor in range(len(RATING_FACTORS)):
             for other in range(1, len(codes)):
                 yield factor, other, total[factor, other]
@@ -277,11 +274,6 @@ class BoostedTrees:
         return spark.createDataFrame(self.rows, NODES)
 
 
-def _leaf(mask: np.ndarray) -> np.ndarray:
-    """Exponent of masks with one bit."""
-    return mask.astype(np.float64).view(np.int64) >> 52
-
-
 def margins(policies: DataFrame, models: dict[str, BoostedTrees]) -> DataFrame:
     """Add a margin column per model to any frame with the rating factors; a map over its rows.
 
@@ -325,8 +317,10 @@ def boost(
     if not saved:
         save(model.frame(spark))
     ship(spark)
+    # A cell without volume has no part in any sum.
+    cells = cells.select(*RATING_FACTORS, target, volume).where(F.col(volume) > 0)
     tasks = tasks or _tasks(spark, cells.count())
-    cells = cells.select(*RATING_FACTORS, target, volume).repartition(tasks, *RATING_FACTORS)
+    cells = cells.repartition(tasks, *RATING_FACTORS)
     while model.rounds < params.rounds:
         upto = min(params.rounds, model.rounds + params.rounds_per_job)
         if tasks == 1:
@@ -394,7 +388,7 @@ def _train(
         if tree.sums[1, 1] <= 0:
             break
         steps = _steps(tree, objective, params)
-        block.margin = block.margin + steps[tree.descend(sums.node, block.numbers)]
+        block.margin = block.margin + steps[tree.leaves(block.numbers)]
         rows += node_rows(turn, tree, steps, grid)
     if rows:
         names = [c.split()[0] for c in NODES.split(", ")]
@@ -455,10 +449,7 @@ def _level_sums(state: RDD, grid: Grid, objective: Objective) -> Callable:
 
 
 def _own_sums(block: Block, grid: Grid, objective: Objective, tree: Tree, nodes: list[int]) -> np.ndarray:
-    sums = TaskSums(block.numbers, grid, *block.graded(objective))
-    for _ in range(nodes[0].bit_length() - 2):
-        sums.node = tree.descend(sums.node, block.numbers)
-    return sums(tree, nodes)
+    return TaskSums(block.numbers, grid, *block.graded(objective))(tree, nodes)
 
 
 def node_rows(turn: int, tree: Tree, steps: np.ndarray, grid: Grid) -> list[tuple]:

@@ -16,6 +16,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Leaves of a tree up to which a set of them is one number.
+MASK_BITS = 64
+
 
 @dataclass(frozen=True)
 class Grid:
@@ -100,10 +103,43 @@ class Tree:
         return node
 
     def leaves(self, numbers: np.ndarray) -> np.ndarray:
-        node = np.ones(numbers.shape[1], dtype=np.int64)
-        for _ in range(len(self.factor).bit_length() - 2):
-            node = self.descend(node, numbers)
-        return node
+        """The nodes that rows end in, as far as the tree is grown; up to `MASK_BITS` leaves without walking down."""
+        ends = self._ends(1)
+        if len(ends) > MASK_BITS:
+            node = np.ones(numbers.shape[1], dtype=np.int64)
+            for _ in range(len(self.factor).bit_length() - 2):
+                node = self.descend(node, numbers)
+            return node
+        masks = self._masks(numbers.shape[0], ends)
+        open_ = masks[0].take(numbers[0])
+        for mask, own in zip(masks[1:], numbers[1:]):
+            open_ &= mask.take(own)
+        return np.concatenate([np.zeros(1023, dtype=np.int64), ends]).take(leaf_place(open_))
+
+    def _ends(self, node: int) -> list[int]:
+        """The leaves below a node from left to right."""
+        return [node] if self.factor[node] < 0 else [*self._ends(2 * node), *self._ends(2 * node + 1)]
+
+    def _masks(self, factors: int, ends: list[int]) -> np.ndarray:
+        """Per factor and number the leaves that it leaves open, as bits; only the one that is reached is left by all."""
+        masks = np.full((factors, self.goes.shape[1]), (1 << len(ends)) - 1, dtype=np.uint64)
+
+        def closed(node: int, first: int) -> int:
+            if self.factor[node] < 0:
+                return first + 1
+            middle = closed(2 * node, first)
+            last = closed(2 * node + 1, middle)
+            lower, upper = (1 << middle) - (1 << first), (1 << last) - (1 << middle)
+            masks[self.factor[node]] &= ~np.where(self.goes[node], np.uint64(upper), np.uint64(lower))
+            return last
+
+        closed(1, 0)
+        return masks
+
+
+def leaf_place(mask: np.ndarray) -> np.ndarray:
+    """Exponent of masks with one bit as they are in a double: the bit's place and 1023."""
+    return mask.astype(np.float64).view(np.int64) >> 52
 
 
 #: Sums of gradient, curvature and rows of the given nodes, for every factor and number.
@@ -164,18 +200,22 @@ class TaskSums:
         self.node = np.ones(numbers.shape[1], dtype=np.int64)
 
     def __call__(self, tree: Tree, nodes: list[int]) -> np.ndarray:
-        self.node = tree.descend(self.node, self.numbers)
+        self.node = tree.leaves(self.numbers)
         starts = self.grid.starts
         slot = np.full(len(tree.factor), -1)
         slot[nodes] = np.arange(len(nodes))
         own = slot[self.node]
         row = np.flatnonzero((own >= 0) & (self.curvature > 0))
+        every = len(row) == len(own)
         width = int(starts[-1])
         result = np.zeros((3, len(nodes) * width))
+        first = (own if every else own[row]) * width
+        weights = [x if every else x[row] for x in (self.gradient, self.curvature)]
         for numbers, start in zip(self.numbers, starts):
-            at = own[row] * width + start + numbers[row]
-            for i, weights in enumerate((self.gradient[row], self.curvature[row], None)):
-                result[i] += np.bincount(at, weights, minlength=result.shape[1])
+            at = first + (numbers if every else numbers[row])
+            at += start
+            for i, weight in enumerate((*weights, None)):
+                result[i] += np.bincount(at, weight, minlength=result.shape[1])
         return result.reshape(3, len(nodes), width)
 
 

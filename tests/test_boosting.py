@@ -1,4 +1,6 @@
 import math
+import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 import numpy as np
@@ -6,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from lossmill import session
 from lossmill.operators import boosting as bt
 from lossmill.operators import insights, trees
 
@@ -312,3 +315,49 @@ def test_masks_of_leaves_agree_with_walking_down(depth):
         assert (margin == model._walked(mixed)).all()
         seen.append((factor, other))
     assert seen == [(f, o) for f in range(len(bt.RATING_FACTORS)) for o in (1, 2)]
+
+
+@pytest.mark.parametrize("depth", [1, 5, 6, 7])
+def test_rows_reach_their_leaves_without_walking_down(depth, monkeypatch):
+    rng = np.random.default_rng(depth)
+    tree = trees.Tree.of_depth(depth, 9)
+    inner = np.arange(1, 1 << depth)
+    tree.factor[inner] = rng.integers(0, 3, len(inner))
+    tree.factor[inner[-1] // 2 :: 2] = -1
+    tree.goes[inner] = rng.random((len(inner), 9)) < 0.5
+    numbers = rng.integers(0, 9, (3, 700)).astype(np.uint8)
+    walked = np.ones(700, dtype=np.int64)
+    for _ in range(depth):
+        walked = tree.descend(walked, numbers)
+    if len(tree._ends(1)) <= trees.MASK_BITS:
+        monkeypatch.setattr(trees.Tree, "descend", None)
+    assert (tree.leaves(numbers) == walked).all()
+
+
+def test_cells_without_volume_go_to_no_task(prepared, monkeypatch):
+    """They have no part in a sum; a severity is known for a part of the cells only."""
+    counted = []
+    monkeypatch.setattr(bt, "_tasks", lambda spark, cells: counted.append(cells) or 1)
+    found = insights.fit_severity(prepared.cells, short(bt.SEVERITY, 2, depth=2))
+    known = prepared.cells.where("severities > 0")
+    assert counted == [known.count()] and known.count() < prepared.cells.count()
+    assert found.rows == insights.fit_severity(known, short(bt.SEVERITY, 2, depth=2)).rows
+
+
+def test_models_side_by_side_send_the_package_once(tmp_path):
+    """Three trainings begin at once in a new session; a second file of the same name would fail."""
+    sent = []
+
+    class Context:
+        applicationId = str(tmp_path)
+
+        def addPyFile(self, path):
+            time.sleep(0.2)
+            sent.append(path)
+
+    class Session:
+        sparkContext = Context()
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(session.ship, [Session()] * 3))
+    assert len(sent) == 1
