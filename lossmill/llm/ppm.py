@@ -13,7 +13,8 @@ size, each over all documents: a part has the contexts that end alike, so that e
 step of the search down to two symbols stays within the part, and the tables of
 shorter contexts, which are bounded by the alphabet, go with every part. Where
 contexts end with the word, the cells of a word are the same wherever it stands, so
-that a task makes and looks up those of its different words.
+that a task makes and looks up those of its different words, and those of a
+frequent word once.
 
 Beside it stands a unigram of words with one added to every count. Words that a
 sample shows to be frequent, a bounded number, are counted and looked up in tables;
@@ -195,6 +196,8 @@ def _statistics(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, order:
     totals = np.zeros(len(frequent), dtype=np.int64)
     tokens = ends = 0
     held: list[tuple[np.ndarray, np.ndarray]] = []
+    # Cells of frequent words, with the word's place: made once a task, counted by the word's total.
+    made, of_frequent = np.zeros(len(frequent), dtype=bool), []
     rows = 0
 
     def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -215,7 +218,12 @@ def _statistics(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, order:
                 cell, text = text_cells(raw, found, order, across)
                 held.append(np.unique(cell[own[text]], return_counts=True))
             else:
-                trained = np.flatnonzero(counts)
+                fresh = np.flatnonzero((counts > 0) & there)
+                fresh = fresh[~made[at[fresh]]]
+                made[at[fresh]] = True
+                cell, word = word_cells(raw, found, first[fresh], order)
+                of_frequent.append((cell, at[fresh][word]))
+                trained = np.flatnonzero((counts > 0) & ~there)
                 cell, word = word_cells(raw, found, first[trained], order)
                 held.append(summed([(cell, counts[trained][word])]))
             rows += len(held[-1][0])
@@ -227,6 +235,7 @@ def _statistics(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, order:
                     held, rows = [], 0
     if not across and ends:
         held.append((end_cell(order), np.array([ends])))
+        held += [(cell, totals[word]) for cell, word in of_frequent]
     if held:
         yield _statistic_rows(0, *summed(held))
     used = np.flatnonzero(totals)
@@ -279,7 +288,7 @@ def _sums(
     batches: Iterator[pa.RecordBatch], frequent: np.ndarray, counts: np.ndarray, trie, part: int, parts: int, order: int, across: bool
 ) -> Iterator[pa.RecordBatch]:
     """Per text what the tables and one part of the trie give."""
-    model = _trie(trie.value, order)
+    model, costs = _trie(trie.value, order, len(frequent))
     logs = np.log10(counts + 1.0)
     end = end_cell(order)
     end_cost = float(model.costs(end)[0]) if cell_part(end, parts)[0] == part else 0.0
@@ -290,7 +299,10 @@ def _sums(
             log_of, known_of = np.zeros(len(unique)), np.zeros(len(unique))
             log_of[there], known_of[there] = logs[at[there]], counts[at[there]] > 0
             total = [np.bincount(found.row_of, weights=x[inverse], minlength=chunk.rows) for x in (known_of, log_of)]
-            cell, owner = text_cells(raw, found, order, across) if across else word_cells(raw, found, first, order)
+            done = np.zeros(len(unique), dtype=bool)
+            done[there] = ~np.isnan(costs[at[there]])
+            todo = np.flatnonzero(~done)
+            cell, owner = text_cells(raw, found, order, across) if across else word_cells(raw, found, first[todo], order)
             if parts > 1:
                 mine = cell_part(cell, parts) == part
                 cell, owner = cell[mine], owner[mine]
@@ -299,7 +311,10 @@ def _sums(
             if across:
                 score = np.bincount(owner, weights=cost, minlength=chunk.rows)
             else:
-                of_word = np.bincount(owner, weights=cost, minlength=len(unique))
+                of_word = np.zeros(len(unique))
+                of_word[todo] = np.bincount(owner, weights=cost, minlength=len(todo))
+                of_word[done] = costs[at[done]]
+                costs[at[there]] = of_word[there]
                 score = np.bincount(found.row_of, weights=of_word[inverse], minlength=chunk.rows) + end_cost
             yield pa.RecordBatch.from_arrays(
                 [
@@ -335,15 +350,15 @@ def _trie_part(statistics: DataFrame, part: int, parts: int) -> tuple:
     return (uuid.uuid4().hex, *_arrays(cells.select("code", "count")), short)
 
 
-_tries: dict[str, Trie] = {}
+_tries: dict[str, tuple[Trie, np.ndarray]] = {}
 
 
-def _trie(parts: tuple, order: int) -> Trie:
-    """The worker's trie; of one part at a time."""
+def _trie(parts: tuple, order: int, frequent: int) -> tuple[Trie, np.ndarray]:
+    """The worker's trie, of one part at a time, and what frequent words cost in it, as far as they have been met."""
     name, cells, counts, short = parts
     if name not in _tries:
         _tries.clear()
-        _tries[name] = Trie(cells, counts, short, order)
+        _tries[name] = Trie(cells, counts, short, order), np.full(frequent, np.nan)
     return _tries[name]
 
 

@@ -102,3 +102,41 @@ def _whole(texts):
     (chunk,) = chunks(pa.array(texts))
     data = lower_ascii(chunk.data)
     return data, words(data, chunk.offsets)
+
+
+def test_a_frequent_word_is_looked_up_once(monkeypatch):
+    """In whatever many batches it comes: its cells are counted by its total, and its cost is kept."""
+    import pyarrow as pa
+
+    from lossmill.llm import ppm
+
+    class Sent:
+        value = None
+
+    texts = ["of the sea", "the of the land", "the the", "of"]
+    _, found = _whole(["of the"])
+    frequent = np.sort(found.hashes)
+    batches = [pa.RecordBatch.from_pydict({"key": [i], "text": [t], "held_out": [False]}) for i, t in enumerate(texts)]
+    rows = [r for b in ppm._statistics(iter(batches), frequent, 3, False) for r in b.to_pylist()]
+    cells = {r["code"]: r["count"] for r in rows if r["kind"] == 0}
+    assert cells == dict(zip(*np.unique(ppm.text_cells(*_whole(texts), 3, False)[0], return_counts=True)))
+    assert sorted(r["count"] for r in rows if r["kind"] == 1) == [3, 5]
+
+    code, count = (np.array(x) for x in zip(*sorted(cells.items())))
+    short = {}
+    for k in (0, 1):
+        own, place = np.unique(code & ((1 << (9 * (k + 1))) - 1), return_inverse=True)
+        short[k] = own, np.bincount(place, weights=count).astype(np.int64)
+    Sent.value = ("here", code, count, short)
+    want = {}
+    for i, batch in enumerate(batches):  # each alone, by a model of its own
+        ppm._tries.clear()
+        (alone,) = ppm._sums(iter([batch]), np.zeros(0, dtype=np.uint64), np.zeros(0), Sent, 0, 1, 3, False)
+        want[i] = alone["score"][0].as_py()
+    ppm._tries.clear()
+    asked = []
+    monkeypatch.setattr(ppm.Trie, "costs", lambda self, cells, f=ppm.Trie.costs: asked.append(len(cells)) or f(self, cells))
+    together = list(ppm._sums(iter(batches), frequent, np.ones(2), Sent, 0, 1, 3, False))
+    assert {i: b["score"][0].as_py() for i, b in enumerate(together)} == pytest.approx(want, abs=1e-12)
+    assert asked[0] == 1 and asked[2] == 5 and asked[3:] == [0, 0]  # the end; "land " after the first batch; nothing new
+    ppm._tries.clear()
