@@ -98,6 +98,11 @@ def end_cell(order: int) -> np.ndarray:
     return np.array([(_SPACE << _BITS) | _END if order else _END])
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in half the room, where they are small enough."""
+    return counts.astype(np.int32) if counts.max(initial=0) < 1 << 31 else counts
+
+
 class Trie:
     """Counts of one part of the trie, and the cost of every cell that belongs to it."""
 
@@ -107,18 +112,19 @@ class Trie:
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
         for k in range(order + 1):
             if k in short:
-                self.levels.append(short[k])
+                cell, count = short[k]
             else:
                 cell, inverse = np.unique(cells & ((1 << (_BITS * (k + 1))) - 1), return_inverse=True)
-                self.levels.append((cell, np.bincount(inverse, weights=counts, minlength=len(cell)).astype(np.int64)))
+                count = np.bincount(inverse, weights=counts, minlength=len(cell)).astype(np.int64)
+            self.levels.append((cell, _narrow(count)))
         self.contexts = []
         for k, (cell, count) in enumerate(self.levels):
             context, first, kinds = np.unique(cell >> _BITS, return_index=True, return_counts=True)
-            total = np.add.reduceat(count, first) if len(first) else count
+            total = np.add.reduceat(count, first, dtype=np.int64) if len(first) else count
             shared = np.zeros(len(context), dtype=np.int64)
             if k and len(first):
-                shared = np.add.reduceat(self._counts(k - 1, cell & ((1 << (_BITS * k)) - 1)), first)
-            self.contexts.append((context, total, kinds, shared))
+                shared = np.add.reduceat(self._counts(k - 1, cell & ((1 << (_BITS * k)) - 1)), first, dtype=np.int64)
+            self.contexts.append((context, *map(_narrow, (total, kinds, shared))))
 
     def _counts(self, k: int, cell: np.ndarray) -> np.ndarray:
         known, count = self.levels[k]

@@ -140,3 +140,22 @@ def test_a_frequent_word_is_looked_up_once(monkeypatch):
     assert {i: b["score"][0].as_py() for i, b in enumerate(together)} == pytest.approx(want, abs=1e-12)
     assert asked[0] == 1 and asked[2] == 5 and asked[3:] == [0, 0]  # the end; "land " after the first batch; nothing new
     ppm._tries.clear()
+
+
+def test_a_trie_takes_half_the_room_for_small_counts():
+    """Costs are those of 64-bit counts, and larger counts keep them."""
+    from lossmill.llm import ppm
+
+    code = np.unique(ppm.text_cells(*_whole(["of the sea", "the land"]), 3, False)[0])
+    tries = []
+    for count in (np.arange(1, len(code) + 1), np.arange(1, len(code) + 1) << 32):
+        short = {}
+        for k in (0, 1):
+            own, place = np.unique(code & ((1 << (9 * (k + 1))) - 1), return_inverse=True)
+            short[k] = own, np.bincount(place, weights=count).astype(np.int64)
+        tries.append(ppm.Trie(code, count, short, 3))
+    small, large = tries
+    assert {x.dtype for x in [small.levels[3][1], *small.contexts[3][1:]]} == {np.dtype(np.int32)}
+    assert large.levels[3][1].tolist() == [n << 32 for n in small.levels[3][1].tolist()]
+    assert large.contexts[0][1].tolist() == [n << 32 for n in small.contexts[0][1].tolist()]
+    assert np.isfinite(large.costs(code)).all()
