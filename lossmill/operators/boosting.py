@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from ..params import CATEGORY_FACTORS, RATING_FACTORS
 from ..session import shared_folder, ship
-from .trees import MASK_BITS, Grid, TaskSums, Tree, grow, leaf_place
+from .trees import MASK_BITS, Grid, TaskRows, TaskSums, Tree, grow, leaf_place
 
 MISSING_NUMBER = -1.0  # below every rating factor; lets a split single out unknown values
 MISSING_CATEGORY = ""
@@ -43,8 +43,10 @@ MARGIN_LIMIT = 60.0  # keeps exp() finite
 # enters the curvature as exp(margin + limit).
 POISSON_STEP_LIMIT = 0.7
 
-#: Cells that one task is meant for (about 100 bytes each), and those that are worth a
-#: task of their own where there are more than one task's.
+#: Cells up to which one task trains alone (about 100 bytes each): a job for each level of
+#: a tree costs more than the sums of so many cells.
+CELLS_ALONE = 1_000_000
+#: Beyond that, cells that one task is meant for, and those that are worth a task of their own.
 CELLS_PER_TASK, LEAST_CELLS = 500_000, 250_000
 
 #: Rounds between two written states of the margins.
@@ -295,6 +297,10 @@ def _with_margins(batches: Iterator[pa.RecordBatch], models: dict, factors: list
         yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), *found], [*kept, *models])
 
 
+def fitted_grid(cells: DataFrame, params: Boosting) -> Grid:
+    return Grid.fit(cells, RATING_FACTORS, CATEGORY_FACTORS, params.bins)
+
+
 def boost(
     cells: DataFrame,
     objective: Objective,
@@ -304,15 +310,17 @@ def boost(
     saved: BoostedTrees | None = None,
     save: Callable[[DataFrame], object] = lambda rows: None,
     tasks: int | None = None,
+    grid: Grid | None = None,
 ) -> BoostedTrees:
     """Fit on the cells, which have the rating factors without NULLs.
 
+    `grid`: that of the cells, where it is known already (see `fitted_grid`).
     Goes on from `saved` rounds and hands the rows of every `rounds_per_job` rounds to
     `save`. Cells are dealt out by their factors and ordered within a task, so that a
     repeated task gives the same sums.
     """
     spark = cells.sparkSession
-    grid = Grid.fit(cells, RATING_FACTORS, CATEGORY_FACTORS, params.bins)
+    grid = grid or fitted_grid(cells, params)
     model = saved or BoostedTrees([(0, 1, None, None, None, float(objective.base))])
     if not saved:
         save(model.frame(spark))
@@ -336,16 +344,16 @@ def boost(
 
 
 def _tasks(spark: SparkSession, cells: int) -> int:
-    if cells <= CELLS_PER_TASK:
+    if cells <= CELLS_ALONE:
         return 1
     return max(math.ceil(cells / CELLS_PER_TASK), min(math.ceil(cells / LEAST_CELLS), spark.sparkContext.defaultParallelism))
 
 
 @dataclass
 class Block:
-    """Cells of a task: numbers of their factors, sums and margins."""
+    """Cells of a task: joint numbers of their factors, sums and margins."""
 
-    numbers: np.ndarray
+    joint: np.ndarray
     target: np.ndarray
     volume: np.ndarray
     margin: np.ndarray
@@ -357,12 +365,19 @@ class Block:
         present = self.volume > 0
         return np.where(present, gradient, 0.0), np.where(present, np.maximum(curvature, TINY), 0.0)
 
+    def moved(self, rows: dict[int, np.ndarray], steps: np.ndarray) -> Block:
+        """The cells after one more tree, given the rows of its leaves."""
+        margin = self.margin.copy()
+        for node, row in rows.items():
+            margin[row] += steps[node]
+        return Block(self.joint, self.target, self.volume, margin)
+
 
 def _block(batches: Iterable[pa.RecordBatch], grid: Grid, model: BoostedTrees) -> Block:
     """All cells of a task in order of their factors, as far as the model is trained."""
     width, held = len(RATING_FACTORS), [pa.table(batch) for batch in batches]
     if not held:
-        return Block(np.zeros((width, 0), dtype=np.int64), *[np.zeros(0)] * 3)
+        return Block(np.zeros((len(grid.groups), 0), dtype=np.int64), *[np.zeros(0)] * 3)
     table = pa.concat_tables(held).sort_by([(name, "ascending") for name in RATING_FACTORS])
     columns = [c.combine_chunks() for c in table.columns]
     values = [
@@ -370,7 +385,7 @@ def _block(batches: Iterable[pa.RecordBatch], grid: Grid, model: BoostedTrees) -
         for c, labels in zip(columns[:width], grid.labels)
     ]
     target, volume = (c.to_numpy(zero_copy_only=False).astype(np.float64) for c in columns[width:])
-    return Block(grid.numbers(values), target, volume, model.margins(model.codes(columns[:width])))
+    return Block(grid.joint(grid.numbers(values)), target, volume, model.margins(model.codes(columns[:width])))
 
 
 def _grown(sums: Callable, grid: Grid, params: Boosting) -> Tree:
@@ -383,12 +398,13 @@ def _train(
     """The rounds of one job on the cells of its one task."""
     block, rows = _block(batches, grid, model), []
     for turn in range(model.rounds + 1, upto + 1):
-        sums = TaskSums(block.numbers, grid, *block.graded(objective))
+        sums = TaskSums(block.joint, grid, *block.graded(objective))
         tree = _grown(sums, grid, params)
         if tree.sums[1, 1] <= 0:
             break
         steps = _steps(tree, objective, params)
-        block.margin = block.margin + steps[tree.leaves(block.numbers)]
+        sums.descend(tree)
+        block = block.moved(sums.rows, steps)
         rows += node_rows(turn, tree, steps, grid)
     if rows:
         names = [c.split()[0] for c in NODES.split(", ")]
@@ -417,7 +433,7 @@ def _train_by_levels(
             break
         steps = _steps(tree, objective, params)
         rows += node_rows(turn, tree, steps, grid)
-        state = state.map(partial(_moved, tree=tree, steps=steps)).persist(StorageLevel.MEMORY_AND_DISK)
+        state = state.map(partial(_moved, grid=grid, tree=tree, steps=steps)).persist(StorageLevel.MEMORY_AND_DISK)
     for old in before:
         old.unpersist()
     return rows
@@ -425,7 +441,6 @@ def _train_by_levels(
 
 def _packed(batches: Iterator[pa.RecordBatch], grid: Grid, model: BoostedTrees) -> Iterator[pa.RecordBatch]:
     block = _block(batches, grid, model)
-    block.numbers = block.numbers.astype(np.min_scalar_type(max(grid.sizes)))
     yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block)], pa.binary())], ["block"])
 
 
@@ -433,9 +448,11 @@ def _unpacked(row: tuple) -> Block:
     return pickle.loads(row[0])
 
 
-def _moved(block: Block, tree: Tree, steps: np.ndarray) -> Block:
+def _moved(block: Block, grid: Grid, tree: Tree, steps: np.ndarray) -> Block:
     """The cells after one more tree."""
-    return Block(block.numbers, block.target, block.volume, block.margin + steps[tree.leaves(block.numbers)])
+    rows = TaskRows(block.joint, grid)
+    rows.descend(tree)
+    return block.moved(rows.rows, steps)
 
 
 def _level_sums(state: RDD, grid: Grid, objective: Objective) -> Callable:
@@ -449,7 +466,7 @@ def _level_sums(state: RDD, grid: Grid, objective: Objective) -> Callable:
 
 
 def _own_sums(block: Block, grid: Grid, objective: Objective, tree: Tree, nodes: list[int]) -> np.ndarray:
-    return TaskSums(block.numbers, grid, *block.graded(objective))(tree, nodes)
+    return TaskSums(block.joint, grid, *block.graded(objective))(tree, nodes)
 
 
 def node_rows(turn: int, tree: Tree, steps: np.ndarray, grid: Grid) -> list[tuple]:

@@ -105,8 +105,10 @@ def train_models(
     rounds; every job's rows go to `save` with the model's name.
     """
     fits = {"frequency": (fit_frequency, frequency), "severity": (fit_severity, severity), "trigger": (fit_trigger, trigger)}
+    # The models differ in their sums, not in the values of the factors.
+    grids = {bins: bt.fitted_grid(cells, params) for bins, params in {p.bins: p for _, p in fits.values()}.items()}
     calls = [
-        partial(fit, cells, params, saved=(saved or {}).get(name), save=partial(save, name))
+        partial(fit, cells, params, saved=(saved or {}).get(name), save=partial(save, name), grid=grids[params.bins])
         for name, (fit, params) in fits.items()
     ]
     bound = map(inheritable_thread_target(cells.sparkSession), calls)
