@@ -351,9 +351,9 @@ def _tasks(spark: SparkSession, cells: int) -> int:
 
 @dataclass
 class Block:
-    """Cells of a task: joint numbers of their factors, sums and margins."""
+    """Cells of a task: numbers of their factors, sums and margins."""
 
-    joint: np.ndarray
+    numbers: np.ndarray
     target: np.ndarray
     volume: np.ndarray
     margin: np.ndarray
@@ -370,14 +370,14 @@ class Block:
         margin = self.margin.copy()
         for node, row in rows.items():
             margin[row] += steps[node]
-        return Block(self.joint, self.target, self.volume, margin)
+        return Block(self.numbers, self.target, self.volume, margin)
 
 
 def _block(batches: Iterable[pa.RecordBatch], grid: Grid, model: BoostedTrees) -> Block:
     """All cells of a task in order of their factors, as far as the model is trained."""
     width, held = len(RATING_FACTORS), [pa.table(batch) for batch in batches]
     if not held:
-        return Block(np.zeros((len(grid.groups), 0), dtype=np.int64), *[np.zeros(0)] * 3)
+        return Block(np.zeros((width, 0), dtype=np.int64), *[np.zeros(0)] * 3)
     table = pa.concat_tables(held).sort_by([(name, "ascending") for name in RATING_FACTORS])
     columns = [c.combine_chunks() for c in table.columns]
     values = [
@@ -385,7 +385,8 @@ def _block(batches: Iterable[pa.RecordBatch], grid: Grid, model: BoostedTrees) -
         for c, labels in zip(columns[:width], grid.labels)
     ]
     target, volume = (c.to_numpy(zero_copy_only=False).astype(np.float64) for c in columns[width:])
-    return Block(grid.joint(grid.numbers(values)), target, volume, model.margins(model.codes(columns[:width])))
+    numbers = grid.numbers(values).astype(np.min_scalar_type(max(grid.sizes)))
+    return Block(numbers, target, volume, model.margins(model.codes(columns[:width])))
 
 
 def _grown(sums: Callable, grid: Grid, params: Boosting) -> Tree:
@@ -398,7 +399,7 @@ def _train(
     """The rounds of one job on the cells of its one task."""
     block, rows = _block(batches, grid, model), []
     for turn in range(model.rounds + 1, upto + 1):
-        sums = TaskSums(block.joint, grid, *block.graded(objective))
+        sums = TaskSums(block.numbers, grid, *block.graded(objective))
         tree = _grown(sums, grid, params)
         if tree.sums[1, 1] <= 0:
             break
@@ -433,7 +434,7 @@ def _train_by_levels(
             break
         steps = _steps(tree, objective, params)
         rows += node_rows(turn, tree, steps, grid)
-        state = state.map(partial(_moved, grid=grid, tree=tree, steps=steps)).persist(StorageLevel.MEMORY_AND_DISK)
+        state = state.map(partial(_moved, tree=tree, steps=steps)).persist(StorageLevel.MEMORY_AND_DISK)
     for old in before:
         old.unpersist()
     return rows
@@ -448,9 +449,9 @@ def _unpacked(row: tuple) -> Block:
     return pickle.loads(row[0])
 
 
-def _moved(block: Block, grid: Grid, tree: Tree, steps: np.ndarray) -> Block:
+def _moved(block: Block, tree: Tree, steps: np.ndarray) -> Block:
     """The cells after one more tree."""
-    rows = TaskRows(block.joint, grid)
+    rows = TaskRows(block.numbers)
     rows.descend(tree)
     return block.moved(rows.rows, steps)
 
@@ -466,7 +467,7 @@ def _level_sums(state: RDD, grid: Grid, objective: Objective) -> Callable:
 
 
 def _own_sums(block: Block, grid: Grid, objective: Objective, tree: Tree, nodes: list[int]) -> np.ndarray:
-    return TaskSums(block.joint, grid, *block.graded(objective))(tree, nodes)
+    return TaskSums(block.numbers, grid, *block.graded(objective))(tree, nodes)
 
 
 def node_rows(turn: int, tree: Tree, steps: np.ndarray, grid: Grid) -> list[tuple]:

@@ -9,10 +9,8 @@ adds up its own rows, all of them or those of its block, or Spark aggregates a f
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import cached_property
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -20,8 +18,6 @@ from pyspark.sql import functions as F
 
 #: Leaves of a tree up to which a set of them is one number.
 MASK_BITS = 64
-#: Combinations of numbers up to which factors are summed together.
-JOINT = 4096
 
 
 @dataclass(frozen=True)
@@ -67,28 +63,6 @@ class Grid:
         """Where a factor's numbers begin in a histogram of all factors."""
         return np.cumsum([0, *self.sizes])
 
-    @cached_property
-    def groups(self) -> list[list[int]]:
-        """Factors whose numbers make one number together, as long as there are few combinations."""
-        groups: list[list[int]] = []
-        for factor in sorted(range(len(self.sizes)), key=lambda f: -self.sizes[f]):
-            for group in groups:
-                if math.prod(self.sizes[f] for f in group) * self.sizes[factor] <= JOINT:
-                    group.append(factor)
-                    break
-            else:
-                groups.append([factor])
-        return groups
-
-    def shape(self, group: list[int]) -> tuple[int, ...]:
-        return tuple(self.sizes[f] for f in group)
-
-    def joint(self, numbers: np.ndarray) -> np.ndarray:
-        """One number per group and row."""
-        found = [np.ravel_multi_index(tuple(numbers[f] for f in group), self.shape(group)) for group in self.groups]
-        most = max(math.prod(self.shape(group)) for group in self.groups)
-        return np.array(found, dtype=np.min_scalar_type(most)).reshape(len(found), numbers.shape[1])
-
     def numbers(self, values: list[np.ndarray]) -> np.ndarray:
         """Numbers of the rows' values, one row per factor; categories come as their places."""
         found = [x.astype(np.int64) if cuts is None else np.searchsorted(np.array(cuts), x) for x, cuts in zip(values, self.cuts)]
@@ -220,22 +194,17 @@ def frame_sums(rows: DataFrame, grid: Grid) -> Sums:
 class TaskRows:
     """A task's rows by the node that they are in; a question divides those of its node only."""
 
-    def __init__(self, joint: np.ndarray, grid: Grid, rows: np.ndarray | None = None):
-        self.joint, self.grid = joint, grid
-        self.rows = {1: np.arange(joint.shape[1]) if rows is None else rows}
+    def __init__(self, numbers: np.ndarray, rows: np.ndarray | None = None):
+        self.numbers = numbers
+        self.rows = {1: np.arange(numbers.shape[1]) if rows is None else rows}
 
     def descend(self, tree: Tree) -> None:
         """Rows go down as far as the tree is grown."""
-        group_of = {f: (g, axis) for g, group in enumerate(self.grid.groups) for axis, f in enumerate(group)}
         todo = [node for node in self.rows if tree.factor[node] >= 0]
         while todo:
             node = todo.pop()
-            factor, row = int(tree.factor[node]), self.rows.pop(node)
-            g, axis = group_of[factor]
-            shape = self.grid.shape(self.grid.groups[g])
-            along = [-1 if i == axis else 1 for i in range(len(shape))]
-            goes = np.broadcast_to(tree.goes[node, : shape[axis]].reshape(along), shape).ravel()
-            left = goes.take(self.joint[g].take(row))
+            row = self.rows.pop(node)
+            left = tree.goes[node].take(self.numbers[tree.factor[node]].take(row))
             for child, own in ((2 * node, left), (2 * node + 1, ~left)):
                 self.rows[child] = row.take(np.flatnonzero(own))  # several times faster than row[own]
                 if tree.factor[child] >= 0:
@@ -243,11 +212,11 @@ class TaskRows:
 
 
 class TaskSums(TaskRows):
-    """Sums of a task's own rows."""
+    """Sums of a task's own rows, added up in their order."""
 
-    def __init__(self, joint: np.ndarray, grid: Grid, gradient: np.ndarray, curvature: np.ndarray):
-        super().__init__(joint, grid, np.flatnonzero(curvature > 0))
-        self.gradient, self.curvature = gradient, curvature
+    def __init__(self, numbers: np.ndarray, grid: Grid, gradient: np.ndarray, curvature: np.ndarray):
+        super().__init__(numbers, np.flatnonzero(curvature > 0))
+        self.grid, self.gradient, self.curvature = grid, gradient, curvature
 
     def __call__(self, tree: Tree, nodes: list[int]) -> np.ndarray:
         self.descend(tree)
@@ -255,15 +224,12 @@ class TaskSums(TaskRows):
         result = np.zeros((3, len(nodes), int(starts[-1])))
         for place, node in enumerate(nodes):
             row = self.rows[node]
-            every = len(row) == self.joint.shape[1]
+            every = len(row) == self.numbers.shape[1]
             weights = [x if every else x.take(row) for x in (self.gradient, self.curvature)]
-            for codes, group in zip(self.joint, self.grid.groups):
-                at, shape = codes if every else codes.take(row), self.grid.shape(group)
+            for numbers, start, end in zip(self.numbers, starts, starts[1:]):
+                at = (numbers if every else numbers.take(row)).astype(np.int64, copy=False)
                 for i, weight in enumerate((*weights, None)):
-                    cube = np.bincount(at, weight, minlength=math.prod(shape)).reshape(shape)
-                    for axis, factor in enumerate(group):
-                        others = tuple(x for x in range(len(shape)) if x != axis)
-                        result[i, place, starts[factor] : starts[factor + 1]] = cube.sum(axis=others)
+                    result[i, place, start:end] = np.bincount(at, weight, minlength=end - start)
         return result
 
 
