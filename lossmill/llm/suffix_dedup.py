@@ -17,7 +17,7 @@ on in the next one: its windows are compared across ranges by their hashes.
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import partial
 
@@ -181,7 +181,8 @@ def _merged(blocks: pa.Table, length: int, bounds: list[bytes]) -> pa.Table:
     left = [x[n + 1 :][::-1] for x, n in zip(texts, size.tolist())]
     before = np.fromiter(map(len, left), dtype=np.int64, count=len(left))
     reverse = reverse_left(left, 1, int(before.max(initial=0)))
-    low_reach = agreement(bounds[target - 1], texts[0]) if target > 0 else 0
+    # What lies below a bound does not begin with all of it.
+    low_reach = min(agreement(bounds[target - 1], texts[0]), len(bounds[target - 1]) - 1) if target > 0 else 0
     high_reach = agreement(bounds[target], texts[-1]) if target < len(bounds) else 0
     found = [(keys[:0], starts[:0])]
     beyond: dict[str, list] = {name: [] for name in ("key", "start", "windows", "high", "low")}
@@ -209,14 +210,29 @@ def _merged(blocks: pa.Table, length: int, bounds: list[bytes]) -> pa.Table:
     return pa.concat_tables([decided, pa.table(beyond, schema=_MARKS)])
 
 
-def _bounds(parts: DataFrame, length: int, rows: int, ranges: int) -> list[bytes]:
+def _bounds(parts: DataFrame, length: int, rows: int, ranges: int, anchor: int) -> list[bytes]:
     """Bounds of the ranges from a sample of a few dozen suffixes for each."""
     if rows <= 1 or ranges <= 1:
         return []
     wanted = 40 * ranges
     sample = parts.select("left", "suffix").sample(min(1.0, 1.5 * wanted / rows), seed=7).limit(2 * wanted).collect()
     strings = sorted(bytes(x["suffix"])[:length] + END + bytes(x["left"])[::-1] for x in sample)
-    return sorted({strings[len(strings) * i // ranges] for i in range(1, ranges)}) if strings else []
+    return spread_bounds(strings, ranges, anchor)
+
+
+def spread_bounds(strings: list[bytes], ranges: int, anchor: int) -> list[bytes]:
+    """Bounds that part sorted strings evenly, but the suffixes of one anchor only where they fill more than a range.
+
+    A bound within an anchor leaves all its windows open (see `_merged`), each a row to be
+    compared; before the anchor it leaves none.
+    """
+    found = set()
+    for i in range(1, ranges) if strings else ():
+        bound = strings[len(strings) * i // ranges]
+        first = bisect_left(strings, bound[:anchor])
+        same = bisect_right(strings, bound[:anchor], first, key=lambda x: x[:anchor]) - first
+        found.add(bound[:anchor] if same * ranges <= len(strings) else bound)
+    return sorted(found)
 
 
 def remove_repeated_bytes(
@@ -235,7 +251,7 @@ def remove_repeated_bytes(
     parts = cut_lineage(contents(docs, settled, "bytes", length, anchor))
     rows = parts.count()
     most = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = _bounds(parts, length, rows, ranges or min(most, -(-rows // RANGE_ROWS)))
+    bounds = _bounds(parts, length, rows, ranges or min(most, -(-rows // RANGE_ROWS)), anchor)
     pieces = parts.mapInArrow(partial(_runs, bounds=bounds, length=length), BLOCK)
 
     def merge(blocks: pa.Table) -> pa.Table:

@@ -4,10 +4,10 @@ import corpus_brute as brute
 import numpy as np
 import pytest
 
-from lossmill.llm import set_join
+from lossmill.llm import set_join, suffix_dedup
 from lossmill.llm.minhash_dedup import near_duplicates, rows_per_band
 from lossmill.llm.substring_dedup import remove_repeated_words
-from lossmill.llm.suffix_dedup import agreement, decode_front, front_code, merge_runs, remove_repeated_bytes
+from lossmill.llm.suffix_dedup import agreement, decode_front, front_code, merge_runs, remove_repeated_bytes, spread_bounds
 from lossmill.llm.textscan import cover, gram_hashes, sliding_min
 
 
@@ -114,3 +114,34 @@ def test_bands_find_pairs_at_the_threshold():
     for percent in (60, 80, 85, 95):
         rows = rows_per_band(percent)
         assert (1 - (percent / 100) ** rows) ** (128 // rows) <= 1e-6
+
+
+def test_an_anchor_is_cut_only_where_it_fills_more_than_a_range():
+    """A cut through an anchor leaves each window of its suffixes as a row to be compared."""
+    few = [b"a" * 64 + b"%03d" % i for i in range(5)]
+    strings = sorted([b"%064d" % i for i in range(45)] + few)
+    assert spread_bounds(strings, 5, 64) == [strings[i][:64] for i in (10, 20, 30, 40)]
+    assert spread_bounds(sorted(strings[:40] + few * 2), 5, 64)[-1] == few[0][:64]
+    crowd = sorted(strings[:20] + [b"a" * 64 + b"%03d" % i for i in range(40)])
+    bounds = spread_bounds(crowd, 6, 64)
+    assert [len(x) for x in bounds] == [64, 67, 67, 67, 67] and bounds == sorted(set(bounds))
+    assert spread_bounds([], 5, 64) == []
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_ranges_with_whole_and_with_cut_anchors_remove_the_same(spark, monkeypatch, whole):
+    """One passage in every document with other words around it; whole anchors leave nothing open."""
+    rng = np.random.default_rng(3)
+    passage = "".join(rng.choice(list("abcdefghij "), 260))
+    texts = ["".join(rng.choice(list("klmnopq "), 150)) + passage + "".join(rng.choice(list("rstuvwx "), 150)) for _ in range(24)]
+    texts += ["".join(rng.choice(list("ABCDEFGH "), 900)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    if not whole:
+        monkeypatch.setattr(suffix_dedup, "spread_bounds", lambda s, n, anchor: sorted({s[len(s) * i // n] for i in range(1, n)}))
+    merged = []
+    real = suffix_dedup.cut_lineage
+    monkeypatch.setattr(suffix_dedup, "cut_lineage", lambda f: merged.append(real(f)) or merged[-1])
+    found = {r["doc_id"]: r["removed"] for r in remove_repeated_bytes(docs, ranges=3).collect()}
+    assert all(found[i] >= 260 if i < 24 else found[i] == 0 for i in range(84))
+    if not whole:
+        assert merged[-1].where("high IS NOT NULL").count() > 24
