@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from ..params import CATEGORY_FACTORS, RATING_FACTORS
 from ..session import shared_folder, ship
-from .trees import MASK_BITS, Grid, TaskRows, TaskSums, Tree, grow, leaf_place
+from .trees import MASK_BITS, Grid, TaskRows, TaskSums, Tree, grow, leaf_place, paired
 
 MISSING_NUMBER = -1.0  # below every rating factor; lets a split single out unknown values
 MISSING_CATEGORY = ""
@@ -363,6 +363,8 @@ class Block:
         bounded = np.clip(self.margin, -MARGIN_LIMIT, MARGIN_LIMIT)
         gradient, curvature = objective.gradients(self.target, self.volume, bounded, np.exp)
         present = self.volume > 0
+        if present.all():
+            return gradient, np.maximum(curvature, TINY)
         return np.where(present, gradient, 0.0), np.where(present, np.maximum(curvature, TINY), 0.0)
 
     def moved(self, rows: dict[int, np.ndarray], steps: np.ndarray) -> Block:
@@ -378,15 +380,16 @@ def _block(batches: Iterable[pa.RecordBatch], grid: Grid, model: BoostedTrees) -
     width, held = len(RATING_FACTORS), [pa.table(batch) for batch in batches]
     if not held:
         return Block(np.zeros((width, 0), dtype=np.int64), *[np.zeros(0)] * 3)
-    table = pa.concat_tables(held).sort_by([(name, "ascending") for name in RATING_FACTORS])
-    columns = [c.combine_chunks() for c in table.columns]
+    columns = [c.combine_chunks() for c in pa.concat_tables(held).columns]
     values = [
         c.to_numpy(zero_copy_only=False) if labels is None else places(c, labels)
         for c, labels in zip(columns[:width], grid.labels)
     ]
-    target, volume = (c.to_numpy(zero_copy_only=False).astype(np.float64) for c in columns[width:])
-    numbers = grid.numbers(values).astype(np.min_scalar_type(max(grid.sizes)))
-    return Block(numbers, target, volume, model.margins(model.codes(columns[:width])))
+    # The names of a category are in order, so their places sort like them.
+    order = np.lexsort(values[::-1])
+    target, volume = (c.to_numpy(zero_copy_only=False).astype(np.float64).take(order) for c in columns[width:])
+    numbers = grid.numbers(values).astype(np.min_scalar_type(max(grid.sizes))).take(order, axis=1)
+    return Block(numbers, target, volume, model.margins(model.codes(columns[:width])).take(order))
 
 
 def _grown(sums: Callable, grid: Grid, params: Boosting) -> Tree:
@@ -398,8 +401,9 @@ def _train(
 ) -> Iterator[pa.RecordBatch]:
     """The rounds of one job on the cells of its one task."""
     block, rows = _block(batches, grid, model), []
+    pairs = paired(block.numbers, grid)
     for turn in range(model.rounds + 1, upto + 1):
-        sums = TaskSums(block.numbers, grid, *block.graded(objective))
+        sums = TaskSums(block.numbers, grid, *block.graded(objective), pairs)
         tree = _grown(sums, grid, params)
         if tree.sums[1, 1] <= 0:
             break

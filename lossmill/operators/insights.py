@@ -107,13 +107,21 @@ def train_models(
     fits = {"frequency": (fit_frequency, frequency), "severity": (fit_severity, severity), "trigger": (fit_trigger, trigger)}
     # The models differ in their sums, not in the values of the factors.
     grids = {bins: bt.fitted_grid(cells, params) for bins, params in {p.bins: p for _, p in fits.values()}.items()}
-    calls = [
-        partial(fit, cells, params, saved=(saved or {}).get(name), save=partial(save, name), grid=grids[params.bins])
-        for name, (fit, params) in fits.items()
-    ]
-    bound = map(inheritable_thread_target(cells.sparkSession), calls)
-    with ThreadPoolExecutor(len(calls)) as pool:
-        return dict(zip(fits, pool.map(lambda fit: fit(), bound)))
+    bind, saves = inheritable_thread_target(cells.sparkSession), []
+    # A model's next rounds do not wait for its last ones to be written.
+    with ThreadPoolExecutor(len(fits)) as pool, ThreadPoolExecutor(1) as writer:
+
+        def save_later(name: str, rows: DataFrame) -> None:
+            saves.append(writer.submit(bind(partial(save, name, rows))))
+
+        calls = [
+            partial(fit, cells, params, saved=(saved or {}).get(name), save=partial(save_later, name), grid=grids[params.bins])
+            for name, (fit, params) in fits.items()
+        ]
+        trained = dict(zip(fits, pool.map(lambda fit: fit(), map(bind, calls))))
+        for done in saves:
+            done.result()
+        return trained
 
 
 def frequency_count() -> Column:

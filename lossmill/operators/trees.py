@@ -10,14 +10,19 @@ adds up its own rows, all of them or those of its block, or Spark aggregates a f
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Leaves of a tree up to which a set of them is one number.
 MASK_BITS = 64
+#: Rows for each number of two factors together from which a node's sums are formed for both in one.
+ROWS_PER_PAIR = 16
 
 
 @dataclass(frozen=True)
@@ -35,23 +40,22 @@ class Grid:
         Where it has more than `most` values, cut between approximate percentiles of
         all rows; `most=None` cuts between all of them, however many there are.
         """
-        labels: list[tuple[str, ...] | None] = []
-        cuts: list[tuple[float, ...] | None] = []
-        for name in columns:
+
+        def of(name: str) -> tuple[tuple[str, ...] | None, tuple[float, ...] | None]:
             different = rows.select(name).distinct().orderBy(name)
             if name in categories:
-                labels.append(tuple(r[0] for r in different.collect()))
-                cuts.append(None)
-                continue
+                return tuple(r[0] for r in different.collect()), None
             values = [r[0] for r in (different if most is None else different.limit(most + 1)).collect()]
-            labels.append(None)
             if most is None or len(values) <= most:
-                cuts.append(tuple((a + b) / 2 for a, b in zip(values, values[1:])))
-                continue
+                return None, tuple((a + b) / 2 for a, b in zip(values, values[1:]))
             shares = [i / most for i in range(1, most)]
             found = rows.agg(F.percentile_approx(name, shares, 100 * most)).first()[0]
-            cuts.append(tuple(sorted(set(found))))
-        return cls(tuple(columns), tuple(labels), tuple(cuts))
+            return None, tuple(sorted(set(found)))
+
+        # The factors' jobs are small and wait for each other only in the driver.
+        with ThreadPoolExecutor(len(columns)) as pool:
+            labels, cuts = zip(*pool.map(inheritable_thread_target(rows.sparkSession)(of), columns))
+        return cls(tuple(columns), labels, cuts)
 
     @property
     def sizes(self) -> tuple[int, ...]:
@@ -63,6 +67,13 @@ class Grid:
         """Where a factor's numbers begin in a histogram of all factors."""
         return np.cumsum([0, *self.sizes])
 
+    @cached_property
+    def pairs(self) -> list[tuple[int, int]]:
+        """The factors two by two, the largest with the smallest; of an odd number one is left alone."""
+        order = np.argsort(self.sizes, kind="stable").tolist()
+        half = len(order) // 2
+        return list(zip(order[:half], reversed(order[-half:]))) if half else []
+
     def numbers(self, values: list[np.ndarray]) -> np.ndarray:
         """Numbers of the rows' values, one row per factor; categories come as their places."""
         found = [x.astype(np.int64) if cuts is None else np.searchsorted(np.array(cuts), x) for x, cuts in zip(values, self.cuts)]
@@ -212,27 +223,51 @@ class TaskRows:
 
 
 class TaskSums(TaskRows):
-    """Sums of a task's own rows, added up in their order."""
+    """Sums of a task's own rows, added up in their order; in nodes of many rows by two factors together.
 
-    def __init__(self, numbers: np.ndarray, grid: Grid, gradient: np.ndarray, curvature: np.ndarray):
+    `paired`: the numbers of the grid's pairs of factors, where they are known (see `paired`).
+    """
+
+    def __init__(
+        self, numbers: np.ndarray, grid: Grid, gradient: np.ndarray, curvature: np.ndarray, paired: list[np.ndarray] | None = None
+    ):
         super().__init__(numbers, np.flatnonzero(curvature > 0))
-        self.grid, self.gradient, self.curvature = grid, gradient, curvature
+        self.grid, self.gradient, self.curvature, self.paired = grid, gradient, curvature, paired
 
     def __call__(self, tree: Tree, nodes: list[int]) -> np.ndarray:
         self.descend(tree)
-        starts = self.grid.starts
+        starts, sizes = self.grid.starts, self.grid.sizes
         result = np.zeros((3, len(nodes), int(starts[-1])))
         for place, node in enumerate(nodes):
             row = self.rows[node]
             every = len(row) == self.numbers.shape[1]
             weights = [x if every else x.take(row) for x in (self.gradient, self.curvature)]
-            for numbers, start, end in zip(self.numbers, starts, starts[1:]):
-                at = (numbers if every else numbers.take(row)).astype(np.int64, copy=False)
+            alone = range(len(sizes))
+            if self.paired is not None and len(row) >= ROWS_PER_PAIR * max(sizes[a] * sizes[b] for a, b in self.grid.pairs):
+                alone = [f for f in alone if not any(f in pair for pair in self.grid.pairs)]
+                for (a, b), numbers in zip(self.grid.pairs, self.paired):
+                    at = (numbers if every else numbers.take(row)).astype(np.int64, copy=False)
+                    for i, weight in enumerate((*weights, None)):
+                        both = np.bincount(at, weight, minlength=sizes[a] * sizes[b]).reshape(sizes[a], sizes[b])
+                        result[i, place, starts[a] : starts[a + 1]] = both.sum(axis=1)
+                        result[i, place, starts[b] : starts[b + 1]] = both.sum(axis=0)
+            for f in alone:
+                at = (self.numbers[f] if every else self.numbers[f].take(row)).astype(np.int64, copy=False)
                 for i, weight in enumerate((*weights, None)):
-                    result[i, place, start:end] = np.bincount(at, weight, minlength=end - start)
+                    result[i, place, starts[f] : starts[f + 1]] = np.bincount(at, weight, minlength=sizes[f])
         return result
 
 
+def paired(numbers: np.ndarray, grid: Grid) -> list[np.ndarray] | None:
+    """Numbers of every pair of factors; None where no node can have rows enough for them."""
+    sizes = grid.sizes
+    most = max((sizes[a] * sizes[b] for a, b in grid.pairs), default=0)
+    if not most or numbers.shape[1] < ROWS_PER_PAIR * most:
+        return None
+    kind = np.min_scalar_type(most)
+    return [numbers[a].astype(kind) * kind.type(sizes[b]) + numbers[b] for a, b in grid.pairs]
+
+
 def _best_splits(sums: np.ndarray, ordered: bool, penalty: float, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Gain of each node's best split by one factor, and which numbers go left; categories go by their ratio."""
     g, h, n = sums

@@ -68,7 +68,8 @@ def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
     key = (spark.sparkContext.applicationId, folder)
     with _building:
         if key not in _stored:
-            store = Warehouse(spark, scratch_path(spark, "warehouse"), prefix=f"w{uuid.uuid4().hex}_")
+            buckets = tables.fitting_buckets(spark, [f"{folder}/{name}.parquet" for name in ("orders", "lineitem")])
+            store = Warehouse(spark, scratch_path(spark, "warehouse"), buckets, prefix=f"w{uuid.uuid4().hex}_")
             _stored[key] = store.build(_portfolio(spark, folder))
         return _stored[key]
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -9,6 +10,18 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Stored input per bucket: a task for less costs more than its rows.
+BUCKET_BYTES = 2 << 20
+
+
+def fitting_buckets(spark: SparkSession, paths: list[str]) -> int:
+    """Buckets for tables made of the given files: one per `BUCKET_BYTES` or core, and not more than shuffle partitions."""
+    folders = [spark._jvm.org.apache.hadoop.fs.Path(path) for path in paths]
+    stored = sum(p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength() for p in folders)
+    wanted = max(math.ceil(stored / BUCKET_BYTES), spark.sparkContext.defaultParallelism)
+    return min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def write_table(
     frame: DataFrame,
     name: str,

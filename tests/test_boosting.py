@@ -392,3 +392,35 @@ def test_three_models_share_one_grid_and_train_alone(prepared, monkeypatch):
     insights.train_models(prepared.cells, *few)
     assert len(fitted) == 1
     assert bt._tasks(prepared.cells.sparkSession, 829_035) == 1
+
+
+def test_sums_by_pairs_of_factors_equal_those_by_single_ones():
+    rng = np.random.default_rng(3)
+    n = 4_000
+    sizes = (3, 5, 4, 6, 9, 4)
+    labels = [tuple("abcdefgh"[: s - 1]) if name in bt.CATEGORY_FACTORS else None for name, s in zip(bt.RATING_FACTORS, sizes)]
+    cuts = [None if of else tuple(range(s - 1)) for of, s in zip(labels, sizes)]
+    grid = trees.Grid(bt.RATING_FACTORS, tuple(labels), tuple(cuts))
+    assert grid.sizes == sizes
+    numbers = np.array([rng.integers(0, s, n) for s in sizes]).astype(np.uint8)
+    gradient, curvature = rng.integers(-9, 9, n).astype(float), rng.integers(1, 9, n).astype(float)
+    pairs = trees.paired(numbers, grid)
+    assert len(pairs) == 3
+    plain = bt._grown(trees.TaskSums(numbers, grid, gradient, curvature), grid, bt.Boosting(rounds=1, depth=4))
+    tree = bt._grown(trees.TaskSums(numbers, grid, gradient, curvature, pairs), grid, bt.Boosting(rounds=1, depth=4))
+    assert (tree.factor == plain.factor).all() and (tree.goes == plain.goes).all() and (tree.sums == plain.sums).all()
+    # Few rows are not worth a table of pairs.
+    assert trees.paired(numbers[:, :100], grid) is None
+
+
+def test_stored_trees_of_side_by_side_models_are_those_returned(prepared):
+    saved = {}
+    brief = bt.Boosting(rounds=3, depth=2, rounds_per_job=1)
+    models = insights.train_models(prepared.cells, brief, brief, brief, save=lambda name, rows: saved.setdefault(name, []).extend(map(tuple, rows.collect())))
+    assert {name: model.rows for name, model in models.items()} == saved
+
+    def fails(name, rows):
+        raise RuntimeError("disk full")
+
+    with pytest.raises(RuntimeError, match="disk full"):
+        insights.train_models(prepared.cells, brief, brief, brief, save=fails)

@@ -7,6 +7,7 @@ from lossmill.operators import boosting as bt
 from lossmill.operators import mart, star
 from lossmill.params import Leakage
 from lossmill.plans.warehouse import MONTHLY_VIEW, Settings, Warehouse
+from lossmill.sources import tables
 
 
 @pytest.fixture
@@ -120,3 +121,18 @@ def test_cut_lineage_keeps_rows_and_column_metadata(spark):
     cut = session.cut_lineage(frame)
     assert cut.schema["x"].metadata == {"kind": "k"}
     assert sorted(cut.collect()) == sorted(frame.collect())
+
+
+def test_buckets_follow_the_stored_input(spark, tmp_path, monkeypatch):
+    spark.range(50_000).write.parquet(f"{tmp_path}/a")
+    stored = sum(p.stat().st_size for p in tmp_path.rglob("*.parquet"))
+    cores, shuffled = spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert tables.fitting_buckets(spark, [f"{tmp_path}/a"]) == cores
+        monkeypatch.setattr(tables, "BUCKET_BYTES", stored // 20)
+        assert 20 <= tables.fitting_buckets(spark, [f"{tmp_path}/a"]) < 30
+        monkeypatch.setattr(tables, "BUCKET_BYTES", 1)
+        assert tables.fitting_buckets(spark, [f"{tmp_path}/a"]) == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffled))
