@@ -170,7 +170,8 @@ def _open_links(texts: DataFrame, rows: DataFrame, length: int, fold_case: bool,
     ).select(F.col("x.key").alias("centre"), F.col("y.key").alias("key"))
     stars = cut_lineage(_group_stars(large, percent))
     sets = stored_sets(texts.join(rows.select("key").distinct(), "key"), length, fold_case)
-    return [compared_pairs(pairs, sets, percent), *around_centres(stars, sets, percent)]
+    placed = cut_lineage(large.select("key", "component").distinct())
+    return [compared_pairs(pairs, sets, percent), *around_centres(stars, sets, placed, percent)]
 
 
 def _group_stars(large: DataFrame, percent: int) -> DataFrame:

@@ -91,3 +91,37 @@ def test_buckets_that_hang_together_have_one_centre(spark):
         for b in sizes:
             if 100 * min(sizes[a], sizes[b]) >= 85 * max(sizes[a], sizes[b]):
                 assert of[a] & of[b]
+
+
+def test_sets_connected_already_need_no_common_difference(spark):
+    def differences(*tokens):
+        return np.array(sorted(tokens), dtype=np.uint64).tobytes()
+
+    own = {1: range(2), 2: range(10, 40), 3: range(20, 50), 4: range(30, 60)}
+    rows = spark.createDataFrame([(0, key, 100, differences(*tokens)) for key, tokens in own.items()], set_join.ROWS)
+    placed = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (4, 4)], "key long, component long")
+
+    def outer(*placing):
+        return {r.key for r in set_join._bounded(rows, 80, *placing)[0].where("outer").collect()}
+
+    assert outer() == {2, 3, 4}
+    # Of 2, 3 and 4 only the last one can bring a new link.
+    assert outer(placed) == {4}
+
+
+def test_links_around_a_centre_connect_what_is_not_connected(spark, table):
+    docs = relatives(9, 120, (1, 2, 6, 7))
+    want = brute.components(docs, 3, 90)
+    texts = table(docs.items()).selectExpr("doc_id AS key", "text")
+    sets = set_join.stored_sets(texts.repartition("key"), 3, True)
+    stars = texts.selectExpr("0L AS centre", "key")
+    # Half of each component is connected before.
+    placing = {key: want[key][1] if key % 2 else key for key in docs}
+    placed = spark.createDataFrame(list(placing.items()), "key long, component long")
+    links = [tuple(r) for found in set_join.around_centres(stars, sets, placed, 90, crowd=8) for r in found.collect()]
+    links += list(placing.items()) + [(0, key) for key in docs if want[key][1] == want[0][1] and brute.components({0: docs[0], key: docs[key]}, 3, 90)[key][1] == 0]
+    label = {key: key for key in docs}
+    for _ in docs:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    assert label == {key: component for key, (_, component) in want.items()}
