@@ -15,10 +15,10 @@ BUCKET_BYTES = 2 << 20
 
 
 def fitting_buckets(spark: SparkSession, paths: list[str]) -> int:
-    """Buckets for tables made of the given files: one per `BUCKET_BYTES` or core, and not more than shuffle partitions."""
+    """Buckets for tables made of the given files: one per `BUCKET_BYTES`, two per core at least, and not more than shuffle partitions."""
     folders = [spark._jvm.org.apache.hadoop.fs.Path(path) for path in paths]
     stored = sum(p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength() for p in folders)
-    wanted = max(math.ceil(stored / BUCKET_BYTES), spark.sparkContext.defaultParallelism)
+    wanted = max(math.ceil(stored / BUCKET_BYTES), 2 * spark.sparkContext.defaultParallelism)
     return min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 

@@ -394,7 +394,8 @@ def test_three_models_share_one_grid_and_train_alone(prepared, monkeypatch):
     assert bt._tasks(prepared.cells.sparkSession, 829_035) == 1
 
 
-def test_sums_by_pairs_of_factors_equal_those_by_single_ones():
+def test_sums_by_pairs_of_factors_equal_those_by_single_ones(monkeypatch):
+    monkeypatch.setattr(trees, "LEAST_PAIRED", 1_000)
     rng = np.random.default_rng(3)
     n = 4_000
     sizes = (3, 5, 4, 6, 9, 4)

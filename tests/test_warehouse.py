@@ -129,7 +129,7 @@ def test_buckets_follow_the_stored_input(spark, tmp_path, monkeypatch):
     cores, shuffled = spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.conf.set("spark.sql.shuffle.partitions", "200")
     try:
-        assert tables.fitting_buckets(spark, [f"{tmp_path}/a"]) == cores
+        assert tables.fitting_buckets(spark, [f"{tmp_path}/a"]) == 2 * cores
         monkeypatch.setattr(tables, "BUCKET_BYTES", stored // 20)
         assert 20 <= tables.fitting_buckets(spark, [f"{tmp_path}/a"]) < 30
         monkeypatch.setattr(tables, "BUCKET_BYTES", 1)
