@@ -2,6 +2,7 @@ import random
 
 import corpus_brute as brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,3 +126,31 @@ def test_links_around_a_centre_connect_what_is_not_connected(spark, table):
         for a, b in links:
             label[a] = label[b] = min(label[a], label[b])
     assert label == {key: component for key, (_, component) in want.items()}
+
+
+def test_sets_are_not_stored(table, spark, tmp_path, monkeypatch):
+    rng = random.Random(9)
+    docs = {i: " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(100)}" for _ in range(400)) for i in range(300)}
+    monkeypatch.setattr(set_join, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    frame = similar_sets(table(docs.items()), length=3, percent=90)
+    assert frame.count() == len(docs)
+    stored = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    # Hashes of shingles take 8 bytes each.
+    assert 0 < stored < frame.agg(F.sum("n_shingles")).first()[0] * 4
+
+
+def test_sets_of_repeated_rows(spark, monkeypatch):
+    """A key's rows that follow each other share a set, however many tokens a piece may hold."""
+    texts = {1: "a b c d e f", 2: "", 3: "a b", 4: "c d e f a b c", 5: None}
+    rows = [(n, key, texts[key]) for n, key in enumerate([1, 1, 1, 2, 2, 3, 4, 4, 5, 1])]
+    stored = set_join.StoredTexts(spark.createDataFrame(rows, "n int, key long, text string").coalesce(1), 3, True)
+    for piece in (1 << 20, 5, 1):
+        monkeypatch.setattr(set_join, "PIECE", piece)
+        batches = [pa.RecordBatch.from_pydict(dict(zip(("n", "key", "text"), map(list, zip(*rows)))))]
+        made = [r for b in set_join._formed(iter(batches), 3, True) for r in b.to_pylist()]
+        assert [(r["n"], r["key"]) for r in made] == [r[:2] for r in rows]
+        assert [r["size"] for r in made] == [4, 4, 4, 0, 0, 1, 5, 5, 0, 4]
+        assert all(len(r["tokens"]) == 8 * r["size"] for r in made)
+        assert made[0]["tokens"] == made[2]["tokens"] == made[-1]["tokens"] != made[6]["tokens"]
+    found = stored.formed(stored.rows).collect()
+    assert [(r.n, r.size) for r in found] == [(r["n"], r["size"]) for r in made]
