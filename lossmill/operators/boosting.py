@@ -8,10 +8,10 @@ rows; the cells are as many as combinations occur, which for a portfolio much la
 than its tariff is the size of the tariff.
 
 Few cells are trained on in one task, which returns the trees of many rounds at once.
-Otherwise the cells lie as arrays in a persisted RDD, and a level of a tree is a short
-job over it that sends back nothing but histograms, whose size depends on the tree and
-the factors. Trees are rows. The next rounds, on whatever executors, start from those
-rows, and so does a training that was interrupted.
+Otherwise the cells lie as arrays in a persisted RDD for the whole training, several factors in one
+code, and a level of a tree is a short job over it that sends back nothing but histograms,
+whose size depends on the tree and the factors. Trees are rows, from which a training that
+was interrupted goes on.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from ..params import CATEGORY_FACTORS, RATING_FACTORS
 from ..session import shared_folder, ship
-from .trees import MASK_BITS, Grid, TaskRows, TaskSums, Tree, grow, leaf_place, paired
+from .trees import MASK_BITS, Grid, Reached, TaskSums, Tree, code_sums, grow, leaf_place, paired
 
 MISSING_NUMBER = -1.0  # below every rating factor; lets a split single out unknown values
 MISSING_CATEGORY = ""
@@ -47,7 +47,7 @@ POISSON_STEP_LIMIT = 0.7
 #: a tree costs more than the sums of so many cells.
 CELLS_ALONE = 1_000_000
 #: Beyond that, cells that one task is meant for, and those that are worth a task of their own.
-CELLS_PER_TASK, LEAST_CELLS = 500_000, 250_000
+CELLS_PER_TASK, LEAST_CELLS = 1_000_000, 250_000
 
 #: Rounds between two written states of the margins.
 ROUNDS_PER_TABLE = 10
@@ -329,15 +329,8 @@ def boost(
     cells = cells.select(*RATING_FACTORS, target, volume).where(F.col(volume) > 0)
     tasks = tasks or _tasks(spark, cells.count())
     cells = cells.repartition(tasks, *RATING_FACTORS)
-    while model.rounds < params.rounds:
-        upto = min(params.rounds, model.rounds + params.rounds_per_job)
-        if tasks == 1:
-            train = partial(_train, grid=grid, objective=objective, params=params, model=model, upto=upto)
-            rows = [tuple(r) for r in cells.mapInArrow(train, NODES).collect()]
-        else:
-            rows = _train_by_levels(cells, grid, objective, params, model, upto)
-        if not rows:
-            break  # no cell to learn from
+    train = _train_alone if tasks == 1 else _train_by_levels
+    for rows in train(cells, grid, objective, params, model):
         save(spark.createDataFrame(rows, NODES))
         model = BoostedTrees(model.rows + rows)
     return model
@@ -351,9 +344,9 @@ def _tasks(spark: SparkSession, cells: int) -> int:
 
 @dataclass
 class Block:
-    """Cells of a task: numbers of their factors, sums and margins."""
+    """Cells of a task: numbers of their factors (or their codes, see `Grid.codes`), sums and margins."""
 
-    numbers: np.ndarray
+    numbers: np.ndarray | list[np.ndarray]
     target: np.ndarray
     volume: np.ndarray
     margin: np.ndarray
@@ -367,6 +360,9 @@ class Block:
             return gradient, np.maximum(curvature, TINY)
         return np.where(present, gradient, 0.0), np.where(present, np.maximum(curvature, TINY), 0.0)
 
+    def graded_rows(self, row: np.ndarray, objective: Objective) -> tuple[np.ndarray, np.ndarray]:
+        return Block([], self.target.take(row), self.volume.take(row), self.margin.take(row)).graded(objective)
+
     def moved(self, rows: dict[int, np.ndarray], steps: np.ndarray) -> Block:
         """The cells after one more tree, given the rows of its leaves."""
         margin = self.margin.copy()
@@ -417,9 +413,19 @@ def _train(
         yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows), kinds)], names)
 
 
-def _train_by_levels(
-    cells: DataFrame, grid: Grid, objective: Objective, params: Boosting, model: BoostedTrees, upto: int
-) -> list[tuple]:
+def _train_alone(cells: DataFrame, grid: Grid, objective: Objective, params: Boosting, model: BoostedTrees) -> Iterator[list[tuple]]:
+    """Rows of every `rounds_per_job` rounds, trained by one task."""
+    while model.rounds < params.rounds:
+        upto = min(params.rounds, model.rounds + params.rounds_per_job)
+        train = partial(_train, grid=grid, objective=objective, params=params, model=model, upto=upto)
+        rows = [tuple(r) for r in cells.mapInArrow(train, NODES).collect()]
+        if not rows:
+            return  # no cell to learn from
+        yield rows
+        model = BoostedTrees(model.rows + rows)
+
+
+def _train_by_levels(cells: DataFrame, grid: Grid, objective: Objective, params: Boosting, model: BoostedTrees) -> Iterator[list[tuple]]:
     """The same rounds, every level of a tree a job over blocks that are held as arrays."""
     context = cells.sparkSession.sparkContext
     if not context.getCheckpointDir():
@@ -427,7 +433,7 @@ def _train_by_levels(
     packed = cells.mapInArrow(partial(_packed, grid=grid, model=model), "block binary")
     state = packed.rdd.map(_unpacked).persist(StorageLevel.MEMORY_AND_DISK)
     rows, before = [], []
-    for turn in range(model.rounds + 1, upto + 1):
+    for turn in range(model.rounds + 1, params.rounds + 1):
         if turn % ROUNDS_PER_TABLE == 0:
             state.checkpoint()
         tree = _grown(_level_sums(state, grid, objective), grid, params)
@@ -438,26 +444,34 @@ def _train_by_levels(
             break
         steps = _steps(tree, objective, params)
         rows += node_rows(turn, tree, steps, grid)
-        state = state.map(partial(_moved, tree=tree, steps=steps)).persist(StorageLevel.MEMORY_AND_DISK)
+        if (turn - model.rounds) % params.rounds_per_job == 0:
+            yield rows
+            rows = []
+        state = state.map(partial(_moved, grid=grid, tree=tree, steps=steps)).persist(StorageLevel.MEMORY_AND_DISK)
     for old in before:
         old.unpersist()
-    return rows
+    if rows:
+        yield rows
 
 
 def _packed(batches: Iterator[pa.RecordBatch], grid: Grid, model: BoostedTrees) -> Iterator[pa.RecordBatch]:
     block = _block(batches, grid, model)
-    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block)], pa.binary())], ["block"])
+    there = np.flatnonzero(block.volume > 0)
+    block = Block(grid.codes(block.numbers.take(there, axis=1)), *(x.take(there) for x in (block.target, block.volume, block.margin)))
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block, pickle.HIGHEST_PROTOCOL)], pa.binary())], ["block"])
 
 
 def _unpacked(row: tuple) -> Block:
     return pickle.loads(row[0])
 
 
-def _moved(block: Block, tree: Tree, steps: np.ndarray) -> Block:
+def _moved(block: Block, grid: Grid, tree: Tree, steps: np.ndarray) -> Block:
     """The cells after one more tree."""
-    rows = TaskRows(block.numbers)
-    rows.descend(tree)
-    return block.moved(rows.rows, steps)
+    margin = block.margin.copy()
+    for part in Reached.in_parts(grid, tree, tree.ends()):
+        for row, place in part.pieces(block.numbers):
+            margin[row] += steps[part.nodes].take(place)
+    return Block(block.numbers, block.target, block.volume, margin)
 
 
 def _level_sums(state: RDD, grid: Grid, objective: Objective) -> Callable:
@@ -471,7 +485,7 @@ def _level_sums(state: RDD, grid: Grid, objective: Objective) -> Callable:
 
 
 def _own_sums(block: Block, grid: Grid, objective: Objective, tree: Tree, nodes: list[int]) -> np.ndarray:
-    return TaskSums(block.numbers, grid, *block.graded(objective))(tree, nodes)
+    return code_sums(block.numbers, grid, partial(block.graded_rows, objective=objective), tree, nodes)
 
 
 def node_rows(turn: int, tree: Tree, steps: np.ndarray, grid: Grid) -> list[tuple]:

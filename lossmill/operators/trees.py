@@ -9,7 +9,8 @@ adds up its own rows, all of them or those of its block, or Spark aggregates a f
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
@@ -25,6 +26,10 @@ MASK_BITS = 64
 ROWS_PER_PAIR = 16
 #: Rows of a task from which that is done; the sums of fewer take little time in any way, and keep their order.
 LEAST_PAIRED = 100_000
+#: Numbers of several factors together up to which they are one code.
+MOST_CODES = 1 << 15
+#: Rows that are looked at together.
+PIECE = 1 << 15
 
 
 @dataclass(frozen=True)
@@ -76,6 +81,31 @@ class Grid:
         half = len(order) // 2
         return list(zip(order[:half], reversed(order[-half:]))) if half else []
 
+    @cached_property
+    def groups(self) -> list[list[int]]:
+        """The factors in as few groups as can be, so that a group's numbers together are at most `MOST_CODES`, unless it is one factor."""
+        order = sorted(range(len(self.sizes)), key=lambda f: -self.sizes[f])
+        for count in range(1, len(order) + 1):
+            groups, products = [[] for _ in range(count)], [1] * count
+            for f in order:
+                at = products.index(min(products))
+                groups[at].append(f)
+                products[at] *= self.sizes[f]
+            if max(products) <= MOST_CODES:
+                return groups
+        return [[f] for f in order]
+
+    def shape(self, group: list[int]) -> tuple[int, ...]:
+        return tuple(self.sizes[f] for f in group)
+
+    def codes(self, numbers: np.ndarray) -> list[np.ndarray]:
+        """For each group one code of the numbers of its factors."""
+        found = []
+        for group in self.groups:
+            code = np.ravel_multi_index([numbers[f].astype(np.int64) for f in group], self.shape(group))
+            found.append(code.astype(np.min_scalar_type(math.prod(self.shape(group)))))
+        return found
+
     def numbers(self, values: list[np.ndarray]) -> np.ndarray:
         """Numbers of the rows' values, one row per factor; categories come as their places."""
         found = [x.astype(np.int64) if cuts is None else np.searchsorted(np.array(cuts), x) for x, cuts in zip(values, self.cuts)]
@@ -129,6 +159,10 @@ class Tree:
             open_ &= mask.take(own)
         return np.concatenate([np.zeros(1023, dtype=np.int64), ends]).take(leaf_place(open_))
 
+    def ends(self) -> list[int]:
+        """The leaves as far as the tree is grown."""
+        return self._ends(1)
+
     def _ends(self, node: int) -> list[int]:
         """The leaves below a node from left to right."""
         return [node] if self.factor[node] < 0 else [*self._ends(2 * node), *self._ends(2 * node + 1)]
@@ -260,6 +294,82 @@ class TaskSums(TaskRows):
         return result
 
 
+class Reached:
+    """Some nodes of a tree, none below another and at most `MASK_BITS`, and which rows get to them by their codes.
+
+    A code of a group leaves some nodes open; a row is in the one that all its codes do,
+    so that no row has to walk down.
+    """
+
+    def __init__(self, grid: Grid, tree: Tree, nodes: list[int]):
+        self.nodes, every = nodes, (1 << len(nodes)) - 1
+        kind = np.min_scalar_type(every)
+        masks = [np.full(size, every, dtype=kind) for size in grid.sizes]
+        for i, node in enumerate(nodes):
+            while node > 1:
+                asked = tree.factor[node >> 1]
+                goes = tree.goes[node >> 1, : grid.sizes[asked]]
+                masks[asked][~goes if node % 2 == 0 else goes] &= kind.type(every ^ (1 << i))
+                node >>= 1
+        self.tables = []
+        for group in grid.groups:
+            table = masks[group[0]]
+            for f in group[1:]:
+                table = np.bitwise_and.outer(table, masks[f])
+            self.tables.append(table.reshape(-1))
+
+    def pieces(self, codes: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray | int]]:
+        """Some rows and the places of their nodes, `PIECE` rows after the other: what is made of so many stays in the cache."""
+        for first in range(0, len(codes[0]), PIECE):
+            if self.nodes == [1]:
+                yield np.arange(first, min(first + PIECE, len(codes[0]))), 0
+                continue
+            open_ = self.tables[0].take(codes[0][first : first + PIECE])
+            for table, code in zip(self.tables[1:], codes[1:]):
+                open_ &= table.take(code[first : first + PIECE])
+            row = np.flatnonzero(open_)
+            yield row + first, leaf_place(open_.take(row)) - 1023 if len(self.nodes) > 1 else 0
+
+    @classmethod
+    def in_parts(cls, grid: Grid, tree: Tree, nodes: list[int]) -> Iterator[Reached]:
+        return (cls(grid, tree, nodes[i : i + MASK_BITS]) for i in range(0, len(nodes), MASK_BITS))
+
+
+def code_sums(codes: list[np.ndarray], grid: Grid, graded: Callable, tree: Tree, nodes: list[int]) -> np.ndarray:
+    """Sums of rows given by their codes; `graded`: gradient and curvature of some rows.
+
+    Where there are enough rows they are added up by code and node, which gives the sums of
+    all factors of a group at once.
+    """
+    result, done, many = np.zeros((3, len(nodes), int(grid.starts[-1]))), 0, len(codes[0])
+    for part in Reached.in_parts(grid, tree, nodes):
+        places, weights, used = [np.empty(many, dtype=np.int64) for _ in codes], np.empty((2, many)), 0
+        sizes = [math.prod(grid.shape(group)) for group in grid.groups]
+        for row, place in part.pieces(codes):
+            for at, code, size in zip(places, codes, sizes):
+                at[used : used + len(row)] = code.take(row) + place * size
+            weights[:, used : used + len(row)] = graded(row)
+            used += len(row)
+        count = len(part.nodes)
+        held, weights = result[:, done : done + count], [*weights[:, :used], None]
+        done += count
+        for group, at, size in zip(grid.groups, places, sizes):
+            at, shape = at[:used], (count, *grid.shape(group))
+            if used >= count * size:
+                for i, weight in enumerate(weights):
+                    sums = np.bincount(at, weight, minlength=count * size).reshape(shape)
+                    for own, f in enumerate(group):
+                        rest = tuple(k + 1 for k in range(len(group)) if k != own)
+                        held[i, :, grid.starts[f] : grid.starts[f + 1]] = sums.sum(axis=rest)
+                continue
+            place, *numbers = np.unravel_index(at, shape)
+            for number, f in zip(numbers, group):
+                for i, weight in enumerate(weights):
+                    sums = np.bincount(place * grid.sizes[f] + number, weight, minlength=count * grid.sizes[f])
+                    held[i, :, grid.starts[f] : grid.starts[f + 1]] = sums.reshape(count, -1)
+    return result
+
+
 def paired(numbers: np.ndarray, grid: Grid) -> list[np.ndarray] | None:
     """Numbers of every pair of factors; None where no node can have rows enough for them."""
     sizes = grid.sizes

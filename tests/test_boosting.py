@@ -425,3 +425,45 @@ def test_stored_trees_of_side_by_side_models_are_those_returned(prepared):
 
     with pytest.raises(RuntimeError, match="disk full"):
         insights.train_models(prepared.cells, brief, brief, brief, save=fails)
+
+
+@pytest.mark.parametrize("most, n", [(1 << 15, 4_000), (500, 4_000), (1, 4_000), (1 << 15, 50)])
+def test_sums_and_leaves_by_codes_equal_those_by_numbers(monkeypatch, most, n):
+    """Few or many factors in a code, more and fewer rows than codes, and more leaves than a mask holds."""
+    monkeypatch.setattr(trees, "MOST_CODES", most)
+    monkeypatch.setattr(trees, "PIECE", 700)
+    rng = np.random.default_rng(most)
+    sizes = (5, 12, 20, 7)
+    labels = (tuple("abcd"), None, None, None)
+    grid = trees.Grid(tuple("wxyz"), labels, (None, *(tuple(np.arange(s - 1) + 0.5) for s in sizes[1:])))
+    numbers = np.array([rng.integers(0, s, n) for s in sizes])
+    target, volume, margin = rng.poisson(1, n).astype(float), rng.random(n) + 0.1, rng.normal(size=n) / 10
+    codes, objective = grid.codes(numbers), bt.poisson()
+    assert sorted(f for g in grid.groups for f in g) == [0, 1, 2, 3]
+    whole, block = bt.Block(numbers, target, volume, margin), bt.Block(codes, target, volume, margin)
+    plain = trees.TaskSums(numbers, grid, *whole.graded(objective))
+    asked = []
+
+    def both(tree, nodes):
+        expected, found = plain(tree, nodes), bt._own_sums(block, grid, objective, tree, nodes)
+        assert np.allclose(found, expected, atol=1e-9) and (found[2] == expected[2]).all()
+        asked.extend(nodes)
+        return expected
+
+    tree = trees.grow(both, grid, 8, 1.0, 0.0, 0.0)
+    steps = rng.normal(size=len(tree.factor))
+    ends = tree.leaves(numbers)
+    assert len(asked) > 1 and (n < 1_000 or len(set(ends)) > trees.MASK_BITS)
+    assert (bt._moved(block, grid, tree, steps).margin == margin + steps[ends]).all()
+
+
+def test_cells_are_dealt_out_once_per_training(prepared, monkeypatch):
+    """Not again for every job of rounds, and every job's rows are handed on."""
+    frame, packed, stored = type(prepared.cells), [], []
+    plain = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, f, *args: packed.append(f) or plain(self, f, *args))
+    model = insights.fit_frequency(
+        prepared.cells, short(bt.FREQUENCY, 5, depth=2), tasks=3, save=lambda rows: stored.append(rows.count())
+    )
+    assert len(packed) == 1
+    assert len(stored) == 4 and sum(stored) == len(model.rows) and model.rounds == 5
