@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from ..params import CATEGORY_FACTORS, RATING_FACTORS
 from ..session import shared_folder, ship
-from .trees import MASK_BITS, Grid, Reached, TaskSums, Tree, code_sums, grow, leaf_place, paired
+from .trees import MASK_BITS, QUICK, Grid, Reached, TaskSums, Tree, code_sums, grouped, grow, leaf_place, paired
 
 MISSING_NUMBER = -1.0  # below every rating factor; lets a split single out unknown values
 MISSING_CATEGORY = ""
@@ -49,6 +49,9 @@ CELLS_ALONE = 1_000_000
 #: Beyond that, cells that one task is meant for, and those that are worth a task of their own.
 CELLS_PER_TASK, LEAST_CELLS = 1_000_000, 250_000
 
+#: Bins of several factors together up to which scoring looks them up as one: a round's tables stay in the cache.
+MOST_BINS = 1 << 12
+
 #: Rounds between two written states of the margins.
 ROUNDS_PER_TABLE = 10
 
@@ -216,6 +219,18 @@ class BoostedTrees:
             masks[0][turn] &= np.uint64((1 << min(end, MASK_BITS)) - 1)
         return (cuts, masks, steps) if max(ends) <= MASK_BITS else None
 
+    @cached_property
+    def _grouped(self) -> tuple[list[list[int]], list[np.ndarray]]:
+        """Factors whose bins are looked up as one, and the leaves that these leave open."""
+        masks = self._masks[1]
+        groups, tables = grouped(tuple(m.shape[1] for m in masks), MOST_BINS), []
+        for group in groups:
+            table = masks[group[0]]
+            for f in group[1:]:
+                table = (table[:, :, None] & masks[f][:, None, :]).reshape(len(table), -1)
+            tables.append(table)
+        return groups, tables
+
     def bins(self, codes: np.ndarray) -> list[np.ndarray]:
         """Per factor the place of each code among the cuts or names of the trees."""
         found = zip(RATING_FACTORS, self._masks[0], codes)
@@ -225,13 +240,14 @@ class BoostedTrees:
         """Margins of rows given by their codes, one row per factor."""
         if self._masks is None:
             return self._walked(codes)
-        _, masks, steps = self._masks
         bins, total = self.bins(codes), np.zeros(codes.shape[1])
-        for turn, step in enumerate(steps):
-            open_ = masks[0][turn][bins[0]]
-            for mask, places_ in zip(masks[1:], bins[1:]):
-                open_ &= mask[turn][places_]
-            total += step[leaf_place(open_)]
+        groups, tables = self._grouped
+        own = [np.ravel_multi_index([bins[f] for f in group], [self._masks[1][f].shape[1] for f in group]) for group in groups]
+        for turn, step in enumerate(self._masks[2]):
+            open_ = tables[0][turn].take(own[0], mode=QUICK)
+            for table, places_ in zip(tables[1:], own[1:]):
+                open_ &= table[turn].take(places_, mode=QUICK)
+            total += step.take(leaf_place(open_), mode=QUICK)
         return total
 
     def exchanged(self, codes: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -361,7 +377,7 @@ class Block:
         return np.where(present, gradient, 0.0), np.where(present, np.maximum(curvature, TINY), 0.0)
 
     def graded_rows(self, row: np.ndarray, objective: Objective) -> tuple[np.ndarray, np.ndarray]:
-        return Block([], self.target.take(row), self.volume.take(row), self.margin.take(row)).graded(objective)
+        return Block([], *(x.take(row, mode=QUICK) for x in (self.target, self.volume, self.margin))).graded(objective)
 
     def moved(self, rows: dict[int, np.ndarray], steps: np.ndarray) -> Block:
         """The cells after one more tree, given the rows of its leaves."""

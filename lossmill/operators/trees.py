@@ -28,10 +28,26 @@ ROWS_PER_PAIR = 16
 LEAST_PAIRED = 100_000
 #: Numbers of several factors together up to which they are one code.
 MOST_CODES = 1 << 15
+#: NumPy's fastest way of taking from known places.
+QUICK = "clip"
 #: Rows that are looked at together.
 PIECE = 1 << 15
 
 
+def grouped(sizes: tuple[int, ...], most: int) -> list[list[int]]:
+    """Factors in as few groups as can be, so that a group's numbers together are at most `most`, unless it is one factor."""
+    order = sorted(range(len(sizes)), key=lambda f: -sizes[f])
+    for count in range(1, len(order) + 1):
+        groups, products = [[] for _ in range(count)], [1] * count
+        for f in order:
+            at = products.index(min(products))
+            groups[at].append(f)
+            products[at] *= sizes[f]
+        if max(products) <= most:
+            return groups
+    return [[f] for f in order]
+
+
 @dataclass(frozen=True)
 class Grid:
     """How values become numbers: the names of a category, the cuts of a number, the other one None."""
@@ -83,17 +99,7 @@ class Grid:
 
     @cached_property
     def groups(self) -> list[list[int]]:
-        """The factors in as few groups as can be, so that a group's numbers together are at most `MOST_CODES`, unless it is one factor."""
-        order = sorted(range(len(self.sizes)), key=lambda f: -self.sizes[f])
-        for count in range(1, len(order) + 1):
-            groups, products = [[] for _ in range(count)], [1] * count
-            for f in order:
-                at = products.index(min(products))
-                groups[at].append(f)
-                products[at] *= self.sizes[f]
-            if max(products) <= MOST_CODES:
-                return groups
-        return [[f] for f in order]
+        return grouped(self.sizes, MOST_CODES)
 
     def shape(self, group: list[int]) -> tuple[int, ...]:
         return tuple(self.sizes[f] for f in group)
@@ -324,9 +330,9 @@ class Reached:
             if self.nodes == [1]:
                 yield np.arange(first, min(first + PIECE, len(codes[0]))), 0
                 continue
-            open_ = self.tables[0].take(codes[0][first : first + PIECE])
+            open_ = self.tables[0].take(codes[0][first : first + PIECE], mode=QUICK)
             for table, code in zip(self.tables[1:], codes[1:]):
-                open_ &= table.take(code[first : first + PIECE])
+                open_ &= table.take(code[first : first + PIECE], mode=QUICK)
             row = np.flatnonzero(open_)
             yield row + first, leaf_place(open_.take(row)) - 1023 if len(self.nodes) > 1 else 0
 
@@ -347,7 +353,7 @@ def code_sums(codes: list[np.ndarray], grid: Grid, graded: Callable, tree: Tree,
         sizes = [math.prod(grid.shape(group)) for group in grid.groups]
         for row, place in part.pieces(codes):
             for at, code, size in zip(places, codes, sizes):
-                at[used : used + len(row)] = code.take(row) + place * size
+                at[used : used + len(row)] = code.take(row, mode=QUICK) + place * size
             weights[:, used : used + len(row)] = graded(row)
             used += len(row)
         count = len(part.nodes)
