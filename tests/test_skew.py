@@ -55,3 +55,25 @@ def test_one_cell_with_a_third_of_all_policies(spark):
     assert cells.count() == 100
     scored = insights.score_policies(prepared.policies, cells)
     assert scored.count() == 3_000 and scored.select("IDpol").distinct().count() == 3_000
+
+
+def test_one_combination_with_a_third_of_all_policies(spark):
+    """The same with the model that `fit_frequency` returns."""
+    policies = spark.range(3_000).select(
+        F.col("id").alias("IDpol"),
+        F.lit(1.0).alias("Exposure"),
+        F.lit("A").alias("Area"),
+        F.lit("R1").alias("Region"),
+        F.lit(5).cast("long").alias("VehPower"),
+        F.lit(1).cast("long").alias("VehAge"),
+        F.lit(30).cast("long").alias("DrivAge"),
+        (hot() % 100).cast("long").alias("BonusMalus"),
+        (F.col("id") % 2).alias("ReportedClaimCount"),
+        (F.col("id") % 2 * 100.0).alias("UltimateLosses"),
+        F.lit(300.0).alias("EarnedPremium"),
+    )
+    prepared = insights.rating_cells(policies)
+    model = insights.fit_frequency(prepared.cells, bt.Boosting(rounds=1, depth=2))
+    assert prepared.cells.count() == 100
+    scored = bt.margins(prepared.policies, {"margin": model})
+    assert scored.count() == 3_000 and scored.select("IDpol").distinct().count() == 3_000
